@@ -1,0 +1,48 @@
+"""Joins whose left side may hold very frequent keys.
+
+Adaptive execution splits an oversized partition only when both join inputs come straight from a shuffle and
+nothing above reuses their partitioning. Where that does not hold, frequent keys are spread explicitly.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_HOT_KEYS = 128
+HOT_SHARE = 0.005
+BUCKETS = 64
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
+    """Keys that hold at least ``share`` of all rows: never more than ``MAX_HOT_KEYS`` of them.
+
+    A bounded sketch per task, merged into one row; it reads the key column only.
+    """
+    sketch = df.agg(
+        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS})").alias("top"), F.count(key).alias("_rows")
+    )
+    frequent = sketch.select("_rows", F.inline("top"))
+    return frequent.filter(F.col("count") >= share * F.col("_rows")).select(F.col("item").alias(key))
+
+
+def spread_join(
+    left: DataFrame, right: DataFrame, key: str, how: str, spread_on: str, buckets: int = BUCKETS
+) -> DataFrame:
+    """Join on ``key`` with the left rows of frequent keys dealt out by ``spread_on`` over ``buckets`` parts.
+
+    The right rows of these keys, and of no others, are repeated once per part, so every left row still meets
+    each of its partners exactly once. Which keys count as frequent changes the cost, never the result.
+    Rows without a key match nothing; they are dealt out too. ``how``: inner, left, left_semi or left_anti.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"unsupported join type {how!r}")
+    # At most MAX_HOT_KEYS rows, so the broadcast is bounded.
+    hot = F.broadcast(hot_keys(left, key).withColumn("_hot", F.lit(True)))
+    part = F.pmod(F.xxhash64(spread_on), F.lit(buckets)).cast("int")
+    dealt = left.join(hot, key, "left").withColumn(
+        "_part", F.when(F.col("_hot") | F.col(key).isNull(), part).otherwise(F.lit(0))
+    )
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.join(hot, key, "left").withColumn("_part", F.explode(parts))
+    return dealt.drop("_hot").join(repeated.drop("_hot"), [key, "_part"], how).drop("_part")

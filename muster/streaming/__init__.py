@@ -1,0 +1,6 @@
+"""No streaming jobs.
+
+Every export is a batch over the current state of the tables. The order export looks incremental, but an
+order becomes due when its payment flag changes later, so a stream of new rows would miss it; the ledger in
+``muster.sinks.ledger`` keeps track of what has been exported instead.
+"""
