@@ -10,8 +10,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 
-def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType) -> DataFrame:
+def local_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
     """Literal rows as a local relation, whose exact size the planner knows (unlike rows sent as an RDD)."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
     arrow = to_arrow_schema(schema)
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     arrays = [pa.array(list(values), type=field.type) for values, field in zip(columns, arrow)]
