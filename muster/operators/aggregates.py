@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -21,13 +21,17 @@ def sum_at_least(df: DataFrame, key: str, column: str, threshold: float) -> Data
     return sum_by(df, key, column).filter(F.col("total") >= threshold)
 
 
+def _joined(texts: Column, sep: str) -> Column:
+    return F.when(F.size(texts) > 0, F.array_join(texts, sep))
+
+
 def concat_distinct(df: DataFrame, key: str, column: str, sep: str = ", ", out: str | None = None) -> DataFrame:
-    """Per key the distinct texts in their own order; NULLs are left out.
+    """Per key the distinct texts in their own order; NULLs are left out, a key with nothing else gets NULL.
 
-    Repeats are removed in a first grouping, so a key's list is as long as its number of different texts.
+    Repeats are removed before the shuffle, so a key's list is as long as its number of different texts.
     """
-    texts = F.expr(f"listagg(`{column}`, '{sep}') WITHIN GROUP (ORDER BY `{column}`)")
-    return df.select(key, column).distinct().groupBy(key).agg(texts.alias(out or column))
+    texts = F.array_sort(F.collect_set(column))
+    return df.groupBy(key).agg(_joined(texts, sep).alias(out or column))
 
 
 def concat_distinct_by(
@@ -35,20 +39,19 @@ def concat_distinct_by(
 ) -> DataFrame:
     """Per key, for each column, the distinct texts in the order of their first ``order`` value.
 
-    Texts with the same first value are ordered by themselves, which makes the result repeatable. All columns
-    go through the same two groupings: (key, column, text) bounds the lists by the number of different texts.
+    Texts with the same first value are ordered by themselves, which makes the result repeatable. The first
+    grouping leaves one row per key and combination of texts, so the lists built by the second one grow with
+    the number of different texts and not with the number of rows.
     """
-    stacked = df.select(
-        key, order, F.explode(F.create_map(*[p for c in columns for p in (F.lit(c), F.col(c))])).alias("_column", "_text")
-    ).filter(F.col("_text").isNotNull())
-    first = stacked.groupBy(key, "_column", "_text").agg(F.min(order).alias("_first"))
+    first = df.groupBy(key, *columns).agg(F.min(order).alias("_first"))
+    entries = F.collect_list(F.struct("_first", *columns))
 
-    def joined(column: str):
-        entries = F.collect_list(F.when(F.col("_column") == column, F.struct("_first", "_text")))
-        texts = F.transform(F.array_sort(entries), lambda entry: entry["_text"])
-        return F.when(F.size(entries) > 0, F.array_join(texts, sep)).alias(column)
+    def texts(column: str) -> Column:
+        ordered = F.array_sort(F.transform(entries, lambda e: F.struct(e["_first"].alias("at"), e[column].alias("text"))))
+        # Keeps the first of equal texts.
+        return F.array_distinct(F.array_compact(F.transform(ordered, lambda e: e["text"])))
 
-    return first.groupBy(key).agg(*[joined(column) for column in columns])
+    return first.groupBy(key).agg(*[_joined(texts(column), sep).alias(column) for column in columns])
 
 
 def count_by(df: DataFrame, key: str) -> DataFrame:

@@ -73,8 +73,8 @@ def run_day_gate(df: DataFrame, as_of: datetime, days: Sequence[int] = QUIET_DAY
     return df.filter(~F.dayofmonth(moment(as_of)).isin(list(days)))
 
 
-def postal_disqualified(df: DataFrame, country: str = "AT", max_returns: int = 2) -> DataFrame:
-    """Contacts joined with address, statistics and country that must not get post.
+def postal_reasons(country: str = "AT", max_returns: int = 2) -> Column:
+    """Whether a contact joined with address, statistics and country must not get post.
 
     Plain three-valued logic: an unknown country or an unknown count of returned letters does not disqualify,
     a missing street, code, town or name does, an empty text does not.
@@ -93,7 +93,11 @@ def postal_disqualified(df: DataFrame, country: str = "AT", max_returns: int = 2
         person & F.col("last_name").isNull(),
         household & F.col("household_name").isNull(),
     ]
-    return df.filter(reduce(Column.__or__, reasons))
+    return reduce(Column.__or__, reasons)
+
+
+def postal_disqualified(df: DataFrame, country: str = "AT", max_returns: int = 2) -> DataFrame:
+    return df.filter(postal_reasons(country, max_returns))
 
 
 def link_scope(df: DataFrame, entity: str = CONTACT_ENTITY) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,16 @@ def suppress(df: DataFrame, rules: Sequence[DataFrame], key: str) -> DataFrame:
     return df.join(union_ids(*rules), key, "left_anti")
 
 
+def suppress_where(df: DataFrame, reason: Column, key: str) -> DataFrame:
+    """Rows whose key has no row with ``reason``, for reasons that the rows themselves hold.
+
+    The same as suppressing the set of these keys, without computing the rows a second time: behind a join on
+    ``key`` the window needs no shuffle of its own.
+    """
+    hit = F.max(F.coalesce(reason, F.lit(False))).over(Window.partitionBy(key))
+    return df.withColumn("_hit", hit).filter(~F.col("_hit")).drop("_hit")
+
+
 def keep(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids, key, "left_semi")
 

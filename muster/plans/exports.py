@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from muster.functions.text import customer_no_cut, customer_no_full, name_by_type, typed_null
 from muster.operators.aggregates import concat_distinct, concat_distinct_by, distinct_rows
-from muster.operators.filters import filter_type, keep_unflagged, not_prefixed, require, run_day_gate, since
+from muster.operators.filters import (
+    filter_type,
+    keep_unflagged,
+    not_prefixed,
+    postal_reasons,
+    require,
+    run_day_gate,
+    since,
+)
 from muster.operators.joins import (
     attach,
     join_primary,
@@ -18,8 +26,8 @@ from muster.operators.joins import (
     with_contact,
     with_phone,
 )
-from muster.operators.lookups import Tables, has_value, join_dim, option_label
-from muster.operators.sets import keep, not_in, suppress, union_ids
+from muster.operators.lookups import Tables, join_dim, option_label
+from muster.operators.sets import keep, not_in, suppress, suppress_where, union_ids
 from muster.operators.updates import add_group_status, unique_or_fail
 from muster.plans import rules
 from muster.sources.tables import pending_orders
@@ -94,12 +102,24 @@ def export_mailing(t: Tables, checked: bool = True) -> DataFrame:
     return project(unique_or_fail(rows, "contact_id") if checked else rows, MAILING_KEYS)
 
 
-def welcome_post_audience(t: Tables, as_of: datetime, campaign: str = rules.MAILING_CAMPAIGN) -> DataFrame:
-    base = rules.recent_direct_debit(t, as_of)
-    return suppress(
-        base,
+def membership_kinds(t: Tables, as_of: datetime) -> DataFrame:
+    """The contacts of new direct debit memberships, each with the names of the kinds of these memberships."""
+    kinds = t["membership_type"].select(
+        F.col("id").alias("membership_type_id"), F.col("name").alias("membership_type")
+    )
+    named = rules.new_direct_debits(t, as_of).join(kinds, "membership_type_id", "left")
+    return concat_distinct(require(named, "contact_id"), "contact_id", "membership_type")
+
+
+def export_welcome_post(t: Tables, as_of: datetime, campaign: str = rules.MAILING_CAMPAIGN) -> DataFrame:
+    """New direct debit members with a clean address; a second primary address gives a second line.
+
+    Address rule and address columns come from the same joined rows. A contact missing in the contact table
+    has no address to be judged by and stays.
+    """
+    audience = suppress(
+        membership_kinds(t, as_of),
         [
-            rules.postal_ineligible(t, among=base),
             rules.tagged(t, rules.TAGS_POST),
             rules.group_member(t),
             rules.major_donor(t, as_of),
@@ -107,24 +127,10 @@ def welcome_post_audience(t: Tables, as_of: datetime, campaign: str = rules.MAIL
         ],
         "contact_id",
     )
-
-
-def membership_kinds(t: Tables, as_of: datetime) -> DataFrame:
-    """Per contact the names of the kinds of its new direct debit memberships."""
-    named = rules.new_direct_debits(t, as_of).join(
-        t["membership_type"].select(F.col("id").alias("membership_type_id"), F.col("name").alias("membership_type")),
-        "membership_type_id",
-    )
-    return concat_distinct(named, "contact_id", "membership_type")
-
-
-def export_welcome_post(t: Tables, as_of: datetime, campaign: str = rules.MAILING_CAMPAIGN) -> DataFrame:
-    """New direct debit members with a clean address; a second primary address gives a second line."""
-    audience = welcome_post_audience(t, as_of, campaign)
-    contact = t["contact"].withColumnRenamed("id", "contact_id")
+    contact = t["contact"].withColumnRenamed("id", "contact_id").withColumn("_known", F.lit(True))
     rows = rules.postal_profile(t, audience.join(contact, "contact_id", "left"))
-    rows = option_label(rows, t, "prefix_id", "individual_prefix", out="anrede")
-    rows = attach(rows, membership_kinds(t, as_of), "contact_id").select(
+    rows = suppress_where(rows, F.col("_known") & postal_reasons(), "contact_id")
+    rows = option_label(rows, t, "prefix_id", "individual_prefix", out="anrede").select(
         "contact_id",
         F.col("formal_title").alias("titel"),
         "anrede",
@@ -204,12 +210,9 @@ def export_welcome_call(t: Tables, as_of: datetime, fanout: bool = True) -> Data
     A contact stays when one of its memberships survives the membership rules, so these run first, per
     membership; what is left is one row per contact, and all contact rules are semi and anti joins on that.
     """
-    pairs = last_month_memberships(t, as_of).select("contact_id", F.col("id").alias("membership_id"))
-    unpaid = suppress(
-        keep(pairs, rules.recruited_membership(t, as_of), "membership_id"),
-        [rules.membership_failed(t), rules.membership_paid(t)],
-        "membership_id",
-    )
+    kept = rules.recruited(t, as_of, memberships=last_month_memberships(t, as_of))
+    pairs = kept.select("contact_id", F.col("id").alias("membership_id"))
+    unpaid = suppress(pairs, [rules.membership_settled(t)], "membership_id")
     contacts = keep(unpaid.select("contact_id").distinct(), callable_contacts(t), "contact_id")
     return project(suppress(contacts, [call_suppressed(t, as_of, fanout)], "contact_id"), CALL_KEYS)
 

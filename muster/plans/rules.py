@@ -14,7 +14,7 @@ from muster.operators.filters import (
     floor_date,
     in_list,
     link_scope,
-    postal_disqualified,
+    postal_reasons,
     since,
     with_role,
 )
@@ -39,6 +39,7 @@ MAILING_CAMPAIGN = "AKTION-7767"
 CALL_CAMPAIGN, CALL_CAMPAIGN_TITLE = "AKTION-7571", "Welcome Calls"
 PHONE_ROOT, STREET_ROOT = "TM", "DD"
 MAJOR_DONOR_SUM = 1000
+FAILED, PAID = ("Cancelled", "Refunded"), ("Completed",)
 
 
 def tagged(t: Tables, names: Sequence[str]) -> DataFrame:
@@ -128,14 +129,19 @@ def campaign_tree_contact(t: Tables, as_of: datetime, root: str = PHONE_ROOT) ->
     return activity_targets(t, tree_activities(t, as_of, root))
 
 
-def membership_failed(t: Tables, statuses: Sequence[str] = ("Cancelled", "Refunded")) -> DataFrame:
+def membership_failed(t: Tables, statuses: Sequence[str] = FAILED) -> DataFrame:
     """Memberships with a failed contribution."""
     return membership_contributions(t, statuses).select("membership_id").distinct()
 
 
 def membership_paid(t: Tables) -> DataFrame:
     """Memberships that already have a completed contribution."""
-    return membership_contributions(t, ["Completed"]).select("membership_id").distinct()
+    return membership_failed(t, PAID)
+
+
+def membership_settled(t: Tables) -> DataFrame:
+    """Memberships of either kind, in one pass over links and contributions."""
+    return membership_failed(t, [*FAILED, *PAID])
 
 
 def postal_profile(t: Tables, contact: DataFrame) -> DataFrame:
@@ -147,26 +153,30 @@ def postal_profile(t: Tables, contact: DataFrame) -> DataFrame:
     return join_primary(contact, address, ["street_address", "postal_code", "city", "rts_counter", "iso_code"])
 
 
-def postal_ineligible(t: Tables, among: DataFrame | None = None) -> DataFrame:
-    """Contacts without a clean postal address in the country; ``among`` limits the work to some ids."""
+def postal_ineligible(t: Tables) -> DataFrame:
+    """Contacts without a clean postal address in the country."""
     contact = t["contact"].withColumnRenamed("id", "contact_id")
-    if among is not None:
-        contact = contact.join(among, "contact_id", "left_semi")
-    return postal_disqualified(postal_profile(t, contact)).select("contact_id").distinct()
+    return postal_profile(t, contact).filter(postal_reasons()).select("contact_id").distinct()
 
 
-def paying_memberships(t: Tables) -> DataFrame:
-    """Memberships that are active and paid by direct debit."""
+def paying_memberships(t: Tables, memberships: DataFrame | None = None) -> DataFrame:
+    """Memberships (all, or the given ones) that are active and paid by direct debit."""
+    active = has_value(
+        t["membership"] if memberships is None else memberships,
+        t["membership_status"],
+        "status_id",
+        "label",
+        ACTIVE_STATUSES,
+    )
     payment = has_option(
         t["value_membership_payment"], t, "payment_instrument", "payment_instrument", DIRECT_DEBIT, by="name"
     ).select(F.col("entity_id").alias("id"), "membership_recurring_contribution")
-    active = has_value(t["membership"], t["membership_status"], "status_id", "label", ACTIVE_STATUSES)
     return active.join(payment, "id")
 
 
 def new_direct_debits(t: Tables, as_of: datetime) -> DataFrame:
     """Such memberships joined from six months to two days ago."""
-    return since(paying_memberships(t), "join_date", as_of, (6, "MONTH"), until=(2, "DAY"))
+    return paying_memberships(t, since(t["membership"], "join_date", as_of, (6, "MONTH"), until=(2, "DAY")))
 
 
 def recent_direct_debit(t: Tables, as_of: datetime, floor: str | None = None) -> DataFrame:
@@ -177,14 +187,17 @@ def recent_direct_debit(t: Tables, as_of: datetime, floor: str | None = None) ->
     return joined.filter(F.col("contact_id").isNotNull()).select("contact_id").distinct()
 
 
-def recruited_membership(t: Tables, as_of: datetime, root: str = STREET_ROOT) -> DataFrame:
+def recruited(t: Tables, as_of: datetime, root: str = STREET_ROOT, memberships: DataFrame | None = None) -> DataFrame:
     """Active direct debit memberships with a charge still to come, recruited under the root campaign."""
     due = after(t["contribution_recur"], "next_sched_contribution_date", as_of).select(
         F.col("id").alias("membership_recurring_contribution")
     )
-    recruited = under_root(paying_memberships(t), t["campaign"], root)
-    charged = recruited.join(due, "membership_recurring_contribution", "left_semi")
-    return charged.select(F.col("id").alias("membership_id")).distinct()
+    candidates = under_root(t["membership"] if memberships is None else memberships, t["campaign"], root)
+    return paying_memberships(t, candidates).join(due, "membership_recurring_contribution", "left_semi")
+
+
+def recruited_membership(t: Tables, as_of: datetime, root: str = STREET_ROOT) -> DataFrame:
+    return recruited(t, as_of, root).select(F.col("id").alias("membership_id")).distinct()
 
 
 def campaign_id(t: Tables, ext_id: str):
