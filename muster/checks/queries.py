@@ -231,7 +231,7 @@ def option_lookup_join(t, spark):
 
 @_query
 def inner_chain(t, spark):
-    return joins.petitions(t).distinct()
+    return joins.with_titles(joins.petitions(t), t).distinct()
 
 
 @_query
@@ -401,15 +401,10 @@ def concat_distinct_sorted(t, spark):
     return exports.membership_kinds(t, AS_OF)
 
 
-def _signed(t) -> DataFrame:
-    return aggregates.concat_distinct_by(
-        joins.petitions(t), "contact_id", ["petition", "campaign_topic"], "activity_id"
-    )
-
-
 @_query
 def concat_distinct_by_other(t, spark):
-    return _signed(t)
+    signed = joins.with_titles(joins.petitions(t), t)
+    return aggregates.concat_distinct_by(signed, "contact_id", ["petition", "campaign_topic"], "activity_id")
 
 
 @_query
@@ -444,7 +439,7 @@ def update_from_join(t, spark):
 
 @_query
 def update_from_aggregate(t, spark):
-    return joins.attach(_contacts(t).select("contact_id"), _signed(t), "contact_id")
+    return joins.attach(_contacts(t).select("contact_id"), joins.petition_texts(t), "contact_id")
 
 
 @_query

@@ -34,24 +34,31 @@ def concat_distinct(df: DataFrame, key: str, column: str, sep: str = ", ", out:
     return df.groupBy(key).agg(_joined(texts, sep).alias(out or column))
 
 
-def concat_distinct_by(
-    df: DataFrame, key: str, columns: Sequence[str], order: str, sep: str = ", "
-) -> DataFrame:
+def concat_in_order(df: DataFrame, key: str, columns: Sequence[str], order: str, sep: str = ", ") -> DataFrame:
     """Per key, for each column, the distinct texts in the order of their first ``order`` value.
 
-    Texts with the same first value are ordered by themselves, which makes the result repeatable. The first
-    grouping leaves one row per key and combination of texts, so the lists built by the second one grow with
-    the number of different texts and not with the number of rows.
+    Texts with the same first value are ordered by themselves, which makes the result repeatable. All rows of a
+    key come together, so they should already be reduced to one per text (see ``concat_distinct_by``).
     """
-    first = df.groupBy(key, *columns).agg(F.min(order).alias("_first"))
-    entries = F.collect_list(F.struct("_first", *columns))
+    entries = F.collect_list(F.struct(F.col(order).alias("_at"), *columns))
 
     def texts(column: str) -> Column:
-        ordered = F.array_sort(F.transform(entries, lambda e: F.struct(e["_first"].alias("at"), e[column].alias("text"))))
+        ordered = F.array_sort(F.transform(entries, lambda e: F.struct(e["_at"].alias("at"), e[column].alias("text"))))
         # Keeps the first of equal texts.
         return F.array_distinct(F.array_compact(F.transform(ordered, lambda e: e["text"])))
 
-    return first.groupBy(key).agg(*[_joined(texts(column), sep).alias(column) for column in columns])
+    return df.groupBy(key).agg(*[_joined(texts(column), sep).alias(column) for column in columns])
+
+
+def concat_distinct_by(
+    df: DataFrame, key: str, columns: Sequence[str], order: str, sep: str = ", "
+) -> DataFrame:
+    """The same for any rows: a first grouping leaves one row per key and combination of texts.
+
+    It starts before the shuffle, and the lists then grow with the number of different texts only.
+    """
+    first = df.groupBy(key, *columns).agg(F.min(order).alias(order))
+    return concat_in_order(first, key, columns, order, sep)
 
 
 def count_by(df: DataFrame, key: str) -> DataFrame:

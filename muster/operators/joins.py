@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from muster.operators.aggregates import concat_in_order
 from muster.operators.filters import after
 from muster.operators.lookups import Tables, has_option, join_dim, option_codes, option_label
 from muster.operators.skew import spread_join
@@ -31,36 +32,53 @@ def with_phone(df: DataFrame, phone: DataFrame, key: str = "contact_id") -> Data
 
 
 def petition_activities(t: Tables) -> DataFrame:
-    """(activity_id, petition, campaign_topic) of every petition activity whose survey has a campaign.
+    """(activity_id, survey_id) of every petition activity whose survey has a campaign.
 
-    Distinct, so that a repeated activity row cannot multiply its links.
+    Distinct, so that a repeated activity row cannot multiply its links. The rows carry numbers only; titles are
+    looked up at the end.
     """
     kinds = option_codes(t, "activity_type", ["Petition"], by="name").select(F.col("code").alias("activity_type_id"))
-    surveys = t["survey"].select(
-        F.col("id").alias("source_record_id"),
-        "activity_type_id",
-        F.col("title").alias("petition"),
-        F.col("campaign_id").alias("_campaign"),
+    topics = t["campaign"].select(F.col("id").alias("campaign_id"))
+    surveys = (
+        t["survey"]
+        .join(topics, "campaign_id", "left_semi")
+        .select(F.col("id").alias("survey_id"), F.col("activity_type_id"))
+    )
+    signed = t["activity"].select(
+        F.col("id").alias("activity_id"), "activity_type_id", F.col("source_record_id").alias("survey_id")
     )
-    topics = t["campaign"].select(F.col("id").alias("_campaign"), F.col("title").alias("campaign_topic"))
-    signed = t["activity"].select(F.col("id").alias("activity_id"), "activity_type_id", "source_record_id")
     return (
         signed.join(kinds, "activity_type_id", "left_semi")
-        .join(surveys, ["source_record_id", "activity_type_id"])
-        .join(topics, "_campaign")
-        .select("activity_id", "petition", "campaign_topic")
+        .join(surveys, ["survey_id", "activity_type_id"], "left_semi")
+        .select("activity_id", "survey_id")
         .distinct()
     )
 
 
 def petitions(t: Tables, ids: DataFrame | None = None) -> DataFrame:
-    """(contact_id, activity_id, petition, campaign_topic) for every role a contact has in a petition."""
+    """(contact_id, activity_id, survey_id) for every role a contact has in a petition."""
     links = t["activity_contact"].select("activity_id", "contact_id")
     if ids is not None:
         links = links.join(ids, "contact_id", "left_semi")
     return links.join(petition_activities(t), "activity_id")
 
 
+def with_titles(df: DataFrame, t: Tables) -> DataFrame:
+    """Replace survey_id by the survey's title (petition) and its campaign's title (campaign_topic)."""
+    surveys = t["survey"].select(F.col("id").alias("survey_id"), F.col("title").alias("petition"), "campaign_id")
+    topics = t["campaign"].select(F.col("id").alias("campaign_id"), F.col("title").alias("campaign_topic"))
+    return df.join(surveys, "survey_id").join(topics, "campaign_id").drop("survey_id", "campaign_id")
+
+
+def petition_texts(t: Tables) -> DataFrame:
+    """Per contact its petitions and their campaigns as texts, each in the order of the first activity.
+
+    Grouped by survey before the titles come in: what is shuffled are three numbers per row.
+    """
+    first = petitions(t).groupBy("contact_id", "survey_id").agg(F.min("activity_id").alias("activity_id"))
+    return concat_in_order(with_titles(first, t), "contact_id", ["petition", "campaign_topic"], "activity_id")
+
+
 def with_recurring(df: DataFrame, t: Tables, as_of: datetime | None = None) -> DataFrame:
     """Memberships with their payment instrument and a recurring contribution (due after ``as_of``)."""
     recurring = t["contribution_recur"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.functions.text import customer_no_cut, customer_no_full, name_by_type, typed_null
-from muster.operators.aggregates import concat_distinct, concat_distinct_by, distinct_rows
+from muster.operators.aggregates import concat_distinct, distinct_rows
 from muster.operators.filters import (
     filter_type,
     keep_unflagged,
@@ -22,7 +22,7 @@ from muster.operators.joins import (
     attach,
     join_primary,
     order_contacts,
-    petitions,
+    petition_texts,
     with_contact,
     with_phone,
 )
@@ -81,8 +81,8 @@ def mailing_base(t: Tables) -> DataFrame:
 
 def export_mailing(t: Tables, checked: bool = True) -> DataFrame:
     """Every e-mailable person with address, group status and signed petitions; one row per contact."""
-    signed = concat_distinct_by(petitions(t), "contact_id", ["petition", "campaign_topic"], "activity_id")
-    rows = attach(add_group_status(mailing_base(t), t, STATUS_GROUPS), signed, "contact_id").select(
+    rows = add_group_status(mailing_base(t), t, STATUS_GROUPS)
+    rows = attach(rows, petition_texts(t), "contact_id").select(
         F.col("hash").alias("Contact_Hash"),
         "Email",
         "Salutation",

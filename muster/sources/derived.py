@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from muster.schemas import SCHEMAS
 from muster.sources.local import local_rows
-from muster.sources.tables import conform, rename_custom
+from muster.sources.tables import LazyTables, rename_custom
 
 AS_OF = datetime(2001, 7, 15, 12, 0, 0)
 FLOOR_DAY = "1995-01-01"
@@ -75,19 +75,15 @@ _TOP_CAMPAIGNS = [
 ]
 
 
-class DerivedTables(dict):
-    """Mapping from CRM table name to DataFrame over the parquet files of one test data folder."""
+class DerivedTables(LazyTables):
+    """The CRM tables over the parquet files of one test data folder."""
 
     def __init__(self, spark: SparkSession, directory: str):
-        super().__init__()
+        super().__init__(lambda name: _BUILDERS[name](self))
         self._spark = spark
         self._directory = directory
         self._base: dict[str, DataFrame] = {}
 
-    def __missing__(self, name: str) -> DataFrame:
-        self[name] = conform(_BUILDERS[name](self), SCHEMAS[name])
-        return self[name]
-
     def base(self, name: str) -> DataFrame:
         if name not in self._base:
             self._base[name] = self._spark.read.parquet(f"{self._directory}/{name}.parquet")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,20 +21,28 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [field.name for field in schema if field.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
-    return df.select([F.col(field.name).cast(field.dataType).alias(field.name) for field in schema])
+    return df.to(schema)
 
 
-def load_tables(
-    spark: SparkSession, directory: str, names: Iterable[str] | None = None, fmt: str = "parquet"
-) -> dict[str, DataFrame]:
-    """Read ``<directory>/<table>.<fmt>`` for every table of the contract (or the named ones).
+class LazyTables(dict):
+    """Table name -> DataFrame; a table is opened on first use, so a job touches only what it needs."""
 
-    The files' own schema is read and then checked, so that a missing column fails here and not as NULLs.
+    def __init__(self, open_table: Callable[[str], DataFrame]):
+        super().__init__()
+        self._open = open_table
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = conform(self._open(name), SCHEMAS[name])
+        return self[name]
+
+
+def load_tables(spark: SparkSession, directory: str, fmt: str = "parquet") -> LazyTables:
+    """The tables of the contract, each stored as ``<directory>/<table>.<fmt>``.
+
+    The stored schema is read and checked against the contract, so that a missing column fails and does not
+    turn into NULLs.
     """
-    return {
-        name: conform(spark.read.format(fmt).load(f"{directory}/{name}.{fmt}"), SCHEMAS[name])
-        for name in (SCHEMAS if names is None else names)
-    }
+    return LazyTables(lambda name: spark.read.format(fmt).load(f"{directory}/{name}.{fmt}"))
 
 
 def rename_custom(df: DataFrame, field_map: Mapping[str, int]) -> DataFrame:
