@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from muster.operators.aggregates import concat_in_order
 from muster.operators.filters import after
-from muster.operators.lookups import Tables, has_option, join_dim, option_codes, option_label
+from muster.operators.lookups import Tables, has_option, join_dim, option_label
 from muster.operators.skew import spread_join
 
 
@@ -37,19 +37,17 @@ def petition_activities(t: Tables) -> DataFrame:
     Distinct, so that a repeated activity row cannot multiply its links. The rows carry numbers only; titles are
     looked up at the end.
     """
-    kinds = option_codes(t, "activity_type", ["Petition"], by="name").select(F.col("code").alias("activity_type_id"))
     topics = t["campaign"].select(F.col("id").alias("campaign_id"))
     surveys = (
         t["survey"]
         .join(topics, "campaign_id", "left_semi")
         .select(F.col("id").alias("survey_id"), F.col("activity_type_id"))
     )
-    signed = t["activity"].select(
+    signed = has_option(t["activity"], t, "activity_type_id", "activity_type", ["Petition"], by="name").select(
         F.col("id").alias("activity_id"), "activity_type_id", F.col("source_record_id").alias("survey_id")
     )
     return (
-        signed.join(kinds, "activity_type_id", "left_semi")
-        .join(surveys, ["survey_id", "activity_type_id"], "left_semi")
+        signed.join(surveys, ["survey_id", "activity_type_id"], "left_semi")
         .select("activity_id", "survey_id")
         .distinct()
     )

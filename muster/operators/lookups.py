@@ -1,8 +1,9 @@
-"""Lookups in small code tables.
+"""Lookups in code tables.
 
-None of them asks for a broadcast. They are built from filters and semi joins, whose estimated size never
-exceeds the code table's own, so Spark broadcasts them when the table is under its threshold and
-shuffles them when it is not.
+Entries asked for by name (a status, a tag, a group) become a scalar: a handful of codes is compared in place, so
+rows that share one code never have to meet in one task. Whole dimensions are joined, without a broadcast hint:
+these joins are built from filters and semi joins, whose estimated size never exceeds the table's own, so
+Spark broadcasts a table under its threshold and shuffles a larger one.
 """
 
 from __future__ import annotations
@@ -20,6 +21,20 @@ def lookup_id(table: DataFrame, where: Column, take: str = "id") -> Column:
     return table.filter(where).select(take).scalar()
 
 
+def named_keys(table: DataFrame, column: str, values: Sequence[str], take: str = "id") -> Column:
+    """The keys of the entries with one of these names, as an array scalar."""
+    return _keys(table.filter(F.col(column).isin(list(values))), take)
+
+
+def _keys(entries: DataFrame, take: str) -> Column:
+    return entries.agg(F.collect_set(F.col(take).cast("bigint"))).scalar()
+
+
+def one_of(column: str, keys: Column) -> Column:
+    """Whether the column holds one of the keys; NULL for NULL."""
+    return F.array_contains(keys, F.col(column).cast("bigint"))
+
+
 def option_group_id(t: Tables, group: str) -> Column:
     return lookup_id(t["option_group"], F.col("name") == group)
 
@@ -56,14 +71,12 @@ def has_option(
     df: DataFrame, t: Tables, code_column: str, group: str, values: Sequence[str], by: str = "label"
 ) -> DataFrame:
     """Rows whose code belongs to one of the named options."""
-    options = option_codes(t, group, values, by).select(F.col("code").alias("_code"))
-    return df.join(options, F.col(code_column) == F.col("_code"), "left_semi")
+    return df.filter(one_of(code_column, _keys(option_codes(t, group, values, by), "code")))
 
 
 def has_value(df: DataFrame, table: DataFrame, code_column: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Rows whose code belongs to a row of ``table`` (id, ...) with one of the values."""
-    ids = table.filter(F.col(column).isin(list(values))).select(F.col("id").alias("_code"))
-    return df.join(ids, F.col(code_column) == F.col("_code"), "left_semi")
+    """Rows whose code is the id of a row of ``table`` with one of the values."""
+    return df.filter(one_of(code_column, named_keys(table, column, values)))
 
 
 def join_dim(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str], key: str = "id") -> DataFrame:
@@ -94,5 +107,4 @@ def in_campaigns(df: DataFrame, campaign: DataFrame, ext_id: str, title: str | N
     wanted = F.col("external_identifier") == ext_id
     if title is not None:
         wanted = wanted | (F.col("title") == title)
-    ids = campaign.filter(wanted).select(F.col("id").alias("campaign_id"))
-    return df.join(ids, "campaign_id", "left_semi")
+    return df.filter(one_of("campaign_id", _keys(campaign.filter(wanted), "id")))

@@ -12,7 +12,6 @@ from muster.operators.aggregates import sum_at_least, sum_by
 from muster.operators.filters import (
     after,
     floor_date,
-    in_list,
     link_scope,
     postal_reasons,
     since,
@@ -44,15 +43,13 @@ FAILED, PAID = ("Cancelled", "Refunded"), ("Completed",)
 
 def tagged(t: Tables, names: Sequence[str]) -> DataFrame:
     """Contacts that carry one of the tags."""
-    tags = in_list(t["tag"], "name", names).select(F.col("id").alias("tag_id"))
-    links = link_scope(t["entity_tag"]).join(tags, "tag_id", "left_semi")
+    links = has_value(link_scope(t["entity_tag"]), t["tag"], "tag_id", "name", names)
     return links.select(F.col("entity_id").alias("contact_id")).distinct()
 
 
 def group_member(t: Tables, title: str = LEGACY_GROUP) -> DataFrame:
     """Contacts with any status in the group, 'Removed' included."""
-    groups = t["group"].filter(F.col("title") == title).select(F.col("id").alias("group_id"))
-    return t["group_contact"].join(groups, "group_id", "left_semi").select("contact_id").distinct()
+    return has_value(t["group_contact"], t["group"], "group_id", "title", [title]).select("contact_id").distinct()
 
 
 def _year_of_gifts(t: Tables, as_of: datetime, status: str | None) -> DataFrame:
