@@ -22,7 +22,7 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     sketch = df.agg(
         F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS})").alias("top"), F.count(key).alias("_rows")
     )
-    frequent = sketch.select("_rows", F.inline("top"))
+    frequent = sketch.select("_rows", F.inline("top")).filter(F.col("item").isNotNull())
     return frequent.filter(F.col("count") >= share * F.col("_rows")).select(F.col("item").alias(key))
 
 
