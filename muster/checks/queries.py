@@ -272,7 +272,8 @@ def payment_link_join(t, spark):
 
 @_query
 def order_contact_join(t, spark):
-    rows = joins.with_contact(t["webshop_order"], joins.order_contacts(t))
+    orders = t["webshop_order"]
+    rows = joins.with_contact(orders, joins.order_contacts(t, orders))
     return rows.select("id", "source_contact_id", "first_name", "last_name")
 
 

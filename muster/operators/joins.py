@@ -97,20 +97,19 @@ def membership_contributions(t: Tables, statuses: Sequence[str]) -> DataFrame:
     )
 
 
-def order_contacts(t: Tables) -> DataFrame:
-    """Contacts with prefix, primary address, country and e-mail, as order lines show them.
+def order_contacts(t: Tables, orders: DataFrame) -> DataFrame:
+    """The contacts of the orders with prefix, primary address, country and e-mail, as order lines show them.
 
-    For a person the organisation name is the employer's.
+    For a person the organisation name is the employer's. The contacts are cut down to those with an order before
+    anything is joined to them.
     """
-    address = join_dim(
-        t["address"].filter(F.col("is_primary") == 1),
-        t["country"].select("id", F.col("name").alias("country")),
-        "country_id",
-        ["country"],
-    )
-    contact = t["contact"].select(
+    buyers = orders.select(F.col("source_contact_id").alias("id")).distinct()
+    contact = t["contact"].join(buyers, "id", "left_semi").select(
         "id", "formal_title", "prefix_id", "first_name", "last_name", F.col("organization_name").alias("current_employer")
     )
+    address = join_dim(
+        t["address"], t["country"].select("id", F.col("name").alias("country")), "country_id", ["country"]
+    )
     place = ["street_address", "state_province", "city", "postal_code", "country"]
     named = join_primary(join_primary(contact, address, place, key="id"), t["email"], ["email"], key="id")
     return option_label(named, t, "prefix_id", "individual_prefix", out="individual_prefix").drop("prefix_id")

@@ -14,16 +14,16 @@ HOT_SHARE = 0.005
 BUCKETS = 64
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold at least ``share`` of all rows: never more than ``MAX_HOT_KEYS`` of them.
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+    """Keys that hold at least ``share`` of all rows, NULL included: never more than ``MAX_HOT_KEYS`` of them.
 
-    A bounded sketch per task, merged into one row; it reads the key column only.
+    Runs a job that reads the key column only: one bounded sketch per task, merged into one row.
     """
     sketch = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS})").alias("top"), F.count(key).alias("_rows")
+        F.expr(f"approx_top_k(`{key}`, {MAX_HOT_KEYS})").alias("top"), F.count(F.lit(1)).alias("_rows")
     )
-    frequent = sketch.select("_rows", F.inline("top")).filter(F.col("item").isNotNull())
-    return frequent.filter(F.col("count") >= share * F.col("_rows")).select(F.col("item").alias(key))
+    frequent = sketch.select("_rows", F.inline("top")).filter(F.col("count") >= share * F.col("_rows"))
+    return [row["item"] for row in frequent.select("item").collect()]
 
 
 def spread_join(
@@ -32,17 +32,19 @@ def spread_join(
     """Join on ``key`` with the left rows of frequent keys dealt out by ``spread_on`` over ``buckets`` parts.
 
     The right rows of these keys, and of no others, are repeated once per part, so every left row still meets
-    each of its partners exactly once. Which keys count as frequent changes the cost, never the result.
-    Rows without a key match nothing; they are dealt out too. ``how``: inner, left, left_semi or left_anti.
+    each of its partners exactly once. Rows without a key match nothing; they are dealt out too. Without a
+    frequent key it is the plain join. The frequent keys are looked up once, before the join is built, and both
+    sides use that same list: which keys are on it changes the cost, never the result.
+    ``how``: inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    # At most MAX_HOT_KEYS rows, so the broadcast is bounded.
-    hot = F.broadcast(hot_keys(left, key).withColumn("_hot", F.lit(True)))
+    hot = hot_keys(left, key)
+    if not hot:
+        return left.join(right, key, how)
+    frequent = F.col(key).isin([value for value in hot if value is not None])
     part = F.pmod(F.xxhash64(spread_on), F.lit(buckets)).cast("int")
-    dealt = left.join(hot, key, "left").withColumn(
-        "_part", F.when(F.col("_hot") | F.col(key).isNull(), part).otherwise(F.lit(0))
-    )
-    parts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(hot, key, "left").withColumn("_part", F.explode(parts))
-    return dealt.drop("_hot").join(repeated.drop("_hot"), [key, "_part"], how).drop("_part")
+    dealt = left.withColumn("_part", F.when(frequent | F.col(key).isNull(), part).otherwise(F.lit(0)))
+    parts = F.when(frequent, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn("_part", F.explode(parts))
+    return dealt.join(repeated, [key, "_part"], how).drop("_part")

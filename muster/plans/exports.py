@@ -219,9 +219,8 @@ def export_welcome_call(t: Tables, as_of: datetime, fanout: bool = True) -> Data
 
 def order_lines(t: Tables, orders: DataFrame) -> DataFrame:
     """Orders as file lines, all file columns plus source_contact_id."""
-    rows = option_label(orders, t, "order_type", "order_type", out="item")
-    rows = with_contact(rows, order_contacts(t))
-    return rows.select(
+    rows = with_contact(orders, order_contacts(t, orders))
+    return option_label(rows, t, "order_type", "order_type", out="item").select(
         "id",
         F.col("formal_title").alias("titel"),
         F.col("individual_prefix").alias("anrede"),

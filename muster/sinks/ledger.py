@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.functions.dates import moment
+from muster.sources.local import local_rows
 
 # Fixed value: status of an order that has been exported.
 COMPLETED = 2
 
+LEDGER = "id bigint, order_exported int, order_exported_date timestamp_ntz, status_id int"
+
 
 def mark_exported(orders: DataFrame, write_status: DataFrame, as_of: datetime) -> DataFrame:
     """Ledger rows for the orders (id, route_key) whose route was written: (route_key, is_error) says which.
@@ -29,3 +33,13 @@ def mark_exported(orders: DataFrame, write_status: DataFrame, as_of: datetime) -
 
 def not_in_ledger(orders: DataFrame, ledger: DataFrame) -> DataFrame:
     return orders.join(ledger.select("id"), "id", "left_anti")
+
+
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger rows of all earlier runs; empty before the first one."""
+    try:
+        return spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return local_rows(spark, [], LEDGER)

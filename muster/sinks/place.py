@@ -21,7 +21,13 @@ def run_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="run-")
 
 
-def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write the rows once and read them back, so that file, links and counts see the same rows."""
-    df.write.mode("errorifexists").parquet(path)
+def stage(df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    """Write the rows once and read them back, so that file, links and counts see the same rows.
+
+    ``by`` names a column with few values: rows are kept apart by it, so reading one value reads only its files.
+    """
+    if by is None:
+        df.write.parquet(path)
+    else:
+        df.hint("rebalance", by).write.partitionBy(by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,11 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.operators.lookups import Tables, lookup_id
-from muster.operators.sets import union_ids
 from muster.plans import exports
 from muster.sinks.files import write_csv, write_routed
 from muster.sinks.follow_up import CallPlan, call_tasks, mass_activity
-from muster.sinks.ledger import mark_exported, not_in_ledger
+from muster.sinks.ledger import mark_exported, not_in_ledger, read_ledger
 from muster.sinks.place import stage
 from muster.sinks.summary import summary
 from muster.sources.local import local_rows
@@ -93,12 +92,9 @@ def run_orders(
     """
     spark = routes.sparkSession
     folder = f"{out}/{run_id}"
-    orders = pending_orders(t)
-    earlier = _read_ledger(routes, ledger)
-    if earlier is not None:
-        orders = not_in_ledger(orders, earlier)
+    orders = not_in_ledger(pending_orders(t), read_ledger(spark, ledger))
     lines = exports.with_route(exports.order_lines(t, orders), routes)
-    staged = stage(lines, f"{folder}/audience")
+    staged = stage(lines, f"{folder}/audience", by="route_key")
 
     # The routes are a setting: a handful of keys, each written on its own so that one failure stops no other.
     outcomes = []
@@ -108,19 +104,11 @@ def run_orders(
             outcomes.append((route, False, None, 0))
         except (Py4JJavaError, PySparkException) as error:
             outcomes.append((route, True, str(error).splitlines()[0], WRITE_FAILED))
-    status = spark.createDataFrame(outcomes, "route_key string, is_error boolean, message string, error_code int")
+    status = local_rows(spark, outcomes, "route_key string, is_error boolean, message string, error_code int")
 
-    good = union_ids(mark_exported(staged, status, as_of))
     if create_activity:
-        contacts = staged.join(good.select("id"), "id", "left_semi").select(F.col("source_contact_id").alias("contact_id"))
+        written = staged.join(status.filter(~F.col("is_error")), "route_key", "left_semi")
+        contacts = written.select(F.col("source_contact_id").alias("contact_id"))
         _write_follow_up(t, contacts, folder, subject, ORDER_CAMPAIGN)
-    good.write.parquet(f"{ledger}/run_id={run_id}")
+    mark_exported(staged, status, as_of).write.parquet(f"{ledger}/run_id={run_id}")
     return summary(staged, routes, as_of, status, report_empty=False)
-
-
-def _read_ledger(routes: DataFrame, ledger: str) -> DataFrame | None:
-    spark = routes.sparkSession
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.parquet(ledger)
