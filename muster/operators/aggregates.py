@@ -30,7 +30,7 @@ def concat_distinct(df: DataFrame, key: str, column: str, sep: str = ", ", out:
 
     Repeats are removed before the shuffle, so a key's list is as long as its number of different texts.
     """
-    texts = F.array_sort(F.collect_set(column))
+    texts = F.sort_array(F.collect_set(column))
     return df.groupBy(key).agg(_joined(texts, sep).alias(out or column))
 
 
@@ -43,7 +43,7 @@ def concat_in_order(df: DataFrame, key: str, columns: Sequence[str], order: str,
     entries = F.collect_list(F.struct(F.col(order).alias("_at"), *columns))
 
     def texts(column: str) -> Column:
-        ordered = F.array_sort(F.transform(entries, lambda e: F.struct(e["_at"].alias("at"), e[column].alias("text"))))
+        ordered = F.sort_array(F.transform(entries, lambda e: F.struct(e["_at"].alias("at"), e[column].alias("text"))))
         # Keeps the first of equal texts.
         return F.array_distinct(F.array_compact(F.transform(ordered, lambda e: e["text"])))
 

@@ -9,6 +9,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from muster.schemas import SCHEMAS
 from muster.sources.local import local_rows
@@ -75,6 +76,9 @@ _TOP_CAMPAIGNS = [
 ]
 
 
+_SCHEMAS: dict[str, dict[str, T.StructType]] = {}
+
+
 class DerivedTables(LazyTables):
     """The CRM tables over the parquet files of one test data folder."""
 
@@ -86,9 +90,16 @@ class DerivedTables(LazyTables):
 
     def base(self, name: str) -> DataFrame:
         if name not in self._base:
-            self._base[name] = self._spark.read.parquet(f"{self._directory}/{name}.parquet")
+            self._base[name] = self._read(f"{self._directory}/{name}.parquet")
         return self._base[name]
 
+    def _read(self, path: str) -> DataFrame:
+        """Infer a file's schema once per session; each inference is a job of its own."""
+        known = _SCHEMAS.setdefault(self._spark.sparkContext.applicationId, {})
+        if path not in known:
+            known[path] = self._spark.read.parquet(path).schema
+        return self._spark.read.schema(known[path]).parquet(path)
+
     def rows(self, name: str, values: list[tuple]) -> DataFrame:
         return local_rows(self._spark, values, SCHEMAS[name])
 
