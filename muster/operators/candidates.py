@@ -1,0 +1,34 @@
+"""Cutting large tables down to the rows an export can still need."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows of at most three numbers, so a broadcast stays below some 50 MB.
+MAX_ROWS = 1_000_000
+
+
+class Candidates:
+    """The filtered rows an export starts from.
+
+    Their number is counted once (a filtered scan of one table). Up to ``max_rows`` of them, their keys are sent
+    to every task, and the large tables of contacts, gifts and links are cut down where they are read, before any
+    shuffle. Beyond that nothing is broadcast, and the rules run over the whole tables and are joined by shuffle.
+    The result is the same, as every rule is only ever asked about these rows.
+    """
+
+    def __init__(self, rows: DataFrame, max_rows: int = MAX_ROWS):
+        self.rows = rows
+        self.few = max_rows > 0 and rows.count() <= max_rows
+
+    def cut(self, table: DataFrame, key: str, own_key: str | None = None) -> DataFrame:
+        """``table`` limited to the candidates' keys if they are few, else as it is."""
+        if not self.few:
+            return table
+        keys = self.rows.select(F.col(own_key or key).alias(key))
+        return table.join(F.broadcast(keys), key, "left_semi")
+
+    def hinted(self, rows: DataFrame) -> DataFrame:
+        """Rows that are no more than the candidates, marked for broadcast if these are few."""
+        return F.broadcast(rows) if self.few else rows

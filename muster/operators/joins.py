@@ -89,12 +89,11 @@ def with_recurring(df: DataFrame, t: Tables, as_of: datetime | None = None) -> D
     return df.join(payment, "id").join(due, "membership_recurring_contribution")
 
 
-def membership_contributions(t: Tables, statuses: Sequence[str]) -> DataFrame:
-    """Links (membership_id, contribution_id) whose contribution has one of the statuses."""
+def membership_contributions(t: Tables, statuses: Sequence[str], links: DataFrame | None = None) -> DataFrame:
+    """Links (membership_id, contribution_id), all or some, whose contribution has one of the statuses."""
     wanted = has_option(t["contribution"], t, "contribution_status_id", "contribution_status", statuses)
-    return t["membership_payment"].join(
-        wanted.select(F.col("id").alias("contribution_id")), "contribution_id", "left_semi"
-    )
+    links = t["membership_payment"] if links is None else links
+    return links.join(wanted.select(F.col("id").alias("contribution_id")), "contribution_id", "left_semi")
 
 
 def order_contacts(t: Tables, orders: DataFrame) -> DataFrame:

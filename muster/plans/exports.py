@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from muster.functions.text import customer_no_cut, customer_no_full, name_by_type, typed_null
 from muster.operators.aggregates import concat_distinct, distinct_rows
+from muster.operators.candidates import MAX_ROWS, Candidates
 from muster.operators.filters import (
     filter_type,
     keep_unflagged,
@@ -102,33 +103,36 @@ def export_mailing(t: Tables, checked: bool = True) -> DataFrame:
     return project(unique_or_fail(rows, "contact_id") if checked else rows, MAILING_KEYS)
 
 
-def membership_kinds(t: Tables, as_of: datetime) -> DataFrame:
+def membership_kinds(t: Tables, as_of: datetime, candidates: Candidates | None = None) -> DataFrame:
     """The contacts of new direct debit memberships, each with the names of the kinds of these memberships."""
     kinds = t["membership_type"].select(
         F.col("id").alias("membership_type_id"), F.col("name").alias("membership_type")
     )
-    named = rules.new_direct_debits(t, as_of).join(kinds, "membership_type_id", "left")
+    named = rules.new_direct_debits(t, as_of, candidates).join(kinds, "membership_type_id", "left")
     return concat_distinct(require(named, "contact_id"), "contact_id", "membership_type")
 
 
-def export_welcome_post(t: Tables, as_of: datetime, campaign: str = rules.MAILING_CAMPAIGN) -> DataFrame:
+def export_welcome_post(
+    t: Tables, as_of: datetime, campaign: str = rules.MAILING_CAMPAIGN, max_candidates: int = MAX_ROWS
+) -> DataFrame:
     """New direct debit members with a clean address; a second primary address gives a second line.
 
     Address rule and address columns come from the same joined rows. A contact missing in the contact table
     has no address to be judged by and stays.
     """
+    new = Candidates(rules.joined_recently(t, as_of).select("contact_id"), max_candidates)
     audience = suppress(
-        membership_kinds(t, as_of),
+        membership_kinds(t, as_of, new),
         [
             rules.tagged(t, rules.TAGS_POST),
             rules.group_member(t),
-            rules.major_donor(t, as_of),
-            rules.recent_mailing(t, as_of, campaign),
+            rules.major_donor(t, as_of, candidates=new),
+            rules.recent_mailing(t, as_of, campaign, new),
         ],
         "contact_id",
     )
     contact = t["contact"].withColumnRenamed("id", "contact_id").withColumn("_known", F.lit(True))
-    rows = rules.postal_profile(t, audience.join(contact, "contact_id", "left"))
+    rows = rules.postal_profile(t, audience.join(new.cut(contact, "contact_id"), "contact_id", "left"), new)
     rows = suppress_where(rows, F.col("_known") & postal_reasons(), "contact_id")
     rows = option_label(rows, t, "prefix_id", "individual_prefix", out="anrede").select(
         "contact_id",
@@ -157,28 +161,42 @@ def welcome_email_base(t: Tables) -> DataFrame:
 
 
 def export_welcome_email(
-    t: Tables, as_of: datetime, floor: str | None = "2017-07-12", checked: bool = True
+    t: Tables,
+    as_of: datetime,
+    floor: str | None = "2017-07-12",
+    checked: bool = True,
+    max_candidates: int = MAX_ROWS,
 ) -> DataFrame:
-    """E-mailable contacts with a new direct debit membership; two different e-mails of one contact fail."""
-    base = distinct_rows(welcome_email_base(t), EMAIL_KEYS)
+    """E-mailable contacts with a new direct debit membership.
+
+    Two different primary e-mails of any e-mailable contact, exported or not, fail the export. That check reads
+    all contacts; with ``checked=False`` only the candidates are read.
+    """
+    new = Candidates(rules.joined_recently(t, as_of).select("contact_id"), max_candidates)
+    base = welcome_email_base(t)
     if checked:
-        base = unique_or_fail(base, "contact_id")
+        base = unique_or_fail(distinct_rows(base, EMAIL_KEYS), "contact_id")
+    else:
+        base = distinct_rows(new.cut(base, "contact_id"), EMAIL_KEYS)
     left = suppress(
-        base,
+        keep(base, rules.recent_direct_debit(t, as_of, floor, new), "contact_id"),
         [
             rules.tagged(t, rules.TAGS_MAIL_AND_CALL),
             rules.group_member(t),
-            rules.major_donor(t, as_of, status=None),
+            rules.major_donor(t, as_of, status=None, candidates=new),
         ],
         "contact_id",
     )
-    return project(keep(left, rules.recent_direct_debit(t, as_of, floor), "contact_id"), EMAIL_KEYS)
+    return project(left, EMAIL_KEYS)
 
 
-def callable_contacts(t: Tables) -> DataFrame:
+def callable_contacts(t: Tables, candidates: Candidates | None = None) -> DataFrame:
     """Contacts that may be phoned and have any number."""
-    open_to_calls = keep_unflagged(t["contact"], ["is_deceased", "is_deleted", "do_not_phone"])
-    return with_phone(open_to_calls.select(F.col("id").alias("contact_id")), t["phone"])
+    contact = t["contact"].withColumnRenamed("id", "contact_id")
+    phone = t["phone"]
+    if candidates is not None:
+        contact, phone = candidates.cut(contact, "contact_id"), candidates.cut(phone, "contact_id")
+    return with_phone(keep_unflagged(contact, ["is_deceased", "is_deleted", "do_not_phone"]).select("contact_id"), phone)
 
 
 def last_month_memberships(t: Tables, as_of: datetime) -> DataFrame:
@@ -192,29 +210,36 @@ def call_base(t: Tables, as_of: datetime) -> DataFrame:
     return keep(pairs, callable_contacts(t), "contact_id")
 
 
-def call_suppressed(t: Tables, as_of: datetime, fanout: bool = True) -> DataFrame:
+def call_suppressed(
+    t: Tables, as_of: datetime, fanout: bool = True, candidates: Candidates | None = None
+) -> DataFrame:
     """Contacts that get no call. The two contact-history rules read the links once."""
     if fanout:
         # Counted before any other rule takes effect.
         copies = last_month_memberships(t, as_of).select("contact_id")
-        donors = rules.major_donor_fanout(t, copies, as_of)
+        donors = rules.major_donor_fanout(t, copies, as_of, candidates=candidates)
     else:
-        donors = rules.major_donor(t, as_of)
+        donors = rules.major_donor(t, as_of, candidates=candidates)
     history = union_ids(rules.call_activities(t), rules.tree_activities(t, as_of))
-    return union_ids(rules.tagged(t, rules.TAGS_MAIL_AND_CALL), donors, rules.activity_targets(t, history))
+    reached = rules.activity_targets(t, history, candidates)
+    return union_ids(rules.tagged(t, rules.TAGS_MAIL_AND_CALL), donors, reached)
 
 
-def export_welcome_call(t: Tables, as_of: datetime, fanout: bool = True) -> DataFrame:
+def export_welcome_call(
+    t: Tables, as_of: datetime, fanout: bool = True, max_candidates: int = MAX_ROWS
+) -> DataFrame:
     """Contacts to be called about a brand-new membership.
 
     A contact stays when one of its memberships survives the membership rules, so these run first, per
     membership; what is left is one row per contact, and all contact rules are semi and anti joins on that.
     """
-    kept = rules.recruited(t, as_of, memberships=last_month_memberships(t, as_of))
+    recent = last_month_memberships(t, as_of)
+    new = Candidates(recent.select("id", "contact_id"), max_candidates)
+    kept = rules.recruited(t, as_of, memberships=recent, candidates=new)
     pairs = kept.select("contact_id", F.col("id").alias("membership_id"))
-    unpaid = suppress(pairs, [rules.membership_settled(t)], "membership_id")
-    contacts = keep(unpaid.select("contact_id").distinct(), callable_contacts(t), "contact_id")
-    return project(suppress(contacts, [call_suppressed(t, as_of, fanout)], "contact_id"), CALL_KEYS)
+    unpaid = suppress(pairs, [rules.membership_settled(t, new)], "membership_id")
+    contacts = keep(unpaid.select("contact_id").distinct(), callable_contacts(t, new), "contact_id")
+    return project(suppress(contacts, [call_suppressed(t, as_of, fanout, new)], "contact_id"), CALL_KEYS)
 
 
 def order_lines(t: Tables, orders: DataFrame) -> DataFrame:

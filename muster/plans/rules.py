@@ -1,4 +1,7 @@
-"""Suppression and keep rules: each maps the tables to a distinct set of contact or membership ids."""
+"""Suppression and keep rules: each maps the tables to a distinct set of contact or membership ids.
+
+Rules over large tables take optional ``candidates``: they then need to be right about these only.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.operators.aggregates import sum_at_least, sum_by
+from muster.operators.candidates import Candidates
 from muster.operators.filters import (
     after,
     floor_date,
@@ -52,18 +56,27 @@ def group_member(t: Tables, title: str = LEGACY_GROUP) -> DataFrame:
     return has_value(t["group_contact"], t["group"], "group_id", "title", [title]).select("contact_id").distinct()
 
 
-def _year_of_gifts(t: Tables, as_of: datetime, status: str | None) -> DataFrame:
+def _cut(table: DataFrame, key: str, candidates: Candidates | None, own_key: str | None = None) -> DataFrame:
+    return table if candidates is None else candidates.cut(table, key, own_key)
+
+
+def _year_of_gifts(t: Tables, as_of: datetime, status: str | None, candidates: Candidates | None) -> DataFrame:
     gifts = since(t["contribution"], "receive_date", as_of, (1, "YEAR"))
     if status is not None:
         gifts = has_option(gifts, t, "contribution_status_id", "contribution_status", [status])
-    return gifts.filter(F.col("contact_id").isNotNull())
+    return _cut(gifts.filter(F.col("contact_id").isNotNull()), "contact_id", candidates)
 
 
 def major_donor(
-    t: Tables, as_of: datetime, threshold: float = MAJOR_DONOR_SUM, status: str | None = "Completed"
+    t: Tables,
+    as_of: datetime,
+    threshold: float = MAJOR_DONOR_SUM,
+    status: str | None = "Completed",
+    candidates: Candidates | None = None,
 ) -> DataFrame:
     """Contacts whose gifts within a year reach the threshold; ``status=None`` counts gifts of any status."""
-    return sum_at_least(_year_of_gifts(t, as_of, status), "contact_id", "total_amount", threshold).select("contact_id")
+    gifts = _year_of_gifts(t, as_of, status, candidates)
+    return sum_at_least(gifts, "contact_id", "total_amount", threshold).select("contact_id")
 
 
 def major_donor_fanout(
@@ -72,24 +85,26 @@ def major_donor_fanout(
     as_of: datetime,
     threshold: float = MAJOR_DONOR_SUM,
     status: str | None = "Completed",
+    candidates: Candidates | None = None,
 ) -> DataFrame:
     """As ``major_donor``, with each contact's sum counted once per row the contact has in ``base``.
 
     Both sides are grouped by contact before they meet, so the repeated gifts are multiplied, not produced.
     """
-    sums = sum_by(_year_of_gifts(t, as_of, status), "contact_id", "total_amount")
+    sums = sum_by(_year_of_gifts(t, as_of, status, candidates), "contact_id", "total_amount")
     copies = base.groupBy("contact_id").agg(F.count(F.lit(1)).alias("_copies"))
     reached = F.col("total") * F.col("_copies") >= threshold
     return sums.join(copies, "contact_id").filter(reached).select("contact_id")
 
 
-def activity_targets(t: Tables, activities: DataFrame) -> DataFrame:
+def activity_targets(t: Tables, activities: DataFrame, candidates: Candidates | None = None) -> DataFrame:
     """Contacts that are a target of one of the activities (activity_id).
 
     The links stay the streamed side of a semi join. One mass mailing links a large part of all contacts; both
     inputs come straight from their shuffle, so adaptive execution can split that activity's links.
     """
     links = with_role(t["activity_contact"]).select("activity_id", "contact_id")
+    links = _cut(links, "contact_id", candidates)
     return links.join(activities, "activity_id", "left_semi").select("contact_id").distinct()
 
 
@@ -111,9 +126,11 @@ def tree_activities(t: Tables, as_of: datetime, root: str = PHONE_ROOT) -> DataF
     return under_root(done, t["campaign"], root).select(F.col("id").alias("activity_id"))
 
 
-def recent_mailing(t: Tables, as_of: datetime, ext_id: str = MAILING_CAMPAIGN) -> DataFrame:
+def recent_mailing(
+    t: Tables, as_of: datetime, ext_id: str = MAILING_CAMPAIGN, candidates: Candidates | None = None
+) -> DataFrame:
     """Contacts reached by the campaign within six months."""
-    return activity_targets(t, mailing_activities(t, as_of, ext_id))
+    return activity_targets(t, mailing_activities(t, as_of, ext_id), candidates)
 
 
 def previous_call(t: Tables, ext_id: str = CALL_CAMPAIGN, title: str = CALL_CAMPAIGN_TITLE) -> DataFrame:
@@ -126,9 +143,12 @@ def campaign_tree_contact(t: Tables, as_of: datetime, root: str = PHONE_ROOT) ->
     return activity_targets(t, tree_activities(t, as_of, root))
 
 
-def membership_failed(t: Tables, statuses: Sequence[str] = FAILED) -> DataFrame:
+def membership_failed(
+    t: Tables, statuses: Sequence[str] = FAILED, candidates: Candidates | None = None
+) -> DataFrame:
     """Memberships with a failed contribution."""
-    return membership_contributions(t, statuses).select("membership_id").distinct()
+    links = _cut(t["membership_payment"], "membership_id", candidates, own_key="id")
+    return membership_contributions(t, statuses, links).select("membership_id").distinct()
 
 
 def membership_paid(t: Tables) -> DataFrame:
@@ -136,16 +156,15 @@ def membership_paid(t: Tables) -> DataFrame:
     return membership_failed(t, PAID)
 
 
-def membership_settled(t: Tables) -> DataFrame:
+def membership_settled(t: Tables, candidates: Candidates | None = None) -> DataFrame:
     """Memberships of either kind, in one pass over links and contributions."""
-    return membership_failed(t, [*FAILED, *PAID])
+    return membership_failed(t, [*FAILED, *PAID], candidates)
 
 
-def postal_profile(t: Tables, contact: DataFrame) -> DataFrame:
+def postal_profile(t: Tables, contact: DataFrame, candidates: Candidates | None = None) -> DataFrame:
     """``contact`` (contact_id, ...) with primary address, returned letters and country code."""
-    address = join_dim(
-        t["address"].filter(F.col("is_primary") == 1), t["address_statistics"], "id", ["rts_counter"], key="entity_id"
-    )
+    primary = _cut(t["address"].filter(F.col("is_primary") == 1), "contact_id", candidates)
+    address = join_dim(primary, t["address_statistics"], "id", ["rts_counter"], key="entity_id")
     address = join_dim(address, t["country"], "country_id", ["iso_code"])
     return join_primary(contact, address, ["street_address", "postal_code", "city", "rts_counter", "iso_code"])
 
@@ -156,8 +175,10 @@ def postal_ineligible(t: Tables) -> DataFrame:
     return postal_profile(t, contact).filter(postal_reasons()).select("contact_id").distinct()
 
 
-def paying_memberships(t: Tables, memberships: DataFrame | None = None) -> DataFrame:
-    """Memberships (all, or the given ones) that are active and paid by direct debit."""
+def paying_memberships(
+    t: Tables, memberships: DataFrame | None = None, candidates: Candidates | None = None
+) -> DataFrame:
+    """Memberships (all, or the given ones out of the candidates) that are active and paid by direct debit."""
     active = has_value(
         t["membership"] if memberships is None else memberships,
         t["membership_status"],
@@ -168,29 +189,44 @@ def paying_memberships(t: Tables, memberships: DataFrame | None = None) -> DataF
     payment = has_option(
         t["value_membership_payment"], t, "payment_instrument", "payment_instrument", DIRECT_DEBIT, by="name"
     ).select(F.col("entity_id").alias("id"), "membership_recurring_contribution")
+    if candidates is not None:
+        active = candidates.hinted(active)
     return active.join(payment, "id")
 
 
-def new_direct_debits(t: Tables, as_of: datetime) -> DataFrame:
-    """Such memberships joined from six months to two days ago."""
-    return paying_memberships(t, since(t["membership"], "join_date", as_of, (6, "MONTH"), until=(2, "DAY")))
+def joined_recently(t: Tables, as_of: datetime) -> DataFrame:
+    """Memberships joined from six months to two days ago."""
+    return since(t["membership"], "join_date", as_of, (6, "MONTH"), until=(2, "DAY"))
+
+
+def new_direct_debits(t: Tables, as_of: datetime, candidates: Candidates | None = None) -> DataFrame:
+    """Those of them that are active and paid by direct debit; ``candidates`` are the recently joined ones."""
+    return paying_memberships(t, joined_recently(t, as_of), candidates)
 
 
-def recent_direct_debit(t: Tables, as_of: datetime, floor: str | None = None) -> DataFrame:
+def recent_direct_debit(
+    t: Tables, as_of: datetime, floor: str | None = None, candidates: Candidates | None = None
+) -> DataFrame:
     """Their contacts; ``floor`` is an additional first join day."""
-    joined = new_direct_debits(t, as_of)
+    joined = new_direct_debits(t, as_of, candidates)
     if floor is not None:
         joined = floor_date(joined, "join_date", floor)
     return joined.filter(F.col("contact_id").isNotNull()).select("contact_id").distinct()
 
 
-def recruited(t: Tables, as_of: datetime, root: str = STREET_ROOT, memberships: DataFrame | None = None) -> DataFrame:
+def recruited(
+    t: Tables,
+    as_of: datetime,
+    root: str = STREET_ROOT,
+    memberships: DataFrame | None = None,
+    candidates: Candidates | None = None,
+) -> DataFrame:
     """Active direct debit memberships with a charge still to come, recruited under the root campaign."""
     due = after(t["contribution_recur"], "next_sched_contribution_date", as_of).select(
         F.col("id").alias("membership_recurring_contribution")
     )
-    candidates = under_root(t["membership"] if memberships is None else memberships, t["campaign"], root)
-    return paying_memberships(t, candidates).join(due, "membership_recurring_contribution", "left_semi")
+    under = under_root(t["membership"] if memberships is None else memberships, t["campaign"], root)
+    return paying_memberships(t, under, candidates).join(due, "membership_recurring_contribution", "left_semi")
 
 
 def recruited_membership(t: Tables, as_of: datetime, root: str = STREET_ROOT) -> DataFrame:

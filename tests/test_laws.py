@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from muster.operators import sets, skew
+from muster.operators.candidates import Candidates
 from muster.plans import exports, rules
 from muster.sources.derived import AS_OF, FLOOR_DAY, DerivedTables
 from muster.sources.local import local_rows
@@ -80,6 +81,27 @@ def test_settled_is_failed_or_paid(t):
     assert values(rules.membership_settled(t), "membership_id") == values(both, "membership_id")
 
 
+@pytest.mark.parametrize(
+    "export",
+    [
+        lambda t, n: exports.export_welcome_post(t, AS_OF, max_candidates=n),
+        lambda t, n: exports.export_welcome_email(t, AS_OF, FLOOR_DAY, max_candidates=n),
+        lambda t, n: exports.export_welcome_email(t, AS_OF, FLOOR_DAY, checked=False, max_candidates=n),
+        lambda t, n: exports.export_welcome_call(t, AS_OF, max_candidates=n),
+        lambda t, n: exports.export_welcome_call(t, AS_OF, fanout=False, max_candidates=n),
+    ],
+)
+def test_few_and_many_candidates_give_the_same_rows(t, export):
+    many, few = spark_rows(export(t, 0)), spark_rows(export(t, 10**6))
+    assert many == few and few[1]
+
+
+def test_candidates_are_few_up_to_the_limit(spark):
+    assert Candidates(spark.range(10), 10).few
+    assert not Candidates(spark.range(11), 10).few
+    assert not Candidates(spark.range(0), 0).few
+
+
 # Frequent keys.
 
 

@@ -90,6 +90,34 @@ def test_large_tables_are_read_once(stored, spark):
     assert scans("email", "contribution") == 1
 
 
+def _fact_shuffles(plan: str, table: str) -> int:
+    """Scans of a table whose rows are shuffled without having met a broadcast semi join before."""
+    lines = plan.splitlines()
+    found = 0
+    for number, line in enumerate(lines):
+        if f"/{table}.parquet" not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        for above in reversed(lines[:number]):
+            level = len(above) - len(above.lstrip(" :+-*()0123456789"))
+            if level < depth:
+                depth = level
+                if "BroadcastHashJoin" in above and "LeftSemi" in above:
+                    break
+                if "Exchange hashpartitioning" in above:
+                    found += 1
+                    break
+    return found
+
+
+def test_few_candidates_cut_the_large_tables_before_any_shuffle(stored):
+    for export in (exports.export_welcome_post, exports.export_welcome_call):
+        few, many = _plan(export(stored, AS_OF), 100), _plan(export(stored, AS_OF, max_candidates=0), 100)
+        for table in ("activity_contact", "address" if "post" in export.__name__ else "membership_payment"):
+            assert _fact_shuffles(few, table) == 0, (export, table)
+            assert _fact_shuffles(many, table) == 1, (export, table)
+
+
 def test_quiet_day_reads_no_memberships(stored):
     plan = _plan(exports.call_base(stored, AS_OF.replace(day=16)))
     assert "LocalTableScan <empty>" in plan and "FileScan" not in plan
