@@ -52,6 +52,8 @@ ORDER_KEYS = [
 ]
 # The groups whose status the mailing file shows, by column.
 STATUS_GROUPS = {"Community_NL": "Community NL", "Donation_Info": "Donation Info"}
+# Fixed value: members who joined before this day get no welcome e-mail.
+EMAIL_FLOOR = "2017-07-12"
 
 
 def project(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -163,7 +165,7 @@ def welcome_email_base(t: Tables) -> DataFrame:
 def export_welcome_email(
     t: Tables,
     as_of: datetime,
-    floor: str | None = "2017-07-12",
+    floor: str | None = EMAIL_FLOOR,
     checked: bool = True,
     max_candidates: int = MAX_ROWS,
 ) -> DataFrame:

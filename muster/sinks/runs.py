@@ -7,12 +7,12 @@ files; a run that breaks before that leaves its orders pending and the next run
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.operators.lookups import Tables, lookup_id
@@ -23,22 +23,33 @@ from muster.sinks.ledger import mark_exported, not_in_ledger, read_ledger
 from muster.sinks.place import stage
 from muster.sinks.summary import summary
 from muster.sources.local import local_rows
-from muster.sources.tables import pending_orders
+from muster.sources.tables import DEFAULT_ROUTE, pending_orders
 
-# Fixed value: the campaign order follow-ups belong to.
-ORDER_CAMPAIGN = "Web_Shop"
+# Campaigns and subjects of the follow-up records.
+POST_CAMPAIGN, POST_SUBJECT = "AKTION-7767", "Welcome Package: Postal"
+EMAIL_CAMPAIGN, EMAIL_SUBJECT = "AKTION-7769", "Welcome Package: Email"
+ORDER_CAMPAIGN, ORDER_SUBJECT = "Web_Shop", "Webshop Versand"
 WRITE_FAILED = 2
 
 
-def _template(t: Tables, subject: str, campaign: str | None):
-    template = {"subject": F.lit(subject), "activity_type": F.lit("Action"), "status": F.lit("Completed")}
-    if campaign is not None:
-        template["campaign_id"] = lookup_id(t["campaign"], F.col("external_identifier") == campaign)
-    return template
+def _attempt(route: str, write: Callable[[], object]) -> tuple[str, bool, str | None, int]:
+    """Run one write; a failure becomes the route's status and stops no other route."""
+    try:
+        write()
+    except (Py4JJavaError, PySparkException) as error:
+        return route, True, str(error).splitlines()[0], WRITE_FAILED
+    return route, False, None, 0
+
+
+def _status(spark: SparkSession, outcomes: Sequence[tuple]) -> DataFrame:
+    return local_rows(spark, outcomes, "route_key string, is_error boolean, message string, error_code int")
 
 
 def _write_follow_up(t: Tables, exported: DataFrame, folder: str, subject: str, campaign: str | None) -> None:
-    record, links = mass_activity(exported, t["contact"], t["activity"], _template(t, subject, campaign))
+    template = {"subject": F.lit(subject), "activity_type": F.lit("Action"), "status": F.lit("Completed")}
+    if campaign is not None:
+        template["campaign_id"] = lookup_id(t["campaign"], F.col("external_identifier") == campaign)
+    record, links = mass_activity(exported, t["contact"], t["activity"], template)
     record.write.parquet(f"{folder}/activity")
     links.write.parquet(f"{folder}/activity_contact")
 
@@ -55,14 +66,50 @@ def run_file_export(
     subject: str = "",
     campaign: str | None = None,
 ) -> DataFrame:
-    """One file on the default route; follow-up records only if rows were written. Returns the summary."""
+    """One file on the default route; follow-up records only after it was written. Returns the summary."""
     folder = f"{out}/{run_id}"
     staged = stage(rows, f"{folder}/audience")
-    written = write_csv(staged, keys, f"{folder}/file")
-    if written and create_activity:
+    outcome = _attempt(DEFAULT_ROUTE, lambda: write_csv(staged, keys, f"{folder}/file"))
+    if create_activity and not outcome[1] and not staged.isEmpty():
         _write_follow_up(t, staged, folder, subject, campaign)
-    default = routes.filter(F.col("route_key") == "default")
-    return summary(staged.withColumn("route_key", F.lit("default")), default, as_of)
+    default = routes.filter(F.col("route_key") == DEFAULT_ROUTE)
+    return summary(staged.withColumn("route_key", F.lit(DEFAULT_ROUTE)), default, as_of, _status(rows.sparkSession, [outcome]))
+
+
+def run_mailing(
+    t: Tables, routes: DataFrame, out: str, run_id: str, as_of: datetime, create_activity: bool = False, subject: str = ""
+) -> DataFrame:
+    rows = exports.export_mailing(t)
+    return run_file_export(t, rows, exports.MAILING_KEYS, routes, out, run_id, as_of, create_activity, subject)
+
+
+def run_welcome_post(
+    t: Tables,
+    routes: DataFrame,
+    out: str,
+    run_id: str,
+    as_of: datetime,
+    create_activity: bool = False,
+    subject: str = POST_SUBJECT,
+    campaign: str = POST_CAMPAIGN,
+) -> DataFrame:
+    rows = exports.export_welcome_post(t, as_of, campaign)
+    return run_file_export(t, rows, exports.POST_KEYS, routes, out, run_id, as_of, create_activity, subject, campaign)
+
+
+def run_welcome_email(
+    t: Tables,
+    routes: DataFrame,
+    out: str,
+    run_id: str,
+    as_of: datetime,
+    create_activity: bool = False,
+    subject: str = EMAIL_SUBJECT,
+    campaign: str = EMAIL_CAMPAIGN,
+    floor: str | None = exports.EMAIL_FLOOR,
+) -> DataFrame:
+    rows = exports.export_welcome_email(t, as_of, floor)
+    return run_file_export(t, rows, exports.EMAIL_KEYS, routes, out, run_id, as_of, create_activity, subject, campaign)
 
 
 def run_calls(t: Tables, out: str, run_id: str, as_of: datetime, plan: CallPlan = CallPlan()) -> DataFrame:
@@ -82,13 +129,14 @@ def run_orders(
     as_of: datetime,
     ledger: str,
     create_activity: bool = False,
-    subject: str = "",
+    subject: str = ORDER_SUBJECT,
 ) -> DataFrame:
     """Routed order files, follow-up records, ledger; returns the summary of routes with rows.
 
     ``ledger`` is the folder of all earlier runs' ledger rows. Each run appends its own part
     ``run_id=<run_id>``; that append comes last and is what makes the orders count as exported.
-    There is one follow-up activity per run, linked to the contacts of the routes that were written.
+    There is one follow-up activity per run (not one per order), linked to the contacts of the routes that were
+    written (not to those of failed ones).
     """
     spark = routes.sparkSession
     folder = f"{out}/{run_id}"
@@ -96,16 +144,12 @@ def run_orders(
     lines = exports.with_route(exports.order_lines(t, orders), routes)
     staged = stage(lines, f"{folder}/audience", by="route_key")
 
-    # The routes are a setting: a handful of keys, each written on its own so that one failure stops no other.
-    outcomes = []
-    for (route,) in routes.select("route_key").collect():
-        try:
-            write_routed(staged.filter(F.col("route_key") == route), exports.ORDER_KEYS, f"{folder}/file-{route}")
-            outcomes.append((route, False, None, 0))
-        except (Py4JJavaError, PySparkException) as error:
-            outcomes.append((route, True, str(error).splitlines()[0], WRITE_FAILED))
-    status = local_rows(spark, outcomes, "route_key string, is_error boolean, message string, error_code int")
+    def write(route: str) -> None:
+        write_routed(staged.filter(F.col("route_key") == route), exports.ORDER_KEYS, f"{folder}/file-{route}")
 
+    # The routes are a setting, a handful of keys; staged by route, each write reads its own rows only.
+    keys = [row.route_key for row in routes.select("route_key").collect()]
+    status = _status(spark, [_attempt(route, lambda route=route: write(route)) for route in keys])
     if create_activity:
         written = staged.join(status.filter(~F.col("is_error")), "route_key", "left_semi")
         contacts = written.select(F.col("source_contact_id").alias("contact_id"))

@@ -340,6 +340,18 @@ def test_email_export_merges_equal_and_refuses_different_emails(crm):
         exports.export_welcome_email(_welcome_email_tables(crm, ["a", "b"]), AS_OF, None).collect()
 
 
+def test_email_export_refuses_different_emails_of_any_contact(crm):
+    t = _welcome_email_tables(crm, ["a"])
+    other = crm(
+        contact=[{"id": 2, "hash": "x", **MAILABLE}],
+        email=[{"contact_id": 2, "email": e, "is_primary": 1} for e in "ab"],
+    )
+    t |= {name: t[name].unionByName(other[name]) for name in ("contact", "email")}
+    with pytest.raises(Exception, match="duplicate key contact_id=2"):
+        exports.export_welcome_email(t, AS_OF, None).collect()
+    assert exports.export_welcome_email(t, AS_OF, None, checked=False).count() == 1
+
+
 def test_email_export_floor_day(crm):
     t = _welcome_email_tables(crm, ["a"])
     assert exports.export_welcome_email(t, AS_OF).count() == 0

@@ -11,9 +11,10 @@ from conftest import OPTION_GROUPS, option, values
 from pyspark.sql import functions as F
 
 from muster.functions.text import csv_line
-from muster.plans.exports import ORDER_KEYS
+from muster.plans.exports import EMAIL_KEYS, MAILING_KEYS, ORDER_KEYS, POST_KEYS
 from muster.sinks import files, follow_up, ledger, place, runs
 from muster.sinks.summary import summary
+from muster.sources.derived import DerivedTables
 from muster.sources.local import local_rows
 from muster.sources.tables import load_tables, routes
 
@@ -213,6 +214,43 @@ def test_file_run(crm, spark, folder):
     assert not glob.glob(f"{folder}/r2/file") and not glob.glob(f"{folder}/r2/activity*")
 
 
+def test_file_run_with_a_failing_write(crm, spark, folder):
+    t = crm(contact=[{"id": 1}], activity=[{"id": 4}])
+    rows = local_rows(spark, [(1, "a b")], "contact_id bigint, Email string")
+    rows.select("Email").write.text(f"{folder}/r1/file")
+    report = runs.run_file_export(
+        t, rows, ["Email", "contact_id"], routes(spark, SETTING), folder, "r1", AS_OF, create_activity=True
+    ).first()
+    assert (report["count"], report.is_error, report.error_code) == (1, True, 2)
+    assert "file" in report.message.lower()
+    assert not glob.glob(f"{folder}/r1/activity*")
+
+
+@pytest.mark.parametrize(
+    ("run", "keys", "count"),
+    [
+        (lambda *a: runs.run_mailing(*a, create_activity=True, subject="sent"), MAILING_KEYS, 57),
+        (lambda *a: runs.run_welcome_post(*a, create_activity=True), POST_KEYS, 5),
+        (lambda *a: runs.run_welcome_email(*a, create_activity=True, floor="1995-01-01"), EMAIL_KEYS, 1),
+    ],
+)
+def test_whole_runs(spark, folder, run, keys, count):
+    t = DerivedTables(spark, "/root/testdata/sf0.001")
+    report = run(t, routes(spark, SETTING), folder, "r", AS_OF).first()
+    assert (report["count"], report.is_error) == (count, False)
+    staged = spark.read.parquet(f"{folder}/r/audience")
+    back = files.read_csv(spark, f"{folder}/r/file", staged.select(*keys).schema)
+    assert back.exceptAll(staged.select(*keys)).isEmpty() and back.count() == count
+    links = spark.read.parquet(f"{folder}/r/activity_contact")
+    assert values(links, "contact_id") == values(staged, "contact_id")
+
+
+def test_call_run(spark, folder):
+    calls = runs.run_calls(DerivedTables(spark, "/root/testdata/sf0.01"), folder, "r", AS_OF)
+    assert calls.count() == 12
+    assert spark.read.parquet(f"{folder}/r/activity_contact").count() == 60
+
+
 def test_tables_are_checked_against_the_contract(crm, spark, folder):
     t = crm(country=[{"id": 1, "iso_code": "AT"}])
     t["country"].write.parquet(f"{folder}/country.parquet")
