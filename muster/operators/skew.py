@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_HOT_KEYS = 128
-HOT_SHARE = 0.005
-BUCKETS = 64
+MAX_PARTS = 64
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
+def hot_share(partitions: int) -> float:
+    """From which share of all rows on a key is frequent: twice an even partition, between 0.5 % and 20 %."""
+    return min(max(2 / partitions, 0.005), 0.2)
+
+
+def hot_keys(df: DataFrame, key: str, share: float) -> list:
     """Keys that hold at least ``share`` of all rows, NULL included: never more than ``MAX_HOT_KEYS`` of them.
 
     Runs a job that reads the key column only: one bounded sketch per task, merged into one row.
@@ -26,10 +30,8 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     return [row["item"] for row in frequent.select("item").collect()]
 
 
-def spread_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, spread_on: str, buckets: int = BUCKETS
-) -> DataFrame:
-    """Join on ``key`` with the left rows of frequent keys dealt out by ``spread_on`` over ``buckets`` parts.
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str, spread_on: str) -> DataFrame:
+    """Join on ``key`` with the left rows of frequent keys dealt out by ``spread_on`` over several parts.
 
     The right rows of these keys, and of no others, are repeated once per part, so every left row still meets
     each of its partners exactly once. Rows without a key match nothing; they are dealt out too. Without a
@@ -39,12 +41,14 @@ def spread_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = hot_keys(left, key)
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(left, key, hot_share(partitions))
     if not hot:
         return left.join(right, key, how)
     frequent = F.col(key).isin([value for value in hot if value is not None])
-    part = F.pmod(F.xxhash64(spread_on), F.lit(buckets)).cast("int")
+    count = min(partitions, MAX_PARTS)
+    part = F.pmod(F.xxhash64(spread_on), F.lit(count)).cast("int")
     dealt = left.withColumn("_part", F.when(frequent | F.col(key).isNull(), part).otherwise(F.lit(0)))
-    parts = F.when(frequent, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    parts = F.when(frequent, F.sequence(F.lit(0), F.lit(count - 1))).otherwise(F.array(F.lit(0)))
     repeated = right.withColumn("_part", F.explode(parts))
     return dealt.join(repeated, [key, "_part"], how).drop("_part")

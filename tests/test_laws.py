@@ -109,11 +109,12 @@ def test_hot_keys_are_found_and_few(spark):
     df = spark.range(30_000).select(
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).alias("k")
     )
-    assert set(skew.hot_keys(df, "k")) == {7, None}
-    assert skew.hot_keys(spark.range(10_000), "id") == []
-    assert skew.hot_keys(spark.range(0), "id") == []
+    assert set(skew.hot_keys(df, "k", 0.2)) == {7, None}
+    assert skew.hot_keys(spark.range(10_000), "id", 0.005) == []
+    assert skew.hot_keys(spark.range(0), "id", 0.005) == []
     even = spark.range(100_000).select((F.col("id") % 150).alias("k"))
-    assert 0 < len(skew.hot_keys(even, "k")) <= skew.MAX_HOT_KEYS
+    assert 0 < len(skew.hot_keys(even, "k", 0.005)) <= skew.MAX_HOT_KEYS
+    assert [skew.hot_share(n) for n in (4, 20, 2000)] == [0.2, 0.1, 0.005]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
