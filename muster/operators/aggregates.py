@@ -21,17 +21,13 @@ def sum_at_least(df: DataFrame, key: str, column: str, threshold: float) -> Data
     return sum_by(df, key, column).filter(F.col("total") >= threshold)
 
 
-def _joined(texts: Column, sep: str) -> Column:
-    return F.when(F.size(texts) > 0, F.array_join(texts, sep))
-
-
 def concat_distinct(df: DataFrame, key: str, column: str, sep: str = ", ", out: str | None = None) -> DataFrame:
     """Per key the distinct texts in their own order; NULLs are left out, a key with nothing else gets NULL.
 
     Repeats are removed before the shuffle, so a key's list is as long as its number of different texts.
     """
-    texts = F.sort_array(F.collect_set(column))
-    return df.groupBy(key).agg(_joined(texts, sep).alias(out or column))
+    texts = F.array_join(F.sort_array(F.collect_set(column)), sep)
+    return df.groupBy(key).agg(F.when(F.count(column) > 0, texts).alias(out or column))
 
 
 def concat_in_order(df: DataFrame, key: str, columns: Sequence[str], order: str, sep: str = ", ") -> DataFrame:
@@ -40,14 +36,14 @@ def concat_in_order(df: DataFrame, key: str, columns: Sequence[str], order: str,
     Texts with the same first value are ordered by themselves, which makes the result repeatable. All rows of a
     key come together, so they should already be reduced to one per text (see ``concat_distinct_by``).
     """
-    entries = F.collect_list(F.struct(F.col(order).alias("_at"), *columns))
 
-    def texts(column: str) -> Column:
-        ordered = F.sort_array(F.transform(entries, lambda e: F.struct(e["_at"].alias("at"), e[column].alias("text"))))
-        # Keeps the first of equal texts.
-        return F.array_distinct(F.array_compact(F.transform(ordered, lambda e: e["text"])))
+    def joined(column: str) -> Column:
+        entries = F.collect_list(F.struct(F.col(order).alias("at"), F.col(column).alias("text")))
+        # Of equal texts the first one stays; NULLs are left out by the join.
+        texts = F.array_distinct(F.sort_array(entries).getField("text"))
+        return F.when(F.count(column) > 0, F.array_join(texts, sep)).alias(column)
 
-    return df.groupBy(key).agg(*[_joined(texts(column), sep).alias(column) for column in columns])
+    return df.groupBy(key).agg(*[joined(column) for column in columns])
 
 
 def concat_distinct_by(
