@@ -24,9 +24,10 @@ def sum_at_least(df: DataFrame, key: str, column: str, threshold: float) -> Data
 def concat_distinct(df: DataFrame, key: str, column: str, sep: str = ", ", out: str | None = None) -> DataFrame:
     """Per key the distinct texts in their own order; NULLs are left out, a key with nothing else gets NULL.
 
-    Repeats are removed before the shuffle, so a key's list is as long as its number of different texts.
+    Repeats are removed before the shuffle, so a key's list is as long as its number of different texts. Texts
+    differ here when their bytes do, whatever their collation.
     """
-    texts = F.array_join(F.sort_array(F.collect_set(column)), sep)
+    texts = F.array_join(F.sort_array(F.collect_set(F.col(column).cast("string"))), sep)
     return df.groupBy(key).agg(F.when(F.count(column) > 0, texts).alias(out or column))
 
 

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from muster.functions.text import customer_no_cut, customer_no_full, name_by_type, typed_null
 from muster.operators.aggregates import concat_distinct, distinct_rows
@@ -57,8 +58,9 @@ EMAIL_FLOOR = "2017-07-12"
 
 
 def project(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The file's columns in the file's order and spelling; a missing one is an error."""
-    return df.select(*keys)
+    """The file's columns in the file's order and spelling, as plain texts; a missing one is an error."""
+    texts = {field.name for field in df.schema if isinstance(field.dataType, T.StringType)}
+    return df.select(*[F.col(key).cast("string").alias(key) if key in texts else key for key in keys])
 
 
 def mailing_base(t: Tables) -> DataFrame:
@@ -280,7 +282,7 @@ def with_route(df: DataFrame, routes: DataFrame, code_column: str = "order_type"
     """Add ``route_key``: the order type's own route, or ``default``."""
     own = routes.select(F.col("route_key").alias("_route"))
     key = F.coalesce(F.col("_route"), F.lit("default")).alias("route_key")
-    return df.join(own, F.col(code_column) == F.col("_route"), "left").select(*df.columns, key)
+    return df.join(own, F.col(code_column).cast("string") == F.col("_route"), "left").select(*df.columns, key)
 
 
 def export_orders(t: Tables, routes: DataFrame) -> DataFrame:

@@ -16,33 +16,47 @@ DEFAULT_ROUTE = "default"
 ORDER_ACTIVITY = "Webshop Order"
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The contract's columns in the contract's types; a missing column is an error."""
+def conform(df: DataFrame, schema: T.StructType, collation: str | None = None) -> DataFrame:
+    """The contract's columns in the contract's types; a missing column is an error.
+
+    With a ``collation`` (say ``UTF8_LCASE``) every comparison of these texts follows it.
+    """
     missing = [field.name for field in schema if field.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
+    if collation is not None:
+        schema = T.StructType([_collated(field, collation) for field in schema])
     return df.to(schema)
 
 
+def _collated(field: T.StructField, collation: str) -> T.StructField:
+    if isinstance(field.dataType, T.StringType):
+        return T.StructField(field.name, T.StringType(collation), field.nullable)
+    return field
+
+
 class LazyTables(dict):
     """Table name -> DataFrame; a table is opened on first use, so a job touches only what it needs."""
 
-    def __init__(self, open_table: Callable[[str], DataFrame]):
+    def __init__(self, open_table: Callable[[str], DataFrame], collation: str | None = None):
         super().__init__()
         self._open = open_table
+        self._collation = collation
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = conform(self._open(name), SCHEMAS[name])
+        self[name] = conform(self._open(name), SCHEMAS[name], self._collation)
         return self[name]
 
 
-def load_tables(spark: SparkSession, directory: str, fmt: str = "parquet") -> LazyTables:
+def load_tables(
+    spark: SparkSession, directory: str, fmt: str = "parquet", collation: str | None = None
+) -> LazyTables:
     """The tables of the contract, each stored as ``<directory>/<table>.<fmt>``.
 
     The stored schema is read and checked against the contract, so that a missing column fails and does not
-    turn into NULLs.
+    turn into NULLs. Texts are compared byte by byte unless a collation is given.
     """
-    return LazyTables(lambda name: spark.read.format(fmt).load(f"{directory}/{name}.{fmt}"))
+    return LazyTables(lambda name: spark.read.format(fmt).load(f"{directory}/{name}.{fmt}"), collation)
 
 
 def rename_custom(df: DataFrame, field_map: Mapping[str, int]) -> DataFrame:

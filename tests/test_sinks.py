@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import glob
+from collections import Counter
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -11,12 +12,13 @@ from conftest import OPTION_GROUPS, option, values
 from pyspark.sql import functions as F
 
 from muster.functions.text import csv_line
+from muster.plans import exports
 from muster.plans.exports import EMAIL_KEYS, MAILING_KEYS, ORDER_KEYS, POST_KEYS
 from muster.sinks import files, follow_up, ledger, place, runs
 from muster.sinks.summary import summary
 from muster.sources.derived import DerivedTables
 from muster.sources.local import local_rows
-from muster.sources.tables import load_tables, routes
+from muster.sources.tables import LazyTables, load_tables, routes
 
 AS_OF = datetime(2001, 7, 15, 12)
 SETTING = (
@@ -262,6 +264,28 @@ def test_tables_are_checked_against_the_contract(crm, spark, folder):
         stored["tag"]
 
 
+def test_collation_is_an_option(spark, folder):
+    derived = DerivedTables(spark, "/root/testdata/sf0.001")
+    plain = LazyTables(lambda name: derived[name])
+    lower = LazyTables(
+        lambda name: derived[name].replace("IMB-1", "user-1", "external_identifier").replace("Individual", "INDIVIDUAL")
+        if name == "contact"
+        else derived[name],
+        "UTF8_LCASE",
+    )
+    usual = exports.export_mailing(plain)
+    found = exports.export_mailing(lower)
+    assert found.schema == usual.schema
+    assert set(values(usual, "contact_id")) - set(values(found, "contact_id")) == {1}
+    assert Counter(exports.export_welcome_post(lower, AS_OF).collect()) == Counter(
+        exports.export_welcome_post(plain, AS_OF).collect()
+    )
+    table = routes(spark, SETTING)
+    assert Counter(exports.export_orders(lower, table).collect()) == Counter(exports.export_orders(plain, table).collect())
+    report = runs.run_orders(lower, table, folder, "r", AS_OF, f"{folder}/ledger")
+    assert {r.is_error for r in report.collect()} == {False}
+
+
 def test_run_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     one, two = place.run_folder(spark), place.run_folder(spark)
