@@ -20,6 +20,7 @@ class Candidates:
 
     def __init__(self, rows: DataFrame, max_rows: int = MAX_ROWS):
         self.rows = rows
+        self.max_rows = max_rows
         self.few = max_rows > 0 and rows.count() <= max_rows
 
     def cut(self, table: DataFrame, key: str, own_key: str | None = None) -> DataFrame:

@@ -89,10 +89,16 @@ def with_recurring(df: DataFrame, t: Tables, as_of: datetime | None = None) -> D
     return df.join(payment, "id").join(due, "membership_recurring_contribution")
 
 
-def membership_contributions(t: Tables, statuses: Sequence[str], links: DataFrame | None = None) -> DataFrame:
-    """Links (membership_id, contribution_id), all or some, whose contribution has one of the statuses."""
-    wanted = has_option(t["contribution"], t, "contribution_status_id", "contribution_status", statuses)
+def membership_contributions(
+    t: Tables, statuses: Sequence[str], links: DataFrame | None = None, contribution: DataFrame | None = None
+) -> DataFrame:
+    """Links (membership_id, contribution_id) whose contribution has one of the statuses.
+
+    ``links`` and ``contribution`` may be the tables' rows that matter.
+    """
     links = t["membership_payment"] if links is None else links
+    contribution = t["contribution"] if contribution is None else contribution
+    wanted = has_option(contribution, t, "contribution_status_id", "contribution_status", statuses)
     return links.join(wanted.select(F.col("id").alias("contribution_id")), "contribution_id", "left_semi")
 
 

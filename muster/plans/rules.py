@@ -147,8 +147,12 @@ def membership_failed(
     t: Tables, statuses: Sequence[str] = FAILED, candidates: Candidates | None = None
 ) -> DataFrame:
     """Memberships with a failed contribution."""
-    links = _cut(t["membership_payment"], "membership_id", candidates, own_key="id")
-    return membership_contributions(t, statuses, links).select("membership_id").distinct()
+    links, contribution = t["membership_payment"], t["contribution"]
+    if candidates is not None and candidates.few:
+        # Few memberships mostly have few payments: counted again, as one may have any number.
+        links = candidates.cut(links, "membership_id", own_key="id")
+        contribution = Candidates(links, candidates.max_rows).cut(contribution, "id", own_key="contribution_id")
+    return membership_contributions(t, statuses, links, contribution).select("membership_id").distinct()
 
 
 def membership_paid(t: Tables) -> DataFrame:
