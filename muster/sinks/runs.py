@@ -73,7 +73,8 @@ def run_file_export(
     if create_activity and not outcome[1] and not staged.isEmpty():
         _write_follow_up(t, staged, folder, subject, campaign)
     default = routes.filter(F.col("route_key") == DEFAULT_ROUTE)
-    return summary(staged.withColumn("route_key", F.lit(DEFAULT_ROUTE)), default, as_of, _status(rows.sparkSession, [outcome]))
+    status = _status(rows.sparkSession, [outcome])
+    return summary(staged.withColumn("route_key", F.lit(DEFAULT_ROUTE)), default, as_of, status)
 
 
 def run_mailing(

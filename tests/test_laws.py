@@ -6,7 +6,7 @@ from collections import Counter
 from functools import reduce
 
 import pytest
-from compare import connect, duck_rows, spark_rows
+from compare import TABLES, connect, duck_rows, spark_rows
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -144,6 +144,33 @@ def test_spread_join_deals_out_the_frequent_key(spark):
     assert sum(sizes) == 8000 and max(sizes) < 8000 * 0.4
 
 
+def test_links_of_a_mass_mailing_are_split(spark):
+    """Half of all links belong to one activity; adaptive execution deals them out over several tasks."""
+    links = spark.range(400_000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("activity_id"),
+        F.xxhash64("id").alias("contact_id"),
+        F.lit(3).alias("record_type_id"),
+    )
+    activities = spark.range(50_000).select(F.col("id").alias("activity_id"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        reached = rules.activity_targets({"activity_contact": links}, activities)
+        reached.collect()
+        plan = reached._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert reached.count() == 200_000 + 25_000
+
+
 @pytest.fixture(scope="module")
 def skewed(tmp_path_factory):
     """Test tables in which one customer, order, part and user hold a third of the rows each."""
@@ -156,7 +183,7 @@ def skewed(tmp_path_factory):
         " CASE WHEN l_suppkey % 3 = 0 THEN 7 ELSE l_partkey END AS l_partkey)",
         "events": "REPLACE (CASE WHEN event_id % 3 = 1 THEN 5 ELSE user_id END AS user_id)",
     }
-    for table in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
+    for table in TABLES:
         duckdb.sql(
             f"COPY (SELECT * {changes.get(table, '')} FROM '/root/testdata/sf0.001/{table}.parquet')"
             f" TO '{folder}/{table}.parquet' (FORMAT parquet)"
