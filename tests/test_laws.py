@@ -158,6 +158,7 @@ def test_links_of_a_mass_mailing_are_split(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
     }
+    before = {key: spark.conf.get(key) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
@@ -165,8 +166,8 @@ def test_links_of_a_mass_mailing_are_split(spark):
         reached.collect()
         plan = reached._jdf.queryExecution().executedPlan().toString()
     finally:
-        for key in settings:
-            spark.conf.unset(key)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     assert "SortMergeJoin(skew=true)" in plan
     assert reached.count() == 200_000 + 25_000
 
