@@ -54,8 +54,8 @@ def option_codes(
 
 
 def option_code(t: Tables, group: str, name: str) -> Column:
-    """The code of one option as a scalar."""
-    return option_codes(t, group, [name], by="name").select("code").scalar()
+    """The code of one option as an int scalar, the type of the columns that hold codes."""
+    return option_codes(t, group, [name], by="name").select(F.col("code").try_cast("int")).scalar()
 
 
 def option_label(
