@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import glob
+import random
 from collections import Counter
 from datetime import datetime
 from types import SimpleNamespace
@@ -51,6 +53,22 @@ def test_csv_text(spark, folder):
     assert _text(folder) == 'c;a;b\n;a;\n pad ;"q""q";"x;y"\n'
 
 
+def test_any_text_survives_the_file(spark, folder):
+    """Random texts of troublesome characters, read by another CSV reader."""
+    source = random.Random(7)
+    alphabet = list("ab ;,\"'\\\n\t|#") + ["ä", "–", "😀", "\r\n"]
+    texts = ["".join(source.choices(alphabet, k=source.randint(1, 12))) for _ in range(3000)]
+    df = local_rows(spark, list(enumerate(texts)), "id int, text string")
+    files.write_csv(df.repartition(3), ["id", "text"], folder)
+    found = {}
+    for part in glob.glob(f"{folder}/part-*"):
+        with open(part, newline="", encoding="utf-8") as lines:
+            rows = list(csv.reader(lines, delimiter=";", quotechar='"', doublequote=True))
+        assert rows[0] == ["id", "text"]
+        found |= {int(number): text for number, text in rows[1:]}
+    assert found == dict(enumerate(texts))
+
+
 def test_no_rows_no_file(spark, folder):
     empty = local_rows(spark, [], "a string, route_key string")
     assert not files.write_csv(empty, ["a"], folder)
