@@ -12,6 +12,7 @@ from muster.operators.aggregates import concat_in_order
 from muster.operators.filters import after
 from muster.operators.lookups import Tables, has_option, join_dim, option_label
 from muster.operators.skew import spread_join
+from muster.operators.updates import unique_or_fail
 
 
 def join_primary(df: DataFrame, detail: DataFrame, cols: Sequence[str], key: str = "contact_id") -> DataFrame:
@@ -106,7 +107,7 @@ def order_contacts(t: Tables, orders: DataFrame) -> DataFrame:
     """The contacts of the orders with prefix, primary address, country and e-mail, as order lines show them.
 
     For a person the organisation name is the employer's. The contacts are cut down to those with an order before
-    anything is joined to them.
+    anything is joined to them. There must be one row per contact: a second one would double its orders and fails.
     """
     buyers = orders.select(F.col("source_contact_id").alias("id")).distinct()
     contact = t["contact"].join(buyers, "id", "left_semi").select(
@@ -117,7 +118,8 @@ def order_contacts(t: Tables, orders: DataFrame) -> DataFrame:
     )
     place = ["street_address", "state_province", "city", "postal_code", "country"]
     named = join_primary(join_primary(contact, address, place, key="id"), t["email"], ["email"], key="id")
-    return option_label(named, t, "prefix_id", "individual_prefix", out="individual_prefix").drop("prefix_id")
+    named = option_label(named, t, "prefix_id", "individual_prefix", out="individual_prefix").drop("prefix_id")
+    return unique_or_fail(named, "id")
 
 
 def with_contact(orders: DataFrame, contact: DataFrame) -> DataFrame:

@@ -525,6 +525,15 @@ def test_order_without_contact_stops_the_export(crm, spark):
             exports.export_orders(_order_tables(crm, [_order(1), _order(2, contact)]), routes(spark, SETTING)).collect()
 
 
+def test_order_contact_must_be_one_row(crm, spark):
+    doubled = _order_tables(crm, [_order(1)], address=[_home(1), _home(1, id=11), _home(2), _home(2, id=21)])
+    with pytest.raises(Exception, match="duplicate key id=1"):
+        exports.export_orders(doubled, routes(spark, SETTING)).collect()
+    # Contact 2 has two addresses as well, but no order.
+    other = _order_tables(crm, [_order(1)], address=[_home(1), _home(2), _home(2, id=21)])
+    assert exports.export_orders(other, routes(spark, SETTING)).count() == 1
+
+
 def test_rename_custom_fields(spark):
     rows = local_rows(spark, [(1, 2)], "custom_7 int, custom_8 int")
     assert rename_custom(rows, {"a": 7, "b": 8}).columns == ["a", "b"]
