@@ -8,6 +8,7 @@ import pytest
 from compare import connect, duck_rows, spark_rows
 
 import __spark_entry__ as driver
+from muster.checks import queries, queries_sql
 
 DIRECTORY = os.environ.get("MUSTER_TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -18,13 +19,14 @@ def duck():
 
 
 def test_every_query_has_an_expected_result():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(queries.queries()) == set(queries_sql.oracle_sql())
+    assert set(queries.queries()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(queries.queries()))
 def test_same_rows(spark, duck, name):
-    columns, found = spark_rows(driver.queries()[name](spark, DIRECTORY))
-    expected_columns, expected = duck_rows(duck, driver.oracle_sql()[name])
+    columns, found = spark_rows(queries.queries()[name](spark, DIRECTORY))
+    expected_columns, expected = duck_rows(duck, queries_sql.oracle_sql()[name])
     assert columns == expected_columns
     assert expected, "an empty expectation checks nothing"
     assert found - expected == {} and expected - found == {}
