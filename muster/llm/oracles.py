@@ -29,6 +29,79 @@ _COMPONENTS = """
     reach AS (SELECT a AS id, b AS other FROM step UNION SELECT reach.id, step.b FROM reach JOIN step ON step.a = reach.other),
     component AS (SELECT id, least(id, min(other)) AS component_id FROM reach GROUP BY id)"""
 
+#: Unit vectors in double precision; vectors without a direction have none.
+_OP1 = f"""
+WITH RECURSIVE unit AS (
+        SELECT vec_id AS id, label, [x / norm FOR x IN v] AS u
+        FROM (SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm
+              FROM (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+                    WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0))
+        WHERE norm > 0
+    ),
+    link AS (
+        SELECT x.id AS a, y.id AS b FROM unit x JOIN unit y ON x.label = y.label AND x.id < y.id AND len(x.u) = len(y.u)
+        WHERE list_dot_product(x.u, y.u) >= 0.98
+    ),
+    {_COMPONENTS},
+    degree AS (SELECT a AS id, count(*) AS n FROM step GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       vec_id = coalesce(component_id, vec_id) AS kept, 1.0::DOUBLE AS audit_recall
+FROM embeddings LEFT JOIN component ON component.id = vec_id LEFT JOIN degree ON degree.id = vec_id
+"""
+
+#: Patterns of op2 by kind, the group that counts and its least length. Keywords as classes: no letters of other
+#: alphabets fold into them.
+_SECRETS = [
+    (
+        "assign",
+        r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+        r"""[Aa][Pp][Ii]_?[Kk][Ee][Yy])["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""",
+        2,
+        12,
+    ),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]+", 0, 16),
+    ("pem", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    ("url", r"://[A-Za-z0-9._-]{1,64}:[^\x00-\x20@/:]{6,128}@", 0, 1),
+]
+
+
+def _op2() -> str:
+    """Matches with the texts between them; the lengths of what lies before a match add up to its start."""
+    kinds = []
+    for rank, (kind, pattern, group, least) in enumerate(_SECRETS):
+        quoted = pattern.replace("'", "''")
+        kinds.append(
+            f"""
+    SELECT doc_id, {rank} AS rank, '{kind}' AS kind,
+           unnest(regexp_extract_all(text, '{quoted}')) AS whole, unnest(regexp_extract_all(text, '{quoted}', {group})) AS part,
+           unnest(string_split_regex(text, '{quoted}')) AS gap, generate_subscripts(string_split_regex(text, '{quoted}'), 1) AS place,
+           {least} AS least
+    FROM texts"""
+        )
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+raw AS ({" UNION ALL ".join(kinds)}),
+placed AS (
+    SELECT *, sum(length(gap) + coalesce(length(whole), 0)) OVER (PARTITION BY doc_id, rank ORDER BY place) - coalesce(length(whole), 0) AS low
+    FROM raw
+),
+spans AS (
+    SELECT doc_id, rank, kind, low, kind || ':' || low || ':' || (low + length(whole)) AS span
+    FROM placed WHERE whole IS NOT NULL AND length(part) >= least
+),
+joined AS (
+    SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+           count(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(span, ',' ORDER BY low, rank) FILTER (rank < 3) AS base, string_agg(span, ',' ORDER BY low, rank) AS spans
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN joined USING (doc_id)
+"""
+
+
 _OP3 = f"""
 WITH RECURSIVE {_shingles("documents", "doc_id")},
     link AS (
@@ -95,6 +168,8 @@ GROUP BY d.id, i.id, n HAVING 100 * count(*) >= 75 * n
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_nn_descent": _OP1,
+        "op2_blob_ledger": _op2(),
         "op3_minhash_forest": _OP3,
         "op5_weighted_mix": _OP5,
         "op7_benchmark_containment": _OP7,

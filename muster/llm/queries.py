@@ -9,27 +9,53 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from muster.llm import (
+    blob_ledger,
     containment,
+    context_mixing,
     forest_dedup,
     language,
+    lookup_shards,
     mixing,
+    nn_descent,
     oracles,
+    surrogates,
     token_planes,
 )
-from muster.llm.common import table
+from muster.llm.common import Stage, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Shards that op6 places documents on.
+SHARDS = [f"shard-{number:03d}" for number in range(128)]
+
+
+def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stage = Stage(spark)
+    found = blob_ledger.scan(table(spark, sf_dir, "documents"), ["doc_id"], f"{stage.folder}/ledger", stage=stage)
+    return blob_ledger.report(found)
+
 
 def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op5_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_lookup_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup_shards.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS, ["doc_id"])
+
+
 def op7_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,13 +70,24 @@ def op9_byte_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.replace(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.col("found")[kind].cast("long").alias(f"n_{kind}") for kind in surrogates.PATTERNS]
+    return replaced.select("doc_id", *counts, "text")
+
+
 def queries() -> dict[str, Query]:
     listed = [
+        op1_nn_descent,
+        op2_blob_ledger,
         op3_minhash_forest,
+        op4_context_mixing,
         op5_weighted_mix,
+        op6_lookup_shards,
         op7_benchmark_containment,
         op8_cross_parsing,
         op9_byte_planes,
+        op10_surrogates,
     ]
     return {query.__name__: query for query in listed} | {"pipeline": corpus_pipeline.run}
 
