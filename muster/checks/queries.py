@@ -24,8 +24,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
 
-def _query(build: Callable[[DerivedTables, SparkSession], DataFrame]):
-    _QUERIES[build.__name__] = lambda spark, directory: build(DerivedTables(spark, directory), spark)
+def _query(build: Callable[[DerivedTables, SparkSession], DataFrame], name: str | None = None):
+    _QUERIES[name or build.__name__] = lambda spark, directory: build(DerivedTables(spark, directory), spark)
     return build
 
 
@@ -46,8 +46,13 @@ def _routes(spark: SparkSession) -> DataFrame:
 
 @_query
 def load_tables(t, spark):
+    """The derived tables stored, then opened by the loader."""
+    folder = place.run_folder(spark)
+    for name in SCHEMAS:
+        t[name].write.parquet(f"{folder}/{name}.parquet")
+    stored = tables.load_tables(spark, folder)
     counts = [
-        t[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+        stored[name].agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name in SCHEMAS
     ]
     return reduce(DataFrame.unionByName, counts)
@@ -98,12 +103,25 @@ def routed_export(t, spark):
 @_query
 def mass_activity(t, spark):
     exported = exports.mailing_base(t).select("contact_id")
-    return follow_up.mass_activity(exported, t["contact"], t["activity"], {"subject": "Export"})[1]
+    record, links = follow_up.mass_activity(exported, t, AS_OF, "Export", "AKTION-7767")
+    return _with_links(record, links)
+
+
+def _with_links(records: DataFrame, links: DataFrame) -> DataFrame:
+    day = F.date_format("activity_date_time", "yyyy-MM-dd HH:mm:ss").alias("activity_date_time")
+    whole = records.withColumnRenamed("id", "activity_id").join(links, "activity_id")
+    kept = ["activity_id", "activity_type_id", "campaign_id", "status_id", "subject", "contact_id", "record_type_id"]
+    return whole.select(*kept, day)
 
 
 @_query
 def call_tasks(t, spark):
-    return follow_up.call_tasks(exports.export_welcome_call(t, AS_OF), AS_OF)[1]
+    """Calls with their links. Numbers differ from run to run, so each call is told by the contact it is for."""
+    numbered = follow_up.number_calls(exports.export_welcome_call(t, AS_OF), t)
+    numbered = place.stage(numbered, f"{place.run_folder(spark)}/calls")
+    records, links = follow_up.call_tasks(numbered, t, AS_OF)
+    wanted = numbered.withColumnRenamed("contact_id", "call_for")
+    return _with_links(records, links).join(wanted, "activity_id").drop("activity_id")
 
 
 @_query
@@ -157,8 +175,9 @@ def not_like_prefix(t, spark):
 @_query
 def in_list(t, spark):
     kinds = t["membership_type"].select(F.col("id").alias("membership_type_id"), F.col("name").alias("membership_type"))
-    named = t["membership"].join(kinds, "membership_type_id")
-    return filters.in_list(named, "membership_type", ["Guardian", "Baum"]).select("id", "membership_type")
+    wanted = lookups.has_value(t["membership"], t["membership_type"], "membership_type_id", "name", ["Guardian", "Baum"])
+    named = wanted.join(kinds, "membership_type_id")
+    return named.select("id", "membership_type")
 
 
 def _day(column: str):
@@ -231,16 +250,13 @@ def option_lookup_join(t, spark):
 
 @_query
 def inner_chain(t, spark):
-    return joins.with_titles(joins.petitions(t), t).distinct()
+    return joins.with_titles(joins.petitions(t), t)
 
 
 @_query
 def multi_key_join(t, spark):
-    surveys = t["survey"].select(
-        F.col("id").alias("survey_id"), F.col("id").alias("source_record_id"), "activity_type_id", "title"
-    )
-    joined = t["activity"].join(surveys, ["source_record_id", "activity_type_id"])
-    return joined.select(F.col("id").alias("activity_id"), "survey_id", "title")
+    titles = t["survey"].select(F.col("id").alias("survey_id"), "title")
+    return joins.survey_activities(t, t["survey"]).join(titles, "survey_id")
 
 
 @_query
@@ -267,7 +283,7 @@ def recurring_payment_join(t, spark):
 
 @_query
 def payment_link_join(t, spark):
-    return joins.membership_contributions(t, ["Completed", "Cancelled"]).distinct()
+    return joins.membership_contributions(t, ["Completed", "Cancelled"])
 
 
 @_query
@@ -282,7 +298,14 @@ def order_contact_join(t, spark):
 
 @_query
 def not_in_null_aware(t, spark):
-    return sets.not_in(_contacts(t), t["uf_match"], "contact_id").select(F.col("contact_id").alias("id"))
+    """Without and with a login of no contact."""
+    logins = t["uf_match"]
+    unknown = logins.unionByName(local_rows(spark, [(None,)], "contact_id bigint"))
+    cases = [
+        sets.not_in(_contacts(t), other, "contact_id").select(F.col("contact_id").alias("id"), F.lit(case).alias("nulls"))
+        for case, other in enumerate([logins, unknown])
+    ]
+    return reduce(DataFrame.unionByName, cases)
 
 
 @_query
@@ -404,8 +427,7 @@ def concat_distinct_sorted(t, spark):
 
 @_query
 def concat_distinct_by_other(t, spark):
-    signed = joins.with_titles(joins.petitions(t), t)
-    return aggregates.concat_distinct_by(signed, "contact_id", ["petition", "campaign_topic"], "activity_id")
+    return joins.petition_texts(t)
 
 
 @_query
@@ -479,11 +501,13 @@ def customer_number_app(t, spark):
     return t["webshop_order"].select("id", number.alias("kundennummer"))
 
 
-@_query
-def name_by_type_(t, spark):
+def _names(t, spark):
     return t["contact"].select("id", name_by_type().alias("nachname"))
 
 
+_query(_names, "name_by_type")
+
+
 @_query
 def typed_null_columns(t, spark):
     return t["contact"].select("id", typed_null("int").alias("package_id"), typed_null("string").alias("co"))
@@ -542,5 +566,3 @@ def export_welcome_call(t, spark):
 def export_orders(t, spark):
     return _shop_lines(t, spark)
 
-
-_QUERIES["name_by_type"] = _QUERIES.pop("name_by_type_")

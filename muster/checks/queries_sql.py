@@ -62,7 +62,7 @@ SHARED: dict[str, str] = {
         JOIN lineage n ON n.id = a.campaign_id AND list_contains(n.names, 'TM')
         WHERE l.record_type_id = 3 AND a.activity_date_time >= {AS_OF} - INTERVAL 3 MONTH""",
     "membership_money": """
-        SELECT DISTINCT mp.membership_id, mp.contribution_id, o.label AS status
+        SELECT mp.membership_id, mp.contribution_id, o.label AS status
         FROM membership_payment mp
         JOIN contribution k ON k.id = mp.contribution_id
         JOIN options o ON o.group_name = 'contribution_status' AND CAST(o.value AS BIGINT) = k.contribution_status_id""",
@@ -90,7 +90,7 @@ SHARED: dict[str, str] = {
           AND c.is_deceased = 0 AND c.is_deleted = 0 AND c.do_not_phone = 0
           AND day({AS_OF}) NOT IN (2, 9, 16, 24)""",
     "signed": """
-        SELECT DISTINCT l.contact_id, l.activity_id, v.title AS petition, c.title AS campaign_topic
+        SELECT l.contact_id, l.activity_id, v.title AS petition, c.title AS campaign_topic
         FROM activity_contact l
         JOIN activity a ON a.id = l.activity_id
         JOIN options o ON o.group_name = 'activity_type' AND o.name = 'Petition'
@@ -154,7 +154,7 @@ SHARED: dict[str, str] = {
     "order_types": "SELECT CAST(value AS BIGINT) AS code, label FROM options WHERE group_name = 'order_type'",
     "shop_lines": """
         SELECT w.id, c.formal_title AS titel, x.label AS anrede, c.first_name AS vorname, c.last_name AS nachname,
-               c.organization_name AS co, a.street_address AS strasse, a.state_province AS state, a.city AS ort,
+               CASE WHEN c.contact_type = 'Individual' THEN c.organization_name END AS co, a.street_address AS strasse, a.state_province AS state, a.city AS ort,
                a.postal_code AS postfach, y.name AS land,
                CASE WHEN length(CAST(coalesce(w.campaign_id, 0) AS VARCHAR)) < 4
                     THEN lpad(CAST(coalesce(w.campaign_id, 0) AS VARCHAR), 4, '0')
@@ -212,10 +212,14 @@ CHECKS: dict[str, str] = {
     "csv_lines": f"SELECT {_line(ORDER_COLUMNS)} AS value FROM shop_lines",
     "routed_export": f"SELECT {ORDER_COLUMNS}, route_key FROM shop_lines",
     "mass_activity": """
-        SELECT (SELECT max(id) + 1 FROM activity) AS activity_id, contact_id, 3 AS record_type_id FROM mailing""",
+        SELECT (SELECT max(id) + 1 FROM activity) AS activity_id, 34 AS activity_type_id,
+               (SELECT id FROM campaign WHERE external_identifier = 'AKTION-7767') AS campaign_id, 2 AS status_id,
+               'Export' AS subject, '2001-07-15 12:00:00' AS activity_date_time, contact_id, 3 AS record_type_id
+        FROM mailing""",
     "call_tasks": """
-        SELECT w.contact_id AS call_for, CASE WHEN p.contact_id = 0 THEN w.contact_id ELSE p.contact_id END AS contact_id,
-               p.record_type_id
+        SELECT w.contact_id AS call_for, 35 AS activity_type_id, 43 AS campaign_id, 1 AS status_id,
+               'Service Call' AS subject, '2001-07-15 12:00:00' AS activity_date_time,
+               CASE WHEN p.contact_id = 0 THEN w.contact_id ELSE p.contact_id END AS contact_id, p.record_type_id
         FROM welcome_call w,
              (VALUES (0, 3), (94, 1), (77, 1), (105, 1), (16, 2)) p(contact_id, record_type_id)""",
     "export_ledger": """
@@ -226,7 +230,7 @@ CHECKS: dict[str, str] = {
         SELECT r.route_key, count(l.id) AS count, r.file || '_20010715120000.csv' AS filename,
                CAST(count(l.id) = 0 AS INTEGER) AS is_error,
                CASE WHEN count(l.id) = 0 THEN 'No data available for upload' END AS message,
-               CAST(count(l.id) = 0 AS INTEGER) AS error_code
+               CAST(count(l.id) = 0 AS INTEGER) AS error_code, CAST(NULL AS VARCHAR) AS follow_up_error
         FROM routes r LEFT JOIN shop_lines l ON l.route_key = r.route_key GROUP BY r.route_key, r.file""",
     # Filters.
     "flags_filter": """
@@ -286,12 +290,15 @@ CHECKS: dict[str, str] = {
         JOIN contribution_recur r ON r.id = p.membership_recurring_contribution
         WHERE r.next_sched_contribution_date > {AS_OF}""",
     "payment_link_join": """
-        SELECT DISTINCT membership_id, contribution_id FROM membership_money WHERE status IN ('Completed', 'Cancelled')""",
+        SELECT membership_id, contribution_id FROM membership_money WHERE status IN ('Completed', 'Cancelled')""",
     "order_contact_join": """
         SELECT w.id, w.source_contact_id, c.first_name, c.last_name FROM webshop_order w
         JOIN contact c ON c.id = w.source_contact_id""",
     # Semi and anti joins.
-    "not_in_null_aware": "SELECT id FROM contact WHERE id NOT IN (SELECT contact_id FROM uf_match)",
+    "not_in_null_aware": """
+        SELECT id, 0 AS nulls FROM contact WHERE id NOT IN (SELECT contact_id FROM uf_match)
+        UNION ALL
+        SELECT id, 1 FROM contact WHERE id NOT IN (SELECT contact_id FROM uf_match UNION ALL SELECT NULL)""",
     "suppress": """
         SELECT id AS contact_id FROM contact WHERE id NOT IN (SELECT contact_id FROM set_tagged_four)
         AND id NOT IN (SELECT contact_id FROM set_group) AND id NOT IN (SELECT contact_id FROM set_major)""",

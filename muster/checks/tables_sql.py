@@ -6,6 +6,12 @@ import re
 
 AS_OF = "TIMESTAMP '2001-07-15 12:00:00'"
 
+# A line's own number: an order may hold one line number several times.
+_LINE_ID = (
+    "CAST('0x' || left(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,"
+    " CAST(round(l_extendedprice * 100) AS BIGINT))), 15) AS BIGINT)"
+)
+
 TABLES: dict[str, str] = {
     "contact": """
         SELECT c_custkey AS id, md5(c_name) AS hash,
@@ -81,7 +87,8 @@ TABLES: dict[str, str] = {
             (4, '1', 'Scheduled', 'Scheduled'), (4, '2', 'Completed', 'Completed'),
             (4, '3', 'Cancelled', 'Cancelled'),
             (5, '32', 'Petition', 'Petition'), (5, '2', 'Phone Call', 'Phone Call'),
-            (5, '33', 'Webshop Order', 'Webshop Order'),
+            (5, '33', 'Webshop Order', 'Webshop Order'), (5, '34', 'Action', 'Action'),
+            (5, '35', 'Outgoing Call', 'Outgoing Call'),
             (6, '0', 'Type 0', 'Type 0'), (6, '1', 'Type 1', 'Type 1'), (6, '2', 'Type 2', 'Type 2'),
             (6, '3', 'Type 3', 'Type 3'), (6, '4', 'Type 4', 'Type 4')) v(option_group_id, value, name, label)""",
     # One row per option with its group's name: how the checks spell "value v of group g".
@@ -103,23 +110,23 @@ TABLES: dict[str, str] = {
     "contribution_recur": """
         SELECT o_orderkey AS id, o_orderdate + to_days(CAST(o_orderkey % 60 AS INTEGER)) AS next_sched_contribution_date
         FROM orders""",
-    "contribution": """
-        SELECT l_orderkey * 8 + l_linenumber AS id, o_custkey AS contact_id,
+    "contribution": f"""
+        SELECT {_LINE_ID} AS id, o_custkey AS contact_id,
                CAST(l_quantity * 10 AS DECIMAL(20, 2)) AS total_amount, l_shipdate AS receive_date,
                CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 END AS contribution_status_id
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "membership_payment": """
-        SELECT l_orderkey AS membership_id, l_orderkey * 8 + l_linenumber AS contribution_id
-        FROM lineitem WHERE l_linenumber = 1""",
-    "activity": """
-        SELECT l_orderkey * 8 + l_linenumber AS id, CASE WHEN l_linenumber <= 3 THEN 32 ELSE 2 END AS activity_type_id,
+    "membership_payment": f"""
+        SELECT l_orderkey AS membership_id, {_LINE_ID} AS contribution_id
+        FROM lineitem WHERE l_orderkey % 4 <> 0""",
+    "activity": f"""
+        SELECT {_LINE_ID} AS id, CASE WHEN l_linenumber <= 3 THEN 32 ELSE 2 END AS activity_type_id,
                l_partkey % 25 AS campaign_id,
                CASE WHEN l_linenumber = 5 THEN 3 WHEN l_linestatus = 'F' THEN 2 WHEN l_linestatus = 'O' THEN 1 END
                    AS status_id,
-               l_shipdate AS activity_date_time, l_partkey % 40 AS source_record_id
+               l_shipdate AS activity_date_time, l_partkey AS source_record_id
         FROM lineitem""",
-    "activity_contact": """
-        SELECT l_orderkey * 8 + l_linenumber AS activity_id, o_custkey AS contact_id,
+    "activity_contact": f"""
+        SELECT {_LINE_ID} AS activity_id, o_custkey AS contact_id,
                l_linenumber % 3 + 1 AS record_type_id
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "campaign": """
@@ -146,7 +153,7 @@ TABLES: dict[str, str] = {
     "survey": """
         SELECT p_partkey AS id, p_name AS title,
                CASE WHEN p_partkey % 8 <> 0 THEN p_partkey % 25 END AS campaign_id, 32 AS activity_type_id
-        FROM part WHERE p_partkey < 40""",
+        FROM part""",
     "webshop_order": """
         SELECT event_id AS id, CASE WHEN event_type = 'purchase' THEN 33 ELSE 2 END AS activity_type_id,
                user_id AS source_contact_id, CASE WHEN event_id % 10 <> 0 THEN event_id % 25 END AS campaign_id,

@@ -38,14 +38,15 @@ def not_prefixed(df: DataFrame, column: str, prefix: str) -> DataFrame:
     return df.filter(~F.startswith(F.col(column), F.lit(prefix)))
 
 
-def in_list(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    return df.filter(F.col(column).isin(list(values)))
-
-
 def _comparable(df: DataFrame, column: str, bound: Column) -> Column:
     return first_day_from(bound) if isinstance(df.schema[column].dataType, T.DateType) else bound
 
 
+def since_condition(df: DataFrame, column: str, as_of: datetime, back: tuple[int, str]) -> Column:
+    """Whether the row is from ``as_of - back`` on."""
+    return F.col(column) >= _comparable(df, column, ago(as_of, *back))
+
+
 def since(
     df: DataFrame,
     column: str,
@@ -54,7 +55,7 @@ def since(
     until: tuple[int, str] | None = None,
 ) -> DataFrame:
     """Rows from ``as_of - back`` on, and before ``as_of - until`` if given; a date counts as its midnight."""
-    kept = df.filter(F.col(column) >= _comparable(df, column, ago(as_of, *back)))
+    kept = df.filter(since_condition(df, column, as_of, back))
     if until is not None:
         kept = kept.filter(F.col(column) < _comparable(df, column, ago(as_of, *until)))
     return kept

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from muster.operators.aggregates import concat_in_order
 from muster.operators.filters import after
 from muster.operators.lookups import Tables, has_option, join_dim, option_label
-from muster.operators.skew import spread_join
 from muster.operators.updates import unique_or_fail
 
 
@@ -35,23 +34,19 @@ def with_phone(df: DataFrame, phone: DataFrame, key: str = "contact_id") -> Data
 def petition_activities(t: Tables) -> DataFrame:
     """(activity_id, survey_id) of every petition activity whose survey has a campaign.
 
-    Distinct, so that a repeated activity row cannot multiply its links. The rows carry numbers only; titles are
-    looked up at the end.
+    The rows carry numbers only; titles are looked up at the end.
     """
     topics = t["campaign"].select(F.col("id").alias("campaign_id"))
-    surveys = (
-        t["survey"]
-        .join(topics, "campaign_id", "left_semi")
-        .select(F.col("id").alias("survey_id"), F.col("activity_type_id"))
-    )
+    return survey_activities(t, t["survey"].join(topics, "campaign_id", "left_semi"))
+
+
+def survey_activities(t: Tables, surveys: DataFrame) -> DataFrame:
+    """(activity_id, survey_id) of every petition activity of one of the surveys, which must agree on the type."""
+    surveys = surveys.select(F.col("id").alias("survey_id"), F.col("activity_type_id"))
     signed = has_option(t["activity"], t, "activity_type_id", "activity_type", ["Petition"], by="name").select(
         F.col("id").alias("activity_id"), "activity_type_id", F.col("source_record_id").alias("survey_id")
     )
-    return (
-        signed.join(surveys, ["survey_id", "activity_type_id"], "left_semi")
-        .select("activity_id", "survey_id")
-        .distinct()
-    )
+    return signed.join(surveys, ["survey_id", "activity_type_id"], "left_semi").select("activity_id", "survey_id")
 
 
 def petitions(t: Tables, ids: DataFrame | None = None) -> DataFrame:
@@ -69,12 +64,13 @@ def with_titles(df: DataFrame, t: Tables) -> DataFrame:
     return df.join(surveys, "survey_id").join(topics, "campaign_id").drop("survey_id", "campaign_id")
 
 
-def petition_texts(t: Tables) -> DataFrame:
-    """Per contact its petitions and their campaigns as texts, each in the order of the first activity.
+def petition_texts(t: Tables, ids: DataFrame | None = None) -> DataFrame:
+    """Per contact (of ``ids``) its petitions and their campaigns as texts, each in the order of the first activity.
 
-    Grouped by survey before the titles come in: what is shuffled are three numbers per row.
+    Grouped by survey before the titles come in: what is shuffled are three numbers per row, and a contact with very
+    many links has shrunk to its different surveys on the map side.
     """
-    first = petitions(t).groupBy("contact_id", "survey_id").agg(F.min("activity_id").alias("activity_id"))
+    first = petitions(t, ids).groupBy("contact_id", "survey_id").agg(F.min("activity_id").alias("activity_id"))
     return concat_in_order(with_titles(first, t), "contact_id", ["petition", "campaign_topic"], "activity_id")
 
 
@@ -90,45 +86,54 @@ def with_recurring(df: DataFrame, t: Tables, as_of: datetime | None = None) -> D
     return df.join(payment, "id").join(due, "membership_recurring_contribution")
 
 
-def membership_contributions(
-    t: Tables, statuses: Sequence[str], links: DataFrame | None = None, contribution: DataFrame | None = None
-) -> DataFrame:
-    """Links (membership_id, contribution_id) whose contribution has one of the statuses.
+def membership_contributions(t: Tables, statuses: Sequence[str], links: DataFrame | None = None) -> DataFrame:
+    """Links (membership_id, contribution_id), all or the given ones, whose contribution has one of the statuses.
 
-    ``links`` and ``contribution`` may be the tables' rows that matter.
+    Given links first cut the contributions, so that few links let few of them through.
     """
-    links = t["membership_payment"] if links is None else links
-    contribution = t["contribution"] if contribution is None else contribution
-    wanted = has_option(contribution, t, "contribution_status_id", "contribution_status", statuses)
-    return links.join(wanted.select(F.col("id").alias("contribution_id")), "contribution_id", "left_semi")
+    wanted = has_option(t["contribution"], t, "contribution_status_id", "contribution_status", statuses)
+    wanted = wanted.select(F.col("id").alias("contribution_id"))
+    if links is None:
+        links = t["membership_payment"]
+    else:
+        wanted = wanted.join(links.select("contribution_id"), "contribution_id", "left_semi")
+    return links.join(wanted, "contribution_id", "left_semi")
 
 
 def order_contacts(t: Tables, orders: DataFrame) -> DataFrame:
     """The contacts of the orders with prefix, primary address, country and e-mail, as order lines show them.
 
-    For a person the organisation name is the employer's. The contacts are cut down to those with an order before
-    anything is joined to them. There must be one row per contact: a second one would double its orders and fails.
+    For a person the organisation name is the employer's; other contacts have no employer. Contacts, addresses and
+    e-mails are cut down to those with an order before anything is joined to them. There must be one row per
+    contact: a second one would double its orders and fails.
     """
     buyers = orders.select(F.col("source_contact_id").alias("id")).distinct()
+    owners = buyers.withColumnRenamed("id", "contact_id")
+    employer = F.when(F.col("contact_type") == "Individual", F.col("organization_name")).alias("current_employer")
     contact = t["contact"].join(buyers, "id", "left_semi").select(
-        "id", "formal_title", "prefix_id", "first_name", "last_name", F.col("organization_name").alias("current_employer")
+        "id", "formal_title", "prefix_id", "first_name", "last_name", employer
     )
     address = join_dim(
-        t["address"], t["country"].select("id", F.col("name").alias("country")), "country_id", ["country"]
+        t["address"].join(owners, "contact_id", "left_semi"),
+        t["country"].select("id", F.col("name").alias("country")),
+        "country_id",
+        ["country"],
     )
+    email = t["email"].join(owners, "contact_id", "left_semi")
     place = ["street_address", "state_province", "city", "postal_code", "country"]
-    named = join_primary(join_primary(contact, address, place, key="id"), t["email"], ["email"], key="id")
+    named = join_primary(join_primary(contact, address, place, key="id"), email, ["email"], key="id")
     named = option_label(named, t, "prefix_id", "individual_prefix", out="individual_prefix").drop("prefix_id")
-    return unique_or_fail(named, "id")
+    return unique_or_fail(named, "id", apart=True)
 
 
 def with_contact(orders: DataFrame, contact: DataFrame) -> DataFrame:
     """Each order with its source contact; an order without a contact stops the job.
 
-    One contact may have placed a large part of all orders, so frequent contacts are spread.
+    One contact may have placed a large part of all orders: both inputs come straight from their shuffle, so
+    adaptive execution can split that contact's orders.
     """
     people = contact.withColumnRenamed("id", "source_contact_id").withColumn("_found", F.lit(True))
-    joined = spread_join(orders, people, "source_contact_id", "left", spread_on="id")
+    joined = orders.join(people, "source_contact_id", "left")
     message = F.concat(F.lit("order without contact: "), F.col("id").cast("string"))
     complete = F.when(F.col("_found"), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     return joined.filter(complete).drop("_found")

@@ -71,7 +71,12 @@ def has_option(
     df: DataFrame, t: Tables, code_column: str, group: str, values: Sequence[str], by: str = "label"
 ) -> DataFrame:
     """Rows whose code belongs to one of the named options."""
-    return df.filter(one_of(code_column, _keys(option_codes(t, group, values, by), "code")))
+    return df.filter(option_in(t, code_column, group, values, by))
+
+
+def option_in(t: Tables, code_column: str, group: str, values: Sequence[str], by: str = "label") -> Column:
+    """Whether the code belongs to one of the named options."""
+    return one_of(code_column, _keys(option_codes(t, group, values, by), "code"))
 
 
 def has_value(df: DataFrame, table: DataFrame, code_column: str, column: str, values: Sequence[str]) -> DataFrame:
@@ -85,15 +90,24 @@ def join_dim(df: DataFrame, dim: DataFrame, on: str, cols: Sequence[str], key: s
     return df.join(side, F.col(on) == F.col("_key"), "left").drop("_key")
 
 
+def mark_campaigns(campaign: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
+    """All campaigns with ``under_root``: whether one or one of its nearest ``max_depth`` ancestors is named ``root``.
+
+    One self join per generation, each on what the one before found.
+    """
+    called = F.coalesce(F.col("name") == root, F.lit(False))
+    marked = campaign.withColumns({"under_root": called, "_above": F.col("parent_id")})
+    parents = campaign.select(F.col("id").alias("_id"), called.alias("_hit"), F.col("parent_id").alias("_next"))
+    for _ in range(max_depth):
+        joined = marked.join(parents, F.col("_above") == F.col("_id"), "left")
+        reached = F.col("under_root") | F.coalesce("_hit", F.lit(False))
+        marked = joined.withColumns({"under_root": reached, "_above": F.col("_next")}).drop("_id", "_hit", "_next")
+    return marked.drop("_above")
+
+
 def root_ids(campaign: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
     """Campaigns named ``root`` and their descendants down to ``max_depth`` generations."""
-    generation = campaign.filter(F.col("name") == root).select("id")
-    found = generation
-    for _ in range(max_depth):
-        parents = generation.select(F.col("id").alias("parent_id"))
-        generation = campaign.join(parents, "parent_id", "left_semi").select("id")
-        found = found.unionByName(generation)
-    return found
+    return mark_campaigns(campaign, root, max_depth).filter("under_root").select("id")
 
 
 def under_root(df: DataFrame, campaign: DataFrame, root: str, max_depth: int = 3) -> DataFrame:
@@ -104,7 +118,10 @@ def under_root(df: DataFrame, campaign: DataFrame, root: str, max_depth: int = 3
 
 def in_campaigns(df: DataFrame, campaign: DataFrame, ext_id: str, title: str | None = None) -> DataFrame:
     """Rows of a campaign with this external identifier (or this title)."""
+    wanted = campaign.filter(in_title_or_id(ext_id, title)).select(F.col("id").alias("campaign_id"))
+    return df.join(wanted, "campaign_id", "left_semi")
+
+
+def in_title_or_id(ext_id: str, title: str | None = None) -> Column:
     wanted = F.col("external_identifier") == ext_id
-    if title is not None:
-        wanted = wanted | (F.col("title") == title)
-    return df.filter(one_of("campaign_id", _keys(campaign.filter(wanted), "id")))
+    return wanted if title is None else wanted | (F.col("title") == title)

@@ -42,6 +42,15 @@ def keep(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids, key, "left_semi")
 
 
+def within(df: DataFrame, ids: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose key is in ``ids`` (key); without ids all rows.
+
+    No hint and no count: Spark broadcasts a small set by its own statistics, and for a larger one the shuffle is that
+    which the rows need next anyway.
+    """
+    return df if ids is None else df.join(ids, key, "left_semi")
+
+
 def not_in(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """SQL's NOT IN for a key that is never NULL: a single NULL in ``other`` leaves no row at all.
 

@@ -29,12 +29,14 @@ def add_group_status(df: DataFrame, t: Tables, titles: Mapping[str, str], key: s
     return df.join(statuses, key, "left")
 
 
-def unique_or_fail(df: DataFrame, key: str) -> DataFrame:
+def unique_or_fail(df: DataFrame, key: str, apart: bool = False) -> DataFrame:
     """The same rows; the job fails on a key that occurs twice.
 
-    Part of the query itself: behind joins on ``key`` the window reuses their partitioning and order.
+    Part of the query itself: behind joins on ``key`` the window reuses their partitioning and order. With ``apart``
+    the rows are not left partitioned by ``key``, so the next join on it gets them straight from a shuffle,
+    where adaptive execution can split the other side's frequent keys.
     """
-    copies = F.count(F.lit(1)).over(Window.partitionBy(key))
+    copies = F.count(F.lit(1)).over(Window.partitionBy(F.struct(key) if apart else F.col(key)))
     message = F.concat(F.lit(f"duplicate key {key}="), F.col(key).cast("string"))
     checked = F.when(F.col("_copies") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     return df.withColumn("_copies", copies).filter(checked).drop("_copies")

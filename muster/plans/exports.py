@@ -10,7 +10,6 @@ from pyspark.sql import types as T
 
 from muster.functions.text import customer_no_cut, customer_no_full, name_by_type, typed_null
 from muster.operators.aggregates import concat_distinct, distinct_rows
-from muster.operators.candidates import MAX_ROWS, Candidates
 from muster.operators.filters import (
     filter_type,
     keep_unflagged,
@@ -29,7 +28,7 @@ from muster.operators.joins import (
     with_phone,
 )
 from muster.operators.lookups import Tables, join_dim, option_label
-from muster.operators.sets import keep, not_in, suppress, suppress_where, union_ids
+from muster.operators.sets import keep, not_in, suppress, suppress_where, union_ids, within
 from muster.operators.updates import add_group_status, unique_or_fail
 from muster.plans import rules
 from muster.sources.tables import pending_orders
@@ -63,12 +62,17 @@ def project(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(*[F.col(key).cast("string").alias(key) if key in texts else key for key in keys])
 
 
-def mailing_base(t: Tables) -> DataFrame:
-    """E-mailable persons without a web login, with primary address, e-mail and phone."""
+def mailing_people(t: Tables) -> DataFrame:
+    """E-mailable persons by what their contact row says."""
     people = filter_type(
         keep_unflagged(t["contact"], ["do_not_email", "is_opt_out", "is_deceased", "is_deleted"]), "Individual"
     ).withColumnRenamed("id", "contact_id")
-    people = not_in(not_prefixed(people, "external_identifier", "USER-"), t["uf_match"], "contact_id")
+    return not_prefixed(people, "external_identifier", "USER-")
+
+
+def mailing_base(t: Tables) -> DataFrame:
+    """E-mailable persons without a web login, with primary address, e-mail and phone."""
+    people = not_in(mailing_people(t), t["uf_match"], "contact_id")
     reachable = require(join_primary(people, t["email"], ["email AS Email"]), "Email")
     # The statistics bring no column, but a repeated entry repeats the contact, which the key check must see.
     address = join_dim(
@@ -87,7 +91,9 @@ def mailing_base(t: Tables) -> DataFrame:
 def export_mailing(t: Tables, checked: bool = True) -> DataFrame:
     """Every e-mailable person with address, group status and signed petitions; one row per contact."""
     rows = add_group_status(mailing_base(t), t, STATUS_GROUPS)
-    rows = attach(rows, petition_texts(t), "contact_id").select(
+    # Links are cut to the audience, by contact rows alone, before anything is grouped.
+    signed = petition_texts(t, mailing_people(t).select("contact_id"))
+    rows = attach(rows, signed, "contact_id").select(
         F.col("hash").alias("Contact_Hash"),
         "Email",
         "Salutation",
@@ -107,36 +113,39 @@ def export_mailing(t: Tables, checked: bool = True) -> DataFrame:
     return project(unique_or_fail(rows, "contact_id") if checked else rows, MAILING_KEYS)
 
 
-def membership_kinds(t: Tables, as_of: datetime, candidates: Candidates | None = None) -> DataFrame:
+def membership_kinds(t: Tables, as_of: datetime) -> DataFrame:
     """The contacts of new direct debit memberships, each with the names of the kinds of these memberships."""
     kinds = t["membership_type"].select(
         F.col("id").alias("membership_type_id"), F.col("name").alias("membership_type")
     )
-    named = rules.new_direct_debits(t, as_of, candidates).join(kinds, "membership_type_id", "left")
+    named = rules.new_direct_debits(t, as_of).join(kinds, "membership_type_id", "left")
     return concat_distinct(require(named, "contact_id"), "contact_id", "membership_type")
 
 
-def export_welcome_post(
-    t: Tables, as_of: datetime, campaign: str = rules.MAILING_CAMPAIGN, max_candidates: int = MAX_ROWS
-) -> DataFrame:
+def _owners(memberships: DataFrame) -> DataFrame:
+    """The contacts of memberships: the only ones that rules are asked about."""
+    return memberships.filter(F.col("contact_id").isNotNull()).select("contact_id").distinct()
+
+
+def export_welcome_post(t: Tables, as_of: datetime, campaign: str = rules.MAILING_CAMPAIGN) -> DataFrame:
     """New direct debit members with a clean address; a second primary address gives a second line.
 
     Address rule and address columns come from the same joined rows. A contact missing in the contact table
     has no address to be judged by and stays.
     """
-    new = Candidates(rules.joined_recently(t, as_of).select("contact_id"), max_candidates)
+    new = _owners(rules.joined_recently(t, as_of))
     audience = suppress(
-        membership_kinds(t, as_of, new),
+        membership_kinds(t, as_of),
         [
             rules.tagged(t, rules.TAGS_POST),
             rules.group_member(t),
-            rules.major_donor(t, as_of, candidates=new),
+            rules.major_donor(t, as_of, ids=new),
             rules.recent_mailing(t, as_of, campaign, new),
         ],
         "contact_id",
     )
     contact = t["contact"].withColumnRenamed("id", "contact_id").withColumn("_known", F.lit(True))
-    rows = rules.postal_profile(t, audience.join(new.cut(contact, "contact_id"), "contact_id", "left"), new)
+    rows = rules.postal_profile(t, audience.join(within(contact, new, "contact_id"), "contact_id", "left"), new)
     rows = suppress_where(rows, F.col("_known") & postal_reasons(), "contact_id")
     rows = option_label(rows, t, "prefix_id", "individual_prefix", out="anrede").select(
         "contact_id",
@@ -169,37 +178,34 @@ def export_welcome_email(
     as_of: datetime,
     floor: str | None = EMAIL_FLOOR,
     checked: bool = True,
-    max_candidates: int = MAX_ROWS,
 ) -> DataFrame:
     """E-mailable contacts with a new direct debit membership.
 
     Two different primary e-mails of any e-mailable contact, exported or not, fail the export. That check reads
-    all contacts; with ``checked=False`` only the candidates are read.
+    all contacts; without it only new members are read.
     """
-    new = Candidates(rules.joined_recently(t, as_of).select("contact_id"), max_candidates)
+    new = _owners(rules.joined_recently(t, as_of))
     base = welcome_email_base(t)
     if checked:
         base = unique_or_fail(distinct_rows(base, EMAIL_KEYS), "contact_id")
     else:
-        base = distinct_rows(new.cut(base, "contact_id"), EMAIL_KEYS)
+        base = distinct_rows(within(base, new, "contact_id"), EMAIL_KEYS)
     left = suppress(
-        keep(base, rules.recent_direct_debit(t, as_of, floor, new), "contact_id"),
+        keep(base, rules.recent_direct_debit(t, as_of, floor), "contact_id"),
         [
             rules.tagged(t, rules.TAGS_MAIL_AND_CALL),
             rules.group_member(t),
-            rules.major_donor(t, as_of, status=None, candidates=new),
+            rules.major_donor(t, as_of, status=None, ids=new),
         ],
         "contact_id",
     )
     return project(left, EMAIL_KEYS)
 
 
-def callable_contacts(t: Tables, candidates: Candidates | None = None) -> DataFrame:
-    """Contacts that may be phoned and have any number."""
-    contact = t["contact"].withColumnRenamed("id", "contact_id")
-    phone = t["phone"]
-    if candidates is not None:
-        contact, phone = candidates.cut(contact, "contact_id"), candidates.cut(phone, "contact_id")
+def callable_contacts(t: Tables, ids: DataFrame | None = None) -> DataFrame:
+    """Contacts (of ``ids``) that may be phoned and have any number."""
+    contact = within(t["contact"].withColumnRenamed("id", "contact_id"), ids, "contact_id")
+    phone = within(t["phone"], ids, "contact_id")
     return with_phone(keep_unflagged(contact, ["is_deceased", "is_deleted", "do_not_phone"]).select("contact_id"), phone)
 
 
@@ -215,33 +221,31 @@ def call_base(t: Tables, as_of: datetime) -> DataFrame:
 
 
 def call_suppressed(
-    t: Tables, as_of: datetime, fanout: bool = True, candidates: Candidates | None = None
+    t: Tables, as_of: datetime, fanout: bool = True, ids: DataFrame | None = None
 ) -> DataFrame:
-    """Contacts that get no call. The two contact-history rules read the links once."""
+    """Contacts that get no call. The two contact-history rules read activities and links once."""
     if fanout:
         # Counted before any other rule takes effect.
         copies = last_month_memberships(t, as_of).select("contact_id")
-        donors = rules.major_donor_fanout(t, copies, as_of, candidates=candidates)
+        donors = rules.major_donor_fanout(t, copies, as_of, ids=ids)
     else:
-        donors = rules.major_donor(t, as_of, candidates=candidates)
-    history = union_ids(rules.call_activities(t), rules.tree_activities(t, as_of))
-    reached = rules.activity_targets(t, history, candidates)
+        donors = rules.major_donor(t, as_of, ids=ids)
+    reached = rules.activity_targets(t, rules.call_history(t, as_of), ids)
     return union_ids(rules.tagged(t, rules.TAGS_MAIL_AND_CALL), donors, reached)
 
 
-def export_welcome_call(
-    t: Tables, as_of: datetime, fanout: bool = True, max_candidates: int = MAX_ROWS
-) -> DataFrame:
+def export_welcome_call(t: Tables, as_of: datetime, fanout: bool = True) -> DataFrame:
     """Contacts to be called about a brand-new membership.
 
     A contact stays when one of its memberships survives the membership rules, so these run first, per
     membership; what is left is one row per contact, and all contact rules are semi and anti joins on that.
     """
     recent = last_month_memberships(t, as_of)
-    new = Candidates(recent.select("id", "contact_id"), max_candidates)
-    kept = rules.recruited(t, as_of, memberships=recent, candidates=new)
+    new = _owners(recent)
+    kept = rules.recruited(t, as_of, memberships=recent)
     pairs = kept.select("contact_id", F.col("id").alias("membership_id"))
-    unpaid = suppress(pairs, [rules.membership_settled(t, new)], "membership_id")
+    settled = rules.membership_settled(t, recent.select(F.col("id").alias("membership_id")))
+    unpaid = suppress(pairs, [settled], "membership_id")
     contacts = keep(unpaid.select("contact_id").distinct(), callable_contacts(t, new), "contact_id")
     return project(suppress(contacts, [call_suppressed(t, as_of, fanout, new)], "contact_id"), CALL_KEYS)
 

@@ -1,6 +1,6 @@
 """Suppression and keep rules: each maps the tables to a distinct set of contact or membership ids.
 
-Rules over large tables take optional ``candidates``: they then need to be right about these only.
+Rules over large tables take an optional set of ids: they then need to be right about these only.
 """
 
 from __future__ import annotations
@@ -12,25 +12,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from muster.operators.aggregates import sum_at_least, sum_by
-from muster.operators.candidates import Candidates
 from muster.operators.filters import (
-    after,
     floor_date,
     link_scope,
     postal_reasons,
     since,
+    since_condition,
     with_role,
 )
-from muster.operators.joins import join_primary, membership_contributions
+from muster.operators.joins import join_primary, membership_contributions, with_recurring
 from muster.operators.lookups import (
     Tables,
     has_option,
     has_value,
     in_campaigns,
+    in_title_or_id,
     join_dim,
     lookup_id,
+    mark_campaigns,
+    option_in,
     under_root,
 )
+from muster.operators.sets import within
 
 # Names the rules look for.
 TAGS_POST = ("inaktiv", "VIP", "Firma", "Schule")
@@ -56,15 +59,11 @@ def group_member(t: Tables, title: str = LEGACY_GROUP) -> DataFrame:
     return has_value(t["group_contact"], t["group"], "group_id", "title", [title]).select("contact_id").distinct()
 
 
-def _cut(table: DataFrame, key: str, candidates: Candidates | None, own_key: str | None = None) -> DataFrame:
-    return table if candidates is None else candidates.cut(table, key, own_key)
-
-
-def _year_of_gifts(t: Tables, as_of: datetime, status: str | None, candidates: Candidates | None) -> DataFrame:
+def _year_of_gifts(t: Tables, as_of: datetime, status: str | None, ids: DataFrame | None) -> DataFrame:
     gifts = since(t["contribution"], "receive_date", as_of, (1, "YEAR"))
     if status is not None:
         gifts = has_option(gifts, t, "contribution_status_id", "contribution_status", [status])
-    return _cut(gifts.filter(F.col("contact_id").isNotNull()), "contact_id", candidates)
+    return within(gifts.filter(F.col("contact_id").isNotNull()), ids, "contact_id")
 
 
 def major_donor(
@@ -72,10 +71,10 @@ def major_donor(
     as_of: datetime,
     threshold: float = MAJOR_DONOR_SUM,
     status: str | None = "Completed",
-    candidates: Candidates | None = None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Contacts whose gifts within a year reach the threshold; ``status=None`` counts gifts of any status."""
-    gifts = _year_of_gifts(t, as_of, status, candidates)
+    gifts = _year_of_gifts(t, as_of, status, ids)
     return sum_at_least(gifts, "contact_id", "total_amount", threshold).select("contact_id")
 
 
@@ -85,26 +84,25 @@ def major_donor_fanout(
     as_of: datetime,
     threshold: float = MAJOR_DONOR_SUM,
     status: str | None = "Completed",
-    candidates: Candidates | None = None,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """As ``major_donor``, with each contact's sum counted once per row the contact has in ``base``.
 
     Both sides are grouped by contact before they meet, so the repeated gifts are multiplied, not produced.
     """
-    sums = sum_by(_year_of_gifts(t, as_of, status, candidates), "contact_id", "total_amount")
+    sums = sum_by(_year_of_gifts(t, as_of, status, ids), "contact_id", "total_amount")
     copies = base.groupBy("contact_id").agg(F.count(F.lit(1)).alias("_copies"))
     reached = F.col("total") * F.col("_copies") >= threshold
     return sums.join(copies, "contact_id").filter(reached).select("contact_id")
 
 
-def activity_targets(t: Tables, activities: DataFrame, candidates: Candidates | None = None) -> DataFrame:
+def activity_targets(t: Tables, activities: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Contacts that are a target of one of the activities (activity_id).
 
     The links stay the streamed side of a semi join. One mass mailing links a large part of all contacts; both
     inputs come straight from their shuffle, so adaptive execution can split that activity's links.
     """
-    links = with_role(t["activity_contact"]).select("activity_id", "contact_id")
-    links = _cut(links, "contact_id", candidates)
+    links = within(with_role(t["activity_contact"]).select("activity_id", "contact_id"), ids, "contact_id")
     return links.join(activities, "activity_id", "left_semi").select("contact_id").distinct()
 
 
@@ -126,11 +124,32 @@ def tree_activities(t: Tables, as_of: datetime, root: str = PHONE_ROOT) -> DataF
     return under_root(done, t["campaign"], root).select(F.col("id").alias("activity_id"))
 
 
+def call_history(
+    t: Tables,
+    as_of: datetime,
+    ext_id: str = CALL_CAMPAIGN,
+    title: str = CALL_CAMPAIGN_TITLE,
+    root: str = PHONE_ROOT,
+) -> DataFrame:
+    """``call_activities`` and ``tree_activities`` together, in one pass over the activities."""
+    marked = mark_campaigns(t["campaign"], root)
+    wanted = in_title_or_id(ext_id, title)
+    campaigns = marked.filter(F.col("under_root") | wanted).select(
+        F.col("id").alias("campaign_id"), "under_root", F.coalesce(wanted, F.lit(False)).alias("_calls")
+    )
+    recent = since_condition(t["activity"], "activity_date_time", as_of, (3, "MONTH"))
+    done = option_in(t, "status_id", "activity_status", ["Completed"])
+    planned = option_in(t, "status_id", "activity_status", ["Completed", "Scheduled"])
+    known = t["activity"].join(campaigns, "campaign_id")
+    kept = known.filter((F.col("_calls") & planned) | (F.col("under_root") & done & recent))
+    return kept.select(F.col("id").alias("activity_id"))
+
+
 def recent_mailing(
-    t: Tables, as_of: datetime, ext_id: str = MAILING_CAMPAIGN, candidates: Candidates | None = None
+    t: Tables, as_of: datetime, ext_id: str = MAILING_CAMPAIGN, ids: DataFrame | None = None
 ) -> DataFrame:
     """Contacts reached by the campaign within six months."""
-    return activity_targets(t, mailing_activities(t, as_of, ext_id), candidates)
+    return activity_targets(t, mailing_activities(t, as_of, ext_id), ids)
 
 
 def previous_call(t: Tables, ext_id: str = CALL_CAMPAIGN, title: str = CALL_CAMPAIGN_TITLE) -> DataFrame:
@@ -143,16 +162,10 @@ def campaign_tree_contact(t: Tables, as_of: datetime, root: str = PHONE_ROOT) ->
     return activity_targets(t, tree_activities(t, as_of, root))
 
 
-def membership_failed(
-    t: Tables, statuses: Sequence[str] = FAILED, candidates: Candidates | None = None
-) -> DataFrame:
-    """Memberships with a failed contribution."""
-    links, contribution = t["membership_payment"], t["contribution"]
-    if candidates is not None and candidates.few:
-        # Few memberships mostly have few payments: counted again, as one may have any number.
-        links = candidates.cut(links, "membership_id", own_key="id")
-        contribution = Candidates(links, candidates.max_rows).cut(contribution, "id", own_key="contribution_id")
-    return membership_contributions(t, statuses, links, contribution).select("membership_id").distinct()
+def membership_failed(t: Tables, statuses: Sequence[str] = FAILED, ids: DataFrame | None = None) -> DataFrame:
+    """Memberships (of ``ids``: membership_id) with a failed contribution."""
+    links = within(t["membership_payment"], ids, "membership_id")
+    return membership_contributions(t, statuses, links).select("membership_id").distinct()
 
 
 def membership_paid(t: Tables) -> DataFrame:
@@ -160,14 +173,14 @@ def membership_paid(t: Tables) -> DataFrame:
     return membership_failed(t, PAID)
 
 
-def membership_settled(t: Tables, candidates: Candidates | None = None) -> DataFrame:
+def membership_settled(t: Tables, ids: DataFrame | None = None) -> DataFrame:
     """Memberships of either kind, in one pass over links and contributions."""
-    return membership_failed(t, [*FAILED, *PAID], candidates)
+    return membership_failed(t, [*FAILED, *PAID], ids)
 
 
-def postal_profile(t: Tables, contact: DataFrame, candidates: Candidates | None = None) -> DataFrame:
+def postal_profile(t: Tables, contact: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """``contact`` (contact_id, ...) with primary address, returned letters and country code."""
-    primary = _cut(t["address"].filter(F.col("is_primary") == 1), "contact_id", candidates)
+    primary = within(t["address"].filter(F.col("is_primary") == 1), ids, "contact_id")
     address = join_dim(primary, t["address_statistics"], "id", ["rts_counter"], key="entity_id")
     address = join_dim(address, t["country"], "country_id", ["iso_code"])
     return join_primary(contact, address, ["street_address", "postal_code", "city", "rts_counter", "iso_code"])
@@ -179,22 +192,18 @@ def postal_ineligible(t: Tables) -> DataFrame:
     return postal_profile(t, contact).filter(postal_reasons()).select("contact_id").distinct()
 
 
-def paying_memberships(
-    t: Tables, memberships: DataFrame | None = None, candidates: Candidates | None = None
-) -> DataFrame:
-    """Memberships (all, or the given ones out of the candidates) that are active and paid by direct debit."""
-    active = has_value(
-        t["membership"] if memberships is None else memberships,
-        t["membership_status"],
-        "status_id",
-        "label",
-        ACTIVE_STATUSES,
-    )
+def active_memberships(t: Tables, memberships: DataFrame | None = None) -> DataFrame:
+    """Memberships (all, or the given ones) that run or pause."""
+    memberships = t["membership"] if memberships is None else memberships
+    return has_value(memberships, t["membership_status"], "status_id", "label", ACTIVE_STATUSES)
+
+
+def paying_memberships(t: Tables, memberships: DataFrame | None = None) -> DataFrame:
+    """Memberships (all, or the given ones) that are active and paid by direct debit."""
+    active = active_memberships(t, memberships)
     payment = has_option(
         t["value_membership_payment"], t, "payment_instrument", "payment_instrument", DIRECT_DEBIT, by="name"
     ).select(F.col("entity_id").alias("id"), "membership_recurring_contribution")
-    if candidates is not None:
-        active = candidates.hinted(active)
     return active.join(payment, "id")
 
 
@@ -203,34 +212,26 @@ def joined_recently(t: Tables, as_of: datetime) -> DataFrame:
     return since(t["membership"], "join_date", as_of, (6, "MONTH"), until=(2, "DAY"))
 
 
-def new_direct_debits(t: Tables, as_of: datetime, candidates: Candidates | None = None) -> DataFrame:
-    """Those of them that are active and paid by direct debit; ``candidates`` are the recently joined ones."""
-    return paying_memberships(t, joined_recently(t, as_of), candidates)
+def new_direct_debits(t: Tables, as_of: datetime) -> DataFrame:
+    """Those of them that are active and paid by direct debit."""
+    return paying_memberships(t, joined_recently(t, as_of))
 
 
-def recent_direct_debit(
-    t: Tables, as_of: datetime, floor: str | None = None, candidates: Candidates | None = None
-) -> DataFrame:
+def recent_direct_debit(t: Tables, as_of: datetime, floor: str | None = None) -> DataFrame:
     """Their contacts; ``floor`` is an additional first join day."""
-    joined = new_direct_debits(t, as_of, candidates)
+    joined = new_direct_debits(t, as_of)
     if floor is not None:
         joined = floor_date(joined, "join_date", floor)
     return joined.filter(F.col("contact_id").isNotNull()).select("contact_id").distinct()
 
 
 def recruited(
-    t: Tables,
-    as_of: datetime,
-    root: str = STREET_ROOT,
-    memberships: DataFrame | None = None,
-    candidates: Candidates | None = None,
+    t: Tables, as_of: datetime, root: str = STREET_ROOT, memberships: DataFrame | None = None
 ) -> DataFrame:
     """Active direct debit memberships with a charge still to come, recruited under the root campaign."""
-    due = after(t["contribution_recur"], "next_sched_contribution_date", as_of).select(
-        F.col("id").alias("membership_recurring_contribution")
-    )
     under = under_root(t["membership"] if memberships is None else memberships, t["campaign"], root)
-    return paying_memberships(t, under, candidates).join(due, "membership_recurring_contribution", "left_semi")
+    due = with_recurring(active_memberships(t, under), t, as_of)
+    return has_option(due, t, "payment_instrument", "payment_instrument", DIRECT_DEBIT, by="name")
 
 
 def recruited_membership(t: Tables, as_of: datetime, root: str = STREET_ROOT) -> DataFrame:

@@ -2,41 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muster.functions.dates import moment
 from muster.operators.filters import ROLE_ASSIGNEE, ROLE_SOURCE, ROLE_TARGET
+from muster.operators.lookups import Tables, lookup_id, option_code
 from muster.operators.sets import existing
 
 
-def next_id(table: DataFrame, column: str = "id") -> Column:
-    """The first unused id as a scalar."""
-    return table.agg((F.coalesce(F.max(column), F.lit(0)) + 1).alias("next")).scalar()
+def next_id(*tables: DataFrame, column: str = "id") -> Column:
+    """The first id that none of the tables holds, as a scalar."""
+    ids = reduce(DataFrame.unionByName, [table.select(column) for table in tables])
+    return ids.agg((F.coalesce(F.max(column), F.lit(0)) + 1).alias("next")).scalar()
+
+
+def _record(
+    t: Tables, number: Column, subject: str | Column, kind: str, status: str, campaign: Column, as_of: datetime
+) -> list[Column]:
+    """The columns of an activity as the tables hold them, and its subject."""
+    return [
+        number.cast("bigint").alias("id"),
+        option_code(t, "activity_type", kind).alias("activity_type_id"),
+        campaign.cast("bigint").alias("campaign_id"),
+        option_code(t, "activity_status", status).alias("status_id"),
+        moment(as_of).alias("activity_date_time"),
+        F.lit(None).cast("bigint").alias("source_record_id"),
+        (F.lit(subject) if isinstance(subject, str) else subject).alias("subject"),
+    ]
 
 
 def mass_activity(
-    exported: DataFrame, contact: DataFrame, activity: DataFrame, template: Mapping[str, str | Column]
+    exported: DataFrame,
+    t: Tables,
+    as_of: datetime,
+    subject: str = "",
+    campaign: str | None = None,
+    earlier: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """One activity, and one target link per exported contact that exists in the contact table.
+    """One completed action, and one target link per exported contact that exists in the contact table.
 
-    ``template`` holds the activity's other columns (subject, status, campaign). The activity's id is the next
-    free one of the activity table. Without an exported contact there is no activity either.
+    Both fit the tables ``activity`` and ``activity_contact``, so that the next run's rules see them once they are
+    appended. ``campaign`` is an external identifier. The activity's id is the next free one of the activity
+    table and of ``earlier`` records. Without an exported contact there is no activity either.
     """
     ids = exported.select("contact_id").distinct()
-    number = next_id(activity)
-    columns = [(F.lit(v) if not isinstance(v, Column) else v).alias(name) for name, v in template.items()]
-    record = (
-        ids.groupBy().agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0).select(number.alias("id"), *columns)
-    )
-    links = existing(ids, contact).select(
+    number = next_id(t["activity"], *([] if earlier is None else [earlier]))
+    of = F.lit(None) if campaign is None else lookup_id(t["campaign"], F.col("external_identifier") == campaign)
+    columns = _record(t, number, subject, "Action", "Completed", of, as_of)
+    some = ids.groupBy().agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)
+    links = existing(ids, t["contact"]).select(
         number.alias("activity_id"), "contact_id", F.lit(ROLE_TARGET).alias("record_type_id")
     )
-    return record, links
+    return some.select(*columns), links
 
 
 @dataclass(frozen=True)
@@ -51,19 +74,20 @@ class CallPlan:
     source: int = 16
 
 
-def call_tasks(exported: DataFrame, as_of: datetime, plan: CallPlan = CallPlan()) -> tuple[DataFrame, DataFrame]:
-    """Per exported contact one planned call, and its links: the contact, the assignees, the source.
+def number_calls(exported: DataFrame, t: Tables, earlier: DataFrame | None = None) -> DataFrame:
+    """(contact_id, activity_id) of every exported contact, with ids that no activity has yet.
 
-    Calls are told apart by the contact they are for (``call_for``): numbering them would need all of them in
-    one order.
+    Numbered task by task, without bringing all calls into one order. The numbers hold only once the rows are
+    written: stage them before calls and links are made.
     """
-    calls = exported.select(
-        F.col("contact_id").alias("call_for"),
-        F.lit(plan.subject).alias("subject"),
-        F.lit(plan.activity_type).alias("activity_type"),
-        F.lit(plan.status).alias("status"),
-        F.lit(plan.campaign_id).cast("bigint").alias("campaign_id"),
-        moment(as_of).alias("activity_date_time"),
+    first = next_id(t["activity"], *([] if earlier is None else [earlier]))
+    return exported.select("contact_id").distinct().withColumn("activity_id", first + F.monotonically_increasing_id())
+
+
+def call_tasks(numbered: DataFrame, t: Tables, as_of: datetime, plan: CallPlan = CallPlan()) -> tuple[DataFrame, DataFrame]:
+    """Per numbered contact one planned call, and its links: the contact, the assignees, the source."""
+    calls = numbered.select(
+        *_record(t, F.col("activity_id"), plan.subject, plan.activity_type, plan.status, F.lit(plan.campaign_id), as_of)
     )
 
     def link(contact: Column, role: int) -> Column:
@@ -74,5 +98,4 @@ def call_tasks(exported: DataFrame, as_of: datetime, plan: CallPlan = CallPlan()
         *[link(F.lit(assignee), ROLE_ASSIGNEE) for assignee in plan.assignees],
         link(F.lit(plan.source), ROLE_SOURCE),
     ]
-    links = exported.select(F.col("contact_id").alias("call_for"), F.inline(F.array(*people)))
-    return calls, links
+    return calls, numbered.select("activity_id", F.inline(F.array(*people)))

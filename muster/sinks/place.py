@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def run_folder(spark: SparkSession) -> str:
-    """A new folder below the shared folder named in ``spark.checkpoint.dir``.
+    """A new folder in shared storage, below ``spark.checkpoint.dir`` or else the session's warehouse folder.
 
-    Only a local session without that setting gets a folder of this machine.
+    Both are folders that every executor of a cluster reaches; nothing is kept in a folder of one machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/muster-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not shared:
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="run-")
+    return f"{shared.rstrip('/')}/muster-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, path: str, by: str | None = None) -> DataFrame:

@@ -1,8 +1,10 @@
 """Whole runs: stage the audience, write files, then follow-up records, ledger and summary.
 
 Everything of one run lies in ``<out>/<run_id>``. The staged audience is written once and read by all later
-steps, so a lost executor cannot make file and links disagree. Records and ledger are written after the
-files; a run that breaks before that leaves its orders pending and the next run exports them again.
+steps, so a lost executor cannot make file and links disagree. The ledger is written directly after the files; a run
+that breaks before that leaves its orders pending and the next run exports them again. Follow-up records
+come last, and their failure is reported, not raised. Their ids follow those of the activity table and of all
+earlier runs below ``out``; the records fit both tables and are appended to them by whoever owns these.
 """
 
 from __future__ import annotations
@@ -11,17 +13,18 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.operators.lookups import Tables, lookup_id
+from muster.operators.lookups import Tables
 from muster.plans import exports
-from muster.sinks.files import write_csv, write_routed
-from muster.sinks.follow_up import CallPlan, call_tasks, mass_activity
+from muster.schemas import SCHEMAS
+from muster.sinks.files import write_csv, write_csv_lines, write_routed
+from muster.sinks.follow_up import CallPlan, call_tasks, mass_activity, number_calls
 from muster.sinks.ledger import mark_exported, not_in_ledger, read_ledger
 from muster.sinks.place import stage
-from muster.sinks.summary import summary
+from muster.sinks.summary import nothing_to_export, summary
 from muster.sources.local import local_rows
 from muster.sources.tables import DEFAULT_ROUTE, pending_orders
 
@@ -45,13 +48,29 @@ def _status(spark: SparkSession, outcomes: Sequence[tuple]) -> DataFrame:
     return local_rows(spark, outcomes, "route_key string, is_error boolean, message string, error_code int")
 
 
-def _write_follow_up(t: Tables, exported: DataFrame, folder: str, subject: str, campaign: str | None) -> None:
-    template = {"subject": F.lit(subject), "activity_type": F.lit("Action"), "status": F.lit("Completed")}
-    if campaign is not None:
-        template["campaign_id"] = lookup_id(t["campaign"], F.col("external_identifier") == campaign)
-    record, links = mass_activity(exported, t["contact"], t["activity"], template)
-    record.write.parquet(f"{folder}/activity")
-    links.write.parquet(f"{folder}/activity_contact")
+def earlier_records(spark: SparkSession, out: str, table: str = "activity") -> DataFrame:
+    """The follow-up records (``activity``) or links (``activity_contact``) of all runs below ``out``."""
+    try:
+        return spark.read.schema(SCHEMAS[table]).parquet(f"{out}/*/{table}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return local_rows(spark, [], SCHEMAS[table])
+
+
+def _follow_up(
+    t: Tables, exported: DataFrame, out: str, run_id: str, as_of: datetime, subject: str, campaign: str | None
+) -> str | None:
+    """Write the records of a run; a failure becomes a message."""
+
+    def write() -> None:
+        earlier = earlier_records(exported.sparkSession, out)
+        record, links = mass_activity(exported, t, as_of, subject, campaign, earlier)
+        # Staged apart and made visible by the last write: the record is what later runs count.
+        stage(links, f"{out}/{run_id}/activity_contact")
+        stage(record, f"{out}/{run_id}/activity")
+
+    return _attempt(DEFAULT_ROUTE, write)[2]
 
 
 def run_file_export(
@@ -65,23 +84,39 @@ def run_file_export(
     create_activity: bool = False,
     subject: str = "",
     campaign: str | None = None,
+    exact: bool = False,
 ) -> DataFrame:
-    """One file on the default route; follow-up records only after it was written. Returns the summary."""
+    """One file on the default route; follow-up records only after it was written. Returns the summary.
+
+    ``exact`` writes the byte-exact form: header and lines, which concatenated are one file with one header.
+    """
     folder = f"{out}/{run_id}"
     staged = stage(rows, f"{folder}/audience")
-    outcome = _attempt(DEFAULT_ROUTE, lambda: write_csv(staged, keys, f"{folder}/file"))
+    write = write_csv_lines if exact else write_csv
+    outcome = _attempt(DEFAULT_ROUTE, lambda: write(staged, keys, f"{folder}/file"))
+    failed = None
     if create_activity and not outcome[1] and not staged.isEmpty():
-        _write_follow_up(t, staged, folder, subject, campaign)
+        failed = _follow_up(t, staged, out, run_id, as_of, subject, campaign)
     default = routes.filter(F.col("route_key") == DEFAULT_ROUTE)
     status = _status(rows.sparkSession, [outcome])
-    return summary(staged.withColumn("route_key", F.lit(DEFAULT_ROUTE)), default, as_of, status)
+    rows = staged.withColumn("route_key", F.lit(DEFAULT_ROUTE))
+    return summary(rows, default, as_of, status, follow_up_error=failed)
 
 
 def run_mailing(
-    t: Tables, routes: DataFrame, out: str, run_id: str, as_of: datetime, create_activity: bool = False, subject: str = ""
+    t: Tables,
+    routes: DataFrame,
+    out: str,
+    run_id: str,
+    as_of: datetime,
+    create_activity: bool = False,
+    subject: str = "",
+    exact: bool = False,
 ) -> DataFrame:
     rows = exports.export_mailing(t)
-    return run_file_export(t, rows, exports.MAILING_KEYS, routes, out, run_id, as_of, create_activity, subject)
+    return run_file_export(
+        t, rows, exports.MAILING_KEYS, routes, out, run_id, as_of, create_activity, subject, exact=exact
+    )
 
 
 def run_welcome_post(
@@ -93,9 +128,12 @@ def run_welcome_post(
     create_activity: bool = False,
     subject: str = POST_SUBJECT,
     campaign: str = POST_CAMPAIGN,
+    exact: bool = False,
 ) -> DataFrame:
     rows = exports.export_welcome_post(t, as_of, campaign)
-    return run_file_export(t, rows, exports.POST_KEYS, routes, out, run_id, as_of, create_activity, subject, campaign)
+    return run_file_export(
+        t, rows, exports.POST_KEYS, routes, out, run_id, as_of, create_activity, subject, campaign, exact
+    )
 
 
 def run_welcome_email(
@@ -108,16 +146,20 @@ def run_welcome_email(
     subject: str = EMAIL_SUBJECT,
     campaign: str = EMAIL_CAMPAIGN,
     floor: str | None = exports.EMAIL_FLOOR,
+    exact: bool = False,
 ) -> DataFrame:
     rows = exports.export_welcome_email(t, as_of, floor)
-    return run_file_export(t, rows, exports.EMAIL_KEYS, routes, out, run_id, as_of, create_activity, subject, campaign)
+    return run_file_export(
+        t, rows, exports.EMAIL_KEYS, routes, out, run_id, as_of, create_activity, subject, campaign, exact
+    )
 
 
 def run_calls(t: Tables, out: str, run_id: str, as_of: datetime, plan: CallPlan = CallPlan()) -> DataFrame:
     """Planned calls and their links; no file. Returns the calls."""
     folder = f"{out}/{run_id}"
-    staged = stage(exports.export_welcome_call(t, as_of), f"{folder}/audience")
-    calls, links = call_tasks(staged, as_of, plan)
+    audience = exports.export_welcome_call(t, as_of)
+    numbered = stage(number_calls(audience, t, earlier_records(audience.sparkSession, out)), f"{folder}/audience")
+    calls, links = call_tasks(numbered, t, as_of, plan)
     links.write.parquet(f"{folder}/activity_contact")
     return stage(calls, f"{folder}/activity")
 
@@ -132,10 +174,11 @@ def run_orders(
     create_activity: bool = False,
     subject: str = ORDER_SUBJECT,
 ) -> DataFrame:
-    """Routed order files, follow-up records, ledger; returns the summary of routes with rows.
+    """Routed order files, ledger, follow-up records; returns the summary of routes with rows.
 
     ``ledger`` is the folder of all earlier runs' ledger rows. Each run appends its own part
-    ``run_id=<run_id>``; that append comes last and is what makes the orders count as exported.
+    ``run_id=<run_id>`` directly after the files; that append is what makes the orders count as exported. A run
+    without orders writes nothing and says so.
     There is one follow-up activity per run (not one per order), linked to the contacts of the routes that were
     written (not to those of failed ones).
     """
@@ -144,6 +187,8 @@ def run_orders(
     orders = not_in_ledger(pending_orders(t), read_ledger(spark, ledger))
     lines = exports.with_route(exports.order_lines(t, orders), routes)
     staged = stage(lines, f"{folder}/audience", by="route_key")
+    if staged.isEmpty():
+        return nothing_to_export(spark, DEFAULT_ROUTE)
 
     def write(route: str) -> None:
         write_routed(staged.filter(F.col("route_key") == route), exports.ORDER_KEYS, f"{folder}/file-{route}")
@@ -151,9 +196,10 @@ def run_orders(
     # The routes are a setting, a handful of keys; staged by route, each write reads its own rows only.
     keys = [row.route_key for row in routes.select("route_key").collect()]
     status = _status(spark, [_attempt(route, lambda route=route: write(route)) for route in keys])
+    mark_exported(staged, status, as_of).write.parquet(f"{ledger}/run_id={run_id}")
+    failed = None
     if create_activity:
         written = staged.join(status.filter(~F.col("is_error")), "route_key", "left_semi")
         contacts = written.select(F.col("source_contact_id").alias("contact_id"))
-        _write_follow_up(t, contacts, folder, subject, ORDER_CAMPAIGN)
-    mark_exported(staged, status, as_of).write.parquet(f"{ledger}/run_id={run_id}")
-    return summary(staged, routes, as_of, status, report_empty=False)
+        failed = _follow_up(t, contacts, out, run_id, as_of, subject, ORDER_CAMPAIGN)
+    return summary(staged, routes, as_of, status, report_empty=False, follow_up_error=failed)

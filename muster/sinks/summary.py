@@ -4,23 +4,39 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.operators.aggregates import count_by
+from muster.sources.local import local_rows
 
 NO_DATA = "No data available for upload"
 NO_DATA_CODE = 1
+NO_ORDERS = "No valid activities found for export"
+SUMMARY = (
+    "route_key string, count bigint, filename string, is_error boolean, message string, error_code int,"
+    " follow_up_error string"
+)
 
 
 def file_name(as_of: datetime):
     return F.concat(F.col("file"), F.lit(f"_{as_of:%Y%m%d%H%M%S}.csv"))
 
 
+def nothing_to_export(spark: SparkSession, route: str) -> DataFrame:
+    """The summary of an order run without orders."""
+    return local_rows(spark, [(route, 0, None, True, NO_ORDERS, NO_DATA_CODE, None)], SUMMARY)
+
+
 def summary(
-    df: DataFrame, routes: DataFrame, as_of: datetime, write_status: DataFrame | None = None, report_empty: bool = True
+    df: DataFrame,
+    routes: DataFrame,
+    as_of: datetime,
+    write_status: DataFrame | None = None,
+    report_empty: bool = True,
+    follow_up_error: str | None = None,
 ) -> DataFrame:
-    """Per route: row count, file name, error flag, message and code.
+    """Per route: row count, file name, error flag, message and code, and why the run's follow-up records failed.
 
     A route without rows is an error, or is left out when ``report_empty`` is off. ``write_status``
     (route_key, message, error_code) brings the errors met while writing.
@@ -43,4 +59,5 @@ def summary(
         (empty | (F.coalesce("_code", F.lit(0)) != 0)).alias("is_error"),
         F.when(empty, F.lit(NO_DATA)).otherwise(F.col("_message")).alias("message"),
         F.when(empty, F.lit(NO_DATA_CODE)).otherwise(F.coalesce("_code", F.lit(0))).alias("error_code"),
+        F.lit(follow_up_error).cast("string").alias("follow_up_error"),
     )

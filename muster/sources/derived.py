@@ -35,6 +35,7 @@ CUSTOM_FIELDS = {
     "multi_purpose": 210,
 }
 
+# Groups, tags, options, statuses, types and campaigns that the rules look for.
 _GROUPS = [(1, "Community NL"), (2, "Donation Info"), (3, "Erblasser")]
 _TAGS = [(0, "inaktiv"), (1, "VIP"), (2, "Firma"), (3, "Schule"), (4, "other")]
 _OPTION_GROUPS = [
@@ -62,6 +63,8 @@ _OPTION_VALUES = [
     (5, "32", "Petition", "Petition"),
     (5, "2", "Phone Call", "Phone Call"),
     (5, "33", "Webshop Order", "Webshop Order"),
+    (5, "34", "Action", "Action"),
+    (5, "35", "Outgoing Call", "Outgoing Call"),
     *[(6, str(n), f"Type {n}", f"Type {n}") for n in range(5)],
 ]
 _STATUSES = [(1, "Current"), (2, "Paused"), (3, "Cancelled")]
@@ -252,6 +255,13 @@ def _contribution_recur(d: DerivedTables) -> DataFrame:
     )
 
 
+# A line's own number: an order may hold one line number several times.
+_LINE_ID = (
+    "CAST(conv(left(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,"
+    " CAST(round(l_extendedprice * 100) AS BIGINT))), 15), 16, 10) AS BIGINT)"
+)
+
+
 def _lines_with_customer(d: DerivedTables) -> DataFrame:
     orders = d.base("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
     return d.base("lineitem").join(orders, "l_orderkey")
@@ -259,7 +269,7 @@ def _lines_with_customer(d: DerivedTables) -> DataFrame:
 
 def _contribution(d: DerivedTables) -> DataFrame:
     return _lines_with_customer(d).selectExpr(
-        "l_orderkey * 8 + l_linenumber AS id",
+        f"{_LINE_ID} AS id",
         "o_custkey AS contact_id",
         "CAST(l_quantity * 10 AS DECIMAL(20, 2)) AS total_amount",
         "l_shipdate AS receive_date",
@@ -268,28 +278,26 @@ def _contribution(d: DerivedTables) -> DataFrame:
 
 
 def _membership_payment(d: DerivedTables) -> DataFrame:
-    return (
-        d.base("lineitem")
-        .filter("l_linenumber = 1")
-        .selectExpr("l_orderkey AS membership_id", "l_orderkey * 8 + l_linenumber AS contribution_id")
-    )
+    # Every fourth membership was never charged.
+    charged = d.base("lineitem").filter("l_orderkey % 4 <> 0")
+    return charged.selectExpr("l_orderkey AS membership_id", f"{_LINE_ID} AS contribution_id")
 
 
 def _activity(d: DerivedTables) -> DataFrame:
     return d.base("lineitem").selectExpr(
-        "l_orderkey * 8 + l_linenumber AS id",
+        f"{_LINE_ID} AS id",
         "if(l_linenumber <= 3, 32, 2) AS activity_type_id",
         "l_partkey % 25 AS campaign_id",
         "CASE WHEN l_linenumber = 5 THEN 3 WHEN l_linestatus = 'F' THEN 2 WHEN l_linestatus = 'O' THEN 1 END"
         " AS status_id",
         "l_shipdate AS activity_date_time",
-        "l_partkey % 40 AS source_record_id",
+        "l_partkey AS source_record_id",
     )
 
 
 def _activity_contact(d: DerivedTables) -> DataFrame:
     return _lines_with_customer(d).selectExpr(
-        "l_orderkey * 8 + l_linenumber AS activity_id",
+        f"{_LINE_ID} AS activity_id",
         "o_custkey AS contact_id",
         "l_linenumber % 3 + 1 AS record_type_id",
     )
@@ -316,15 +324,11 @@ def _campaign(d: DerivedTables) -> DataFrame:
 
 
 def _survey(d: DerivedTables) -> DataFrame:
-    return (
-        d.base("part")
-        .filter("p_partkey < 40")
-        .selectExpr(
-            "p_partkey AS id",
-            "p_name AS title",
-            "if(p_partkey % 8 = 0, NULL, p_partkey % 25) AS campaign_id",
-            "32 AS activity_type_id",
-        )
+    return d.base("part").selectExpr(
+        "p_partkey AS id",
+        "p_name AS title",
+        "if(p_partkey % 8 = 0, NULL, p_partkey % 25) AS campaign_id",
+        "32 AS activity_type_id",
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,15 +71,18 @@ def rename_custom(df: DataFrame, field_map: Mapping[str, int]) -> DataFrame:
 def routes(spark: SparkSession, setting: str) -> DataFrame:
     """The JSON setting ``{route: {file, remote}}`` as rows (route_key, file, remote).
 
-    The setting is a single configuration value, so its check for a default route runs at once.
+    The setting is a single configuration value, so its check for a default route is made at once, without a job.
     """
+    try:
+        keys = json.loads(setting)
+    except json.JSONDecodeError:
+        keys = None
+    if not isinstance(keys, dict) or DEFAULT_ROUTE not in keys:
+        raise ValueError(f"the routes hold no '{DEFAULT_ROUTE}' entry")
     parsed = spark.range(1).select(F.from_json(F.lit(setting), ROUTES_TYPE).alias("routes"))
-    table = parsed.select(F.explode("routes").alias("route_key", "target")).select(
+    return parsed.select(F.explode("routes").alias("route_key", "target")).select(
         "route_key", F.col("target.file").alias("file"), F.col("target.remote").alias("remote")
     )
-    if table.filter(F.col("route_key") == DEFAULT_ROUTE).isEmpty():
-        raise ValueError(f"the routes hold no '{DEFAULT_ROUTE}' entry")
-    return table
 
 
 def pending_orders(t: Mapping[str, DataFrame], type_name: str = ORDER_ACTIVITY) -> DataFrame:

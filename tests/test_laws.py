@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from functools import reduce
 
 import pytest
 from compare import TABLES, connect, duck_rows, spark_rows
-from conftest import values
+from conftest import OPTION_GROUPS, values
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
-from muster.operators import sets, skew
-from muster.operators.candidates import Candidates
+from muster.operators import joins, sets
 from muster.plans import exports, rules
 from muster.sources.derived import AS_OF, FLOOR_DAY, DerivedTables
-from muster.sources.local import local_rows
 
 DIRECTORY = "/root/testdata/sf0.01"
 
@@ -81,67 +78,74 @@ def test_settled_is_failed_or_paid(t):
     assert values(rules.membership_settled(t), "membership_id") == values(both, "membership_id")
 
 
-@pytest.mark.parametrize(
-    "export",
-    [
-        lambda t, n: exports.export_welcome_post(t, AS_OF, max_candidates=n),
-        lambda t, n: exports.export_welcome_email(t, AS_OF, FLOOR_DAY, max_candidates=n),
-        lambda t, n: exports.export_welcome_email(t, AS_OF, FLOOR_DAY, checked=False, max_candidates=n),
-        lambda t, n: exports.export_welcome_call(t, AS_OF, max_candidates=n),
-        lambda t, n: exports.export_welcome_call(t, AS_OF, fanout=False, max_candidates=n),
-    ],
-)
-def test_few_and_many_candidates_give_the_same_rows(t, export):
-    many, few = spark_rows(export(t, 0)), spark_rows(export(t, 10**6))
-    assert many == few and few[1]
+@pytest.mark.parametrize("fanout", [True, False])
+def test_rules_about_some_ids_equal_the_rules_about_all(t, fanout):
+    """What a rule finds among given ids is what it finds at all, limited to these."""
+    some = t["membership"].filter("id % 3 = 0")
+    ids = some.filter("contact_id is not null").select("contact_id").distinct()
+    for rule in (
+        lambda ids: rules.major_donor(t, AS_OF, ids=ids),
+        lambda ids: rules.recent_mailing(t, AS_OF, ids=ids),
+        lambda ids: exports.call_suppressed(t, AS_OF, fanout, ids),
+        lambda ids: exports.callable_contacts(t, ids),
+    ):
+        limited = sets.within(rule(None).select("contact_id").distinct(), ids, "contact_id")
+        asked = sets.within(rule(ids).select("contact_id").distinct(), ids, "contact_id")
+        assert values(asked, "contact_id") == values(limited, "contact_id") != []
+    links = some.select(F.col("id").alias("membership_id"))
+    limited = sets.within(rules.membership_settled(t), links, "membership_id")
+    assert values(rules.membership_settled(t, links), "membership_id") == values(limited, "membership_id") != []
 
 
-def test_candidates_are_few_up_to_the_limit(spark):
-    assert Candidates(spark.range(10), 10).few
-    assert not Candidates(spark.range(11), 10).few
-    assert not Candidates(spark.range(0), 0).few
+def test_call_history_is_both_rules(t):
+    both = sets.union_ids(rules.call_activities(t), rules.tree_activities(t, AS_OF), distinct=True)
+    assert values(rules.call_history(t, AS_OF), "activity_id") == values(both, "activity_id") != []
 
 
 # Frequent keys.
 
 
-def test_hot_keys_are_found_and_few(spark):
-    df = spark.range(30_000).select(
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).alias("k")
-    )
-    assert set(skew.hot_keys(df, "k", 0.2)) == {7, None}
-    assert skew.hot_keys(spark.range(10_000), "id", 0.005) == []
-    assert skew.hot_keys(spark.range(0), "id", 0.005) == []
-    even = spark.range(100_000).select((F.col("id") % 150).alias("k"))
-    assert 0 < len(skew.hot_keys(even, "k", 0.005)) <= skew.MAX_HOT_KEYS
-    assert [skew.hot_share(n) for n in (4, 20, 2000)] == [0.2, 0.1, 0.005]
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_the_plain_join(spark, how):
-    left = spark.range(9000).select(
-        "id",
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 30 == 1, F.lit(None)).otherwise(F.col("id") % 500).alias("k"),
-    )
-    right = spark.range(0, 400).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    right = right.unionByName(local_rows(spark, [(7, -1), (None, -2)], "k bigint, v bigint"))
-    spread = skew.spread_join(left, right, "k", how, spread_on="id")
-    plain = left.join(right, "k", how)
-    assert Counter(spread.select(*plain.columns).collect()) == Counter(plain.collect())
+@pytest.fixture
+def splitting(spark):
+    """Many shuffle partitions, no broadcasts, and splitting from small sizes on."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "500",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
 
 
-def test_spread_join_deals_out_the_frequent_key(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_orders_of_frequent_contacts_are_split(crm, spark, splitting):
+    """One contact holds a third of all orders and 150 hold 0.22 % each: no task gets much more than its share.
+
+    A frequent contact is split by the tasks that read its orders, so there have to be many of these.
+    """
+    t = crm(option_group=OPTION_GROUPS)
+    rows, tasks = 200_000, 500
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 3 == 1, 1 + F.col("id") % 150).otherwise(F.col("id") % 5000)
+    orders = spark.range(rows).select("id", key.cast("bigint").alias("source_contact_id")).repartition(400)
+    t["contact"] = t["contact"].unionByName(
+        spark.range(5000).select("id", F.lit("Individual").alias("contact_type")), allowMissingColumns=True
+    )
+    joined = joins.with_contact(orders, joins.order_contacts(t, orders))
+    placed = joined.select("id", F.spark_partition_id().alias("task")).cache()
     try:
-        left = spark.range(8000).select("id", F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"))
-        right = spark.range(8000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-        joined = skew.spread_join(left, right, "k", "inner", spread_on="id")
-        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        sizes = [row["count"] for row in placed.groupBy("task").count().collect()]
+        plan = placed._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.enabled")
-    assert sum(sizes) == 8000 and max(sizes) < 8000 * 0.4
+        placed.unpersist()
+    assert sum(sizes) == rows
+    assert "skew=true" in plan
+    assert max(sizes) < 8 * rows / tasks
 
 
 def test_links_of_a_mass_mailing_are_split(spark):

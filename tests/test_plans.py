@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
+from muster.checks import queries
 from muster.plans import exports, rules
 from muster.schemas import SCHEMAS
 from muster.sources.derived import AS_OF, FLOOR_DAY, ROUTES, DerivedTables
@@ -49,9 +49,9 @@ def _five(t, spark):
     }
 
 
-@pytest.mark.parametrize("name", sorted(set(driver.queries()) - {"csv_export", "routed_export"}))
+@pytest.mark.parametrize("name", sorted(set(queries.queries()) - {"csv_export", "routed_export"}))
 def test_no_python_and_no_cross_join(spark, name):
-    plan = _plan(driver.queries()[name](spark, SMALL))
+    plan = _plan(queries.queries()[name](spark, SMALL))
     for word in ("Python", "ArrowEval", "MapIn", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert word not in plan, word
 
@@ -92,34 +92,63 @@ def test_large_tables_are_read_once(stored, spark):
     assert scans("email", "contribution") == 1
 
 
-def _fact_shuffles(plan: str, table: str) -> int:
-    """Scans of a table whose rows are shuffled without having met a broadcast semi join before."""
+def test_building_an_export_runs_no_job(stored, spark):
+    context = spark.sparkContext
+    context.setJobGroup("build", "building only")
+    try:
+        _five(stored, spark)
+        assert context.statusTracker().getJobIdsForGroup("build") == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _depth(line: str) -> int:
+    return len(re.match(r"[ :]*", line)[0])
+
+
+def _above(plan: str, table: str) -> list[str]:
+    """The operators above each scan of a table, from the scan upwards, as one text per scan."""
     lines = plan.splitlines()
-    found = 0
+    found = []
     for number, line in enumerate(lines):
         if f"/{table}.parquet" not in line:
             continue
-        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        depth = _depth(line)
+        path = []
         for above in reversed(lines[:number]):
-            level = len(above) - len(above.lstrip(" :+-*()0123456789"))
+            level = _depth(above)
             if level < depth:
                 depth = level
-                if "BroadcastHashJoin" in above and "LeftSemi" in above:
-                    break
-                if "Exchange hashpartitioning" in above:
-                    found += 1
-                    break
+                path.append(above)
+        found.append("\n".join(path))
     return found
 
 
-def test_few_candidates_cut_the_large_tables_before_any_shuffle(stored):
+@pytest.mark.parametrize("threshold", [10 * 1024 * 1024, -1])
+def test_large_tables_are_cut_before_anything_else(stored, threshold):
+    """Links, addresses and gifts meet the members' ids first: without a shuffle where these are few by Spark's own
+    statistics, else behind the shuffle on the contact that the next step needs."""
     for export in (exports.export_welcome_post, exports.export_welcome_call):
-        few, many = _plan(export(stored, AS_OF), 100), _plan(export(stored, AS_OF, max_candidates=0), 100)
+        plan = _plan(export(stored, AS_OF), threshold)
         for table in ("activity_contact", "address" if "post" in export.__name__ else "membership_payment"):
-            assert _fact_shuffles(few, table) == 0, (export, table)
-            assert _fact_shuffles(many, table) == 1, (export, table)
-        gifts = 1 if "post" in export.__name__ else 2
-        assert _fact_shuffles(few, "contribution") == 0 and _fact_shuffles(many, "contribution") == gifts
+            for path in _above(plan, table):
+                first_join = next(line for line in path.splitlines() if "Join" in line)
+                assert "LeftSemi" in first_join, (export, table, first_join)
+                before = path[: path.index(first_join)]
+                assert ("Exchange hashpartitioning" in before) == (threshold == -1)
+
+
+def test_mailing_cuts_links_before_the_first_grouping(stored):
+    (path,) = _above(_plan(exports.export_mailing(stored), -1), "activity_contact")
+    assert path.index("LeftSemi") < path.index("HashAggregate")
+
+
+def test_campaigns_are_read_once_per_generation(stored):
+    plan = _plan(exports.export_welcome_call(stored, AS_OF))
+    assert len(re.findall(r"FileScan parquet .*/campaign\.parquet", plan)) <= 8
+    assert len(re.findall(r"FileScan parquet .*/activity\.parquet", plan)) == 1
+    plan = _plan(rules.campaign_tree_contact(stored, AS_OF))
+    assert len(re.findall(r"FileScan parquet .*/campaign\.parquet", plan)) <= 4
 
 
 def test_quiet_day_reads_no_memberships(stored):

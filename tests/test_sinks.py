@@ -116,26 +116,42 @@ def test_routed_files_hold_every_row(spark, folder):
 
 
 def test_mass_activity(crm, spark):
-    t = crm(contact=[{"id": 1}, {"id": 2}], activity=[{"id": 41}])
+    t = crm(
+        contact=[{"id": 1}, {"id": 2}],
+        activity=[{"id": 41}],
+        campaign=[{"id": 7, "external_identifier": "X"}],
+        option_group=OPTION_GROUPS,
+        option_value=[option("activity_type", "34", "Action"), option("activity_status", "2", "Completed")],
+    )
     exported = local_rows(spark, [(1,), (1,), (2,), (9,)], "contact_id bigint")
-    record, links = follow_up.mass_activity(exported, t["contact"], t["activity"], {"subject": "s"})
-    assert [tuple(r) for r in record.collect()] == [(42, "s")]
+    record, links = follow_up.mass_activity(exported, t, AS_OF, "s", "X")
+    assert [tuple(r) for r in record.collect()] == [(42, 34, 7, 2, AS_OF, None, "s")]
+    assert record.drop("subject").schema.simpleString() == t["activity"].schema.simpleString()
+    assert links.schema.simpleString() == t["activity_contact"].schema.simpleString()
     assert sorted(tuple(r) for r in links.collect()) == [(42, 1, 3), (42, 2, 3)]
     nobody = exported.filter("contact_id < 0")
-    record, links = follow_up.mass_activity(nobody, t["contact"], t["activity"], {"subject": "s"})
+    record, links = follow_up.mass_activity(nobody, t, AS_OF, "s")
     assert record.isEmpty() and links.isEmpty()
+    earlier = local_rows(spark, [(77,)], "id bigint")
+    assert follow_up.mass_activity(exported, t, AS_OF, "s", earlier=earlier)[0].first().id == 78
 
 
-def test_call_tasks(spark):
-    exported = local_rows(spark, [(5,), (6,)], "contact_id bigint")
-    calls, links = follow_up.call_tasks(exported, AS_OF)
-    assert {(r.call_for, r.subject, r.campaign_id, r.activity_date_time) for r in calls.collect()} == {
-        (5, "Service Call", 43, AS_OF),
-        (6, "Service Call", 43, AS_OF),
-    }
-    assert {tuple(r) for r in links.filter("call_for = 5").collect()} == {
-        (5, 5, 3), (5, 94, 1), (5, 77, 1), (5, 105, 1), (5, 16, 2),
+def test_call_tasks(crm, spark, folder):
+    t = crm(
+        activity=[{"id": 100}],
+        option_group=OPTION_GROUPS,
+        option_value=[option("activity_type", "35", "Outgoing Call"), option("activity_status", "1", "Scheduled")],
+    )
+    exported = local_rows(spark, [(5,), (6,), (6,)], "contact_id bigint")
+    numbered = place.stage(follow_up.number_calls(exported, t), folder)
+    calls, links = follow_up.call_tasks(numbered, t, AS_OF)
+    numbers = {r.contact_id: r.activity_id for r in numbered.collect()}
+    assert len(set(numbers.values())) == 2 and min(numbers.values()) > 100
+    assert {tuple(r) for r in calls.collect()} == {
+        (number, 35, 43, 1, AS_OF, None, "Service Call") for number in numbers.values()
     }
+    found = {tuple(r)[1:] for r in links.filter(F.col("activity_id") == numbers[5]).collect()}
+    assert found == {(5, 3), (94, 1), (77, 1), (105, 1), (16, 2)}
 
 
 def test_ledger_leaves_failed_routes_pending(spark):
@@ -154,9 +170,9 @@ def test_summary_of_empty_and_failed_routes(spark):
     table = routes(spark, SETTING)
     found = {r.route_key: tuple(r)[1:] for r in summary(rows, table, AS_OF, status).collect()}
     assert found == {
-        "1": (2, "one_20010715120000.csv", True, "disk full", 7),
-        "default": (1, "d_20010715120000.csv", False, None, 0),
-        "3": (0, "three_20010715120000.csv", True, "No data available for upload", 1),
+        "1": (2, "one_20010715120000.csv", True, "disk full", 7, None),
+        "default": (1, "d_20010715120000.csv", False, None, 0, None),
+        "3": (0, "three_20010715120000.csv", True, "No data available for upload", 1, None),
     }
     assert values(summary(rows, table, AS_OF, report_empty=False), "route_key") == ["1", "default"]
 
@@ -192,10 +208,42 @@ def test_order_run_and_next_run(crm, spark, folder):
     assert (record.id, record.subject, record.campaign_id) == (11, "sent", 35)
     assert values(spark.read.parquet(f"{folder}/run1/activity_contact"), "contact_id") == [1, 2]
     second = runs.run_orders(t, table, folder, "run2", AS_OF, book)
-    assert second.isEmpty()
+    assert [(r.route_key, r["count"], r.is_error, r.message) for r in second.collect()] == [
+        ("default", 0, True, "No valid activities found for export")
+    ]
     assert not glob.glob(f"{folder}/run2/file-*")
 
 
+def test_failing_follow_up_is_reported_and_exports_nothing_again(crm, spark, folder):
+    t, table, book = _shop(crm), routes(spark, SETTING), f"{folder}/ledger"
+    # Two campaigns of one identifier: the lookup of the record's campaign fails.
+    t["campaign"] = t["campaign"].unionByName(t["campaign"].withColumn("id", F.col("id") + 1))
+    first = runs.run_orders(t, table, folder, "run1", AS_OF, book, create_activity=True).collect()
+    assert sum(r["count"] for r in first) == 4
+    assert all(not r.is_error and r.follow_up_error for r in first)
+    assert values(spark.read.parquet(book), "id") == [1, 2, 3, 4]
+    second = runs.run_orders(t, table, folder, "run2", AS_OF, book, create_activity=True).first()
+    assert second["count"] == 0
+
+
+def test_next_run_sees_what_the_last_one_did(spark, folder):
+    """Appended records of post and call runs keep everyone from a second package and a second call."""
+    derived = DerivedTables(spark, "/root/testdata/sf0.01")
+    table = routes(spark, SETTING)
+    plan = follow_up.CallPlan(campaign_id=11)
+    post = runs.run_welcome_post(derived, table, folder, "post1", AS_OF, create_activity=True).first()
+    mail = runs.run_welcome_email(derived, table, folder, "mail1", AS_OF, create_activity=True, floor="1995-01-01").first()
+    calls = runs.run_calls(derived, folder, "call1", AS_OF, plan)
+    assert post["count"] > 0 and mail["count"] > 0 and calls.count() > 0
+    records = {name: runs.earlier_records(spark, folder, name) for name in ("activity", "activity_contact")}
+    numbers = values(records["activity"], "id")
+    assert len(numbers) == len(set(numbers)) == 2 + calls.count()
+    t = LazyTables(lambda name: derived[name].unionByName(records[name]) if name in records else derived[name])
+    again = runs.run_welcome_post(t, table, folder, "post2", AS_OF).first()
+    assert again.message == "No data available for upload"
+    assert runs.run_calls(t, folder, "call2", AS_OF, plan).isEmpty()
+
+
 def test_order_run_with_a_failing_route(crm, spark, folder, monkeypatch):
     t, table, book = _shop(crm), routes(spark, SETTING), f"{folder}/ledger"
     write = runs.write_routed
@@ -230,7 +278,11 @@ def test_file_run(crm, spark, folder):
     report = runs.run_file_export(
         t, nothing, ["Email", "contact_id"], routes(spark, SETTING), folder, "r2", AS_OF, create_activity=True
     )
-    assert tuple(report.first())[1:] == (0, "d_20010715120000.csv", True, "No data available for upload", 1)
+    assert tuple(report.first())[1:] == (0, "d_20010715120000.csv", True, "No data available for upload", 1, None)
+    keys = ["Email", "contact_id"]
+    report = runs.run_file_export(t, rows, keys, routes(spark, SETTING), folder, "r3", AS_OF, exact=True)
+    assert not report.first().is_error
+    assert _text(f"{folder}/r3/file/header") + _text(f"{folder}/r3/file/lines") == 'Email;contact_id\n"a b";1\n'
     assert not glob.glob(f"{folder}/r2/file") and not glob.glob(f"{folder}/r2/activity*")
 
 
@@ -266,9 +318,12 @@ def test_whole_runs(spark, folder, run, keys, count):
 
 
 def test_call_run(spark, folder):
-    calls = runs.run_calls(DerivedTables(spark, "/root/testdata/sf0.01"), folder, "r", AS_OF)
-    assert calls.count() == 12
-    assert spark.read.parquet(f"{folder}/r/activity_contact").count() == 60
+    t = DerivedTables(spark, "/root/testdata/sf0.01")
+    calls = runs.run_calls(t, folder, "r", AS_OF)
+    assert calls.count() == exports.export_welcome_call(t, AS_OF).count() > 3
+    links = spark.read.parquet(f"{folder}/r/activity_contact")
+    assert links.count() == 5 * calls.count()
+    assert links.join(calls.select(F.col("id").alias("activity_id")), "activity_id", "left_anti").isEmpty()
 
 
 def test_tables_are_checked_against_the_contract(crm, spark, folder):
@@ -311,9 +366,7 @@ def test_run_folder_is_the_shared_one(spark):
 
 
 def test_run_folder_without_a_shared_one():
-    def session(master):
-        return SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master=master))
-
-    assert place.run_folder(session("local[2]"))
+    warehouse = SimpleNamespace(conf={"spark.sql.warehouse.dir": "s3a://warehouse/"})
+    assert place.run_folder(warehouse).startswith("s3a://warehouse/muster-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        place.run_folder(session("spark://host:7077"))
+        place.run_folder(SimpleNamespace(conf={}))
