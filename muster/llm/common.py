@@ -39,15 +39,23 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """``function`` on every Arrow batch; batches for which it returns None give no rows."""
+#: Rows whose texts a task holds as Python objects at once.
+SLICE = 1000
+
+
+def slices(batches: Iterator[pa.RecordBatch], size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Arrow batches, cut small: a text takes several times its room once it is worked on."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, size):
+            yield batch.slice(low, size)
+
+
+def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+    """``function`` on the rows, some at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                out = function(batch)
-                if out is not None:
-                    yield out
+        for batch in slices(batches):
+            yield function(batch)
 
     return df.mapInArrow(run, schema)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from muster.llm.common import shingle_hashes, shingle_set, words
+from muster.llm.common import shingle_hashes, shingle_set, slices, words
 
 CONTAINMENT = 75
 #: Hash functions compared one by one. An item of which 75 % lies in a window of at most four times its size agrees with
@@ -160,7 +160,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, containment: int = CONTA
             index = Index(sent.value)
             if not index.sets:
                 return
-            for batch in batches:
+            for batch in slices(batches):
                 rows = index.matches(batch.column(1).to_pylist())
                 rows = [r for r in rows if 100 * r[2] >= containment * r[3]]
                 if rows:

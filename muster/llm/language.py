@@ -170,7 +170,7 @@ def classify(texts: list[str | None], fitted: tuple[tuple[str, str], ...]) -> tu
     low = 0
     while low < len(known):
         high, size = low, 0
-        while high < len(known) and (high == low or size < 2_000_000):
+        while high < len(known) and (high == low or size < 500_000):
             size += len(texts[known[high]])
             high += 1
         cost = model.phrases([texts[i] for i in known[low:high]]) * model.scale

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from muster.llm.common import Stage
+from muster.llm.common import SLICE, Stage, slices
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END = 1
@@ -140,17 +140,11 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER) -> None:
 
         schema = pa.schema(_ARROW)
         shard = _Shard(TaskContext.get().partitionId())
-        for batch in batches:
-            rows: list[dict] = []
-            # A few texts at a time: ids take more room than the text.
-            for low in range(0, batch.num_rows, 500):
-                some = batch.slice(low, 500)
-                encoded = encode(some.column(1).to_pylist(), tokenizer)
-                for doc_id, ids in zip(some.column(0).to_pylist(), encoded, strict=True):
-                    rows += shard.add(doc_id, ids)
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
-                    rows = []
+        for batch in slices(batches, SLICE // 2):
+            encoded = encode(batch.column(1).to_pylist(), tokenizer)
+            rows = [row for d, ids in zip(batch.column(0).to_pylist(), encoded, strict=True) for row in shard.add(d, ids)]
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema)
         if shard.filled:
             yield pa.RecordBatch.from_pylist([shard.flush()], schema)
 
