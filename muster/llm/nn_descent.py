@@ -24,7 +24,7 @@ CHANGED, MOST_ROUNDS = 0.01, 6
 #: widened by new orders until it is reached.
 AUDITED, RECALL, MOST_WIDENINGS = 256, 0.999, 3
 #: Vectors of one block when the links inside a group are counted.
-GROUP_BLOCK = 512
+GROUP_BLOCK = 128
 
 _EDGE = "v long, u long, cos double"
 
@@ -202,7 +202,7 @@ def _audit(vectors: DataFrame, links: DataFrame, similarity: float) -> float:
     spark = vectors.sparkSession
     sent = spark.sparkContext.broadcast([(row.id, row.label, bytes(row.unit)) for row in chosen])
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found_v, found_u = [], []
         ids, labels, units = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
         groups: dict = {}
