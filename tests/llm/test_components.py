@@ -1,0 +1,24 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from rows import groups
+
+from muster.llm.common import Stage
+from muster.llm.graph import components
+
+
+@pytest.mark.parametrize("kind", ["path", "star", "random", "none"])
+def test_components(spark, kind):
+    rng = random.Random(3)
+    links = {
+        "path": [(i, i + 1) for i in range(300)],
+        "star": [(700, i) for i in range(300)],
+        "random": [(rng.randrange(400), rng.randrange(400)) for _ in range(300)],
+        "none": [(5, 5)],
+    }[kind]
+    edges = spark.createDataFrame([*links, *links[:5]], "a long, b long")
+    found = {r.id: r.component_id for r in components(edges, Stage(spark)).collect()}
+    ids = {i for link in links if link[0] != link[1] for i in link}
+    assert found == {i: g for i, g in groups(ids, [x for x in links if x[0] != x[1]]).items()}

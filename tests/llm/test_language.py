@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+from rows import NASTY, documents
+
+from muster.llm import language
+
+DIRECTORY = "/root/testdata/sf0.01"
+
+
+def _brute_phrases(text: str, corpus: str) -> int:
+    """Longest matches, one after another, by searching the corpus."""
+    plain = language._plain(text)
+    count = 0
+    for low in range(0, len(plain), language.BLOCK):
+        block, at = plain[low : low + language.BLOCK], 0
+        while at < len(block):
+            end = at + 1
+            while end <= len(block) and block[at:end] in corpus:
+                end += 1
+            at = max(at + 1, end - 1)
+            count += 1
+    return count
+
+
+def test_phrases_equal_a_search():
+    corpora = (("de", "der hund und die katze liegen auf dem dach"), ("en", "the dog and the cat lie on the roof"))
+    model = language.Automata(corpora)
+    texts = ["The cat & the hound!", "katze und hund", "x", "", "zzz the zzz", "the dog " * 100]
+    found = model.phrases(texts)
+    for row, text in enumerate(texts):
+        for k, (_, corpus) in enumerate(corpora):
+            assert found[row, k] == _brute_phrases(text, language._plain(corpus)), (text, corpus)
+
+
+def test_held_out_accuracy(spark):
+    from muster.llm.queries import op8_cross_parsing
+
+    found = {r.doc_id: r for r in op8_cross_parsing(spark, DIRECTORY).collect()}
+    docs = spark.read.parquet(f"{DIRECTORY}/documents.parquet").collect()
+    assert len(found) == len(docs)
+    for d in docs:
+        assert found[d.doc_id].held_out == (zlib.crc32(str(d.doc_id).encode()) % 5 == 0)
+    held = [d for d in docs if found[d.doc_id].held_out]
+    right = np.mean([found[d.doc_id].lang_pred == d.lang for d in held])
+    assert len(held) > 100 and right >= 0.95
+    assert all(0 <= r.score <= 1 for r in found.values())
+
+
+def test_prediction_reads_text_only(spark):
+    docs = documents(spark, [(1, "the dog and the cat"), (2, "der hund und die katze")])
+    fitted = [("de", "der hund und die katze liegen auf dem dach"), ("en", "the dog and the cat lie on the roof")]
+    found = {r.doc_id: (r.lang_pred, r.lang) for r in language.predict(docs, fitted).collect()}
+    assert found == {1: ("en", "en"), 2: ("de", "en")}
+
+
+def test_edge_rows(spark):
+    docs = documents(spark, NASTY, clashing=True)
+    fitted = [("de", "der hund und die straße"), ("en", "the dog and one two three word end")]
+    found = language.predict(docs, fitted)
+    assert set(found.columns) == {*docs.columns, "score"}
+    by_id = {(r.doc_id, r.text and r.text[:20]): (r.lang_pred, r.score) for r in found.collect()}
+    assert by_id[1, None] == by_id[2, ""] == by_id[None, None] == by_id[6, "!!! ... 42"] == ("und", 0.0)
+    assert by_id[4, "one two three"][0] == "en"
+    assert found.count() == len(NASTY)
+    assert {r.lang_pred for r in language.predict(docs, []).collect()} == {"und"}
+    assert language.predict(documents(spark, []), fitted).isEmpty()
+    one = language.predict(documents(spark, [(1, "abc")]), fitted[:1]).first()
+    assert (one.lang_pred, one.score) == ("de", 1.0)
+
+
+def test_sample_is_bounded(spark):
+    rows = [(n, f"text {n} " * 50) for n in range(2000)]
+    fitted = language.sample(documents(spark, rows), texts=8, chars=1000)
+    assert [lang for lang, _ in fitted] == ["en"] and 0 < len(fitted[0][1]) <= 1000
+    assert language.sample(documents(spark, [])) == []
