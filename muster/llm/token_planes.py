@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +15,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from muster.llm.common import SLICE, Stage, slices
 
@@ -39,21 +41,51 @@ def _tokenizer(path: str) -> Tokenizer:
     return Tokenizer.from_file(path)
 
 
+#: A word of ASCII and Latin-1 letters, with or without ASCII marks behind it: the tokenizer cuts it just there. Lower-cased,
+#: such letters are what its model takes, byte by byte in its own spelling, and none of them is composed any further.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+
+
 class _Words(dict):
-    """Ids of words as little-endian 32-bit numbers."""
+    """Ids of words as little-endian 32-bit numbers, asked of the tokenizer once."""
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = _tokenizer(path)
+        self.model = self.tokenizer.model
+        self.parts: dict[str, bytes] = {}
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelled = {code: spell(chr(code))[0][0] for code in range(0xC0, 0x100)}
 
-    def learn(self, words: list[bytes]) -> None:
-        new = list({word for word in words if word not in self})
-        if len(self) + len(new) > _REMEMBERED:
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= _REMEMBERED:
             self.clear()
-            new = list(set(words))
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in new], add_special_tokens=False)
-        for word, encoding in zip(new, found, strict=True):
-            self[word] = np.array(encoding.ids, "<u4").tobytes()
+        text = word.decode()
+        plain = _PLAIN.fullmatch(text)
+        if plain:
+            letters, marks = plain[1].lower(), plain[2]
+            ids = self._letters(letters) + (self._whole(marks) if marks else b"")
+        else:
+            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+    def _letters(self, letters: str) -> bytes:
+        """The model's ids of lower-case letters, which the tokenizer would leave as one part."""
+        ids = self.parts.get(letters)
+        if ids is None:
+            if len(self.parts) >= 2 * _REMEMBERED:
+                self.parts.clear()
+            ids = array("I", [t.id for t in self.model.tokenize(letters.translate(self.spelled))]).tobytes()
+            self.parts[letters] = ids
+        return ids
+
+    def _whole(self, marks: str) -> bytes:
+        ids = self.parts.get(marks)
+        if ids is None:
+            ids = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
+            self.parts[marks] = ids
+        return ids
 
 
 @functools.lru_cache(maxsize=2)
@@ -65,21 +97,11 @@ def encode(texts: list[str | None], path: str = TOKENIZER) -> list[bytes]:
     """Ids of whole texts, each with the end id.
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its parts between ASCII white
-    space, which are looked up once for all texts. White space of other scripts stays inside its part.
+    space, each asked for once. White space of other scripts stays inside its part.
     """
-    memory = _words(path)
-    parts = [(text or "").encode().split() for text in texts]
-    end = np.array([END], "<u4").tobytes()
-    out, low = [], 0
-    while low < len(parts):
-        high, size = low, 0
-        while high < len(parts) and (high == low or size < 200_000):
-            size += len(parts[high])
-            high += 1
-        memory.learn([word for words in parts[low:high] for word in words])
-        out += [b"".join(map(memory.__getitem__, words)) + end for words in parts[low:high]]
-        low = high
-    return out
+    find = _words(path).__getitem__
+    end = array("I", [END]).tobytes()
+    return [b"".join(map(find, (text or "").encode().split())) + end for text in texts]
 
 
 def to_planes(ids: np.ndarray) -> list[bytes]:

@@ -20,6 +20,7 @@ def _ids(text):
 TEXTS = [
     "The Cat's <|endoftext|> <|ENDOFTEXT|> don't", "Σίσυφος ΟΔΥΣΣΕΥΣ İstanbul ﬁne", "a b c\u0085d\x1ce\x1ff",
     "é é Å Å", "日本語 テキスト 한국어", "tab\there\r\nnew  line   x", "😀👍🏽 ok!!! ???", "1234567890 3.14", '" "a "',
+    "Éa! ÀÉÎÕÜ... straße, ÿÝþ×÷ µ ª º it's IT'S 's' o'clock' x'' don't!? e\u0301 ALL,CAPS (a) [b] <|startoftext|>, --end--",
 ]
 
 
@@ -32,6 +33,12 @@ def test_ids_survive_forgetting(monkeypatch):
     assert [np.frombuffer(b, "<u4").tolist() for b in tp.encode(TEXTS * 2)] == [_ids(t) for t in TEXTS * 2]
 
 
+def test_ids_of_every_latin_letter_and_mark():
+    letters = [chr(c) for c in range(0x21, 0x250) if not chr(c).isspace()]
+    texts = [f"{c} a{c} {c}a a{c}a A{c}{c} a!{c} b{c}'s" for c in letters]
+    assert [np.frombuffer(b, "<u4").tolist() for b in tp.encode(texts)] == [_ids(t) for t in texts]
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 65_536])
 def test_planes_round_trip(n):
     ids = np.random.default_rng(n).integers(0, 1 << 32, n, dtype=np.uint32)
