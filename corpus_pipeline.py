@@ -27,7 +27,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that hold no benchmark item."""
     hits = containment.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     hits = Stage(spark)(hits).withColumnRenamed("doc_id", "hit")
-    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("hit")), "left_anti")
+    return docs.join(hits, docs["doc_id"].eqNullSafe(hits["hit"]), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,14 +67,14 @@ def place(docs: DataFrame, shards: list[str], key: list[str], slots: int = SLOTS
 def place_evenly(
     docs: DataFrame, shards: list[str], key: list[str], within: list[str], slots: int = SLOTS, stage: Stage | None = None
 ) -> DataFrame:
-    """As ``place``, with frequent keys split: a key with more rows than an even shard has is dealt over
-    as many slots as it would fill shards, by a hash of ``within``. ``parts`` tells into how many."""
+    """As ``place``, with frequent keys split: a key with more rows than an even shard has is dealt out in parts of
+    an eighth of a shard, by a hash of ``within``. ``parts`` tells into how many."""
     stage = stage or Stage(docs.sparkSession)
     named = F.struct(*[F.col(f"`{c}`") for c in key])
     counted = docs.groupBy(F.xxhash64(named).alias("split_key")).agg(F.count(F.lit(1)).alias("n"))
     total = stage(counted)
     share = total.agg(F.greatest(F.lit(1.0), F.sum("n") / len(shards)).alias("share")).first()[0]
-    heavy = stage(total.filter(F.col("n") > share).select("split_key", F.ceil(F.col("n") / share).cast("int").alias("parts")))
+    heavy = stage(total.filter(F.col("n") > share).select("split_key", F.ceil(8 * F.col("n") / share).cast("int").alias("parts")))
     # A key that fills a shard is one of at most as many keys as there are shards.
     rows = docs.withColumn("split_key", F.xxhash64(named)).join(F.broadcast(heavy), "split_key", "left").drop("split_key")
     rows = rows.withColumn("parts", F.coalesce("parts", F.lit(1)))

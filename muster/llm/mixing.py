@@ -100,13 +100,15 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, stage: Stage | None =
 def repeat(docs: DataFrame, quality: DataFrame | None = None, stage: Stage | None = None) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as half or more of it is taken, with its columns.
 
-    A document cut by the budget stays whole or goes. Rows of one doc_id are taken as a whole, by the id's share.
+    A document cut by the budget stays whole or goes; documents without words go. Rows of one doc_id are taken as
+    a whole, by the id's share.
     """
     stage = stage or Stage(docs.sparkSession)
     mixed = mix(docs, quality, stage)
-    share = F.sum("taken") / F.sum("size")
+    share = F.sum("taken") / F.nullif(F.sum("size"), F.lit(0))
     copies = mixed.groupBy("doc_id").agg(F.coalesce(F.floor(share + 0.5), F.lit(0)).cast("int").alias("copies"))
-    copies = copies.select(F.col("doc_id").alias("mixed_id"), "copies").filter("copies > 0")
-    whole = docs.join(stage(copies), F.col("doc_id").eqNullSafe(F.col("mixed_id")))
-    again = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
-    return whole.withColumn("mixed_copy", again).select(*[docs[c] for c in docs.columns])
+    taken = stage(copies.filter("copies > 0").withColumnRenamed("doc_id", "mixed_id"))
+    whole = docs.join(taken, docs["doc_id"].eqNullSafe(taken["mixed_id"]))
+    # The documents travel as one column, so that none of theirs is taken for one of the mix.
+    row = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    return whole.select(row, F.explode(F.array_repeat(F.lit(0), taken["copies"]))).select("row.*")

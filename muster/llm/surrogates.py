@@ -27,7 +27,7 @@ PATTERN = "|".join(f"(?:{pattern})" for pattern in PATTERNS.values())
 
 _LOWER, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 #: Names are made of a consonant and a vowel, twice or thrice, and an ending by kind; in Latin and in Cyrillic script.
-_CONSONANTS, _VOWELS = ("bdfgklmnprstv", "aeiou"), ("бвгдклмнпрстф", "аеиоу")
+_CONSONANTS, _VOWELS = ("bdfgklmnprstv", "бвгдклмнпрстф"), ("aeiou", "аеиоу")
 _ENDINGS = {
     "given_m": (("n", "s", "r", "k"), ("н", "р", "л", "м")),
     "given_f": (("na", "la", "ra", "ne"), ("на", "ла", "ра", "я")),

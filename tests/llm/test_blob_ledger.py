@@ -50,7 +50,7 @@ def test_same_spans_as_python(spark):
     for n, text in rows:
         r = found[n]
         assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == _expected(text), text[:80]
-    assert found[9].spans == "pem:0:31" and found[10].spans == "url:5:27"
+    assert found[9].spans == "pem:0:31" and found[10].spans == "url:5:28"
 
 
 def test_edge_rows(spark):
