@@ -25,7 +25,7 @@ END = 1
 BLOCK = 1 << 16
 LEVEL = 1
 #: Words whose ids a task remembers before it forgets all of them.
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 
 #: One row per block. ``planes``: byte 0 of all ids, then byte 1, ..., each a zstandard frame. The other columns are the
 #: block's index: where it begins in its shard, and each document piece in it (the document's place in the shard, its id, the
