@@ -17,9 +17,11 @@ from muster.llm.graph import components
 #: Sorted orders, hashes in each order's label, and the shortest common prefix that makes neighbours candidates.
 #: Two sets of similarity 0.75 share a prefix of 3 in an order with probability 0.42, in none of 24 with 2e-6.
 TREES, DEPTH, MIN_DEPTH = 24, 8, 3
-#: Neighbours looked at in a sorted order, and from which common prefix on only the two nearest are taken: where many
-#: labels agree that far, the order has gone deeper, and the chain of nearest neighbours connects them.
-WINDOW, DEEP = 6, 5
+#: Neighbours looked at in a sorted order, and from which common prefix on only the two nearest are taken. Runs of a common
+#: prefix longer than what these always cover are crowds: their rows are compared in blocks where still unconnected.
+WINDOW, DEEP, COVERED = 6, 5, 3
+#: Rows and shingles that a block of a crowd holds on average, and columns of a block that are multiplied at once.
+BLOCK_ROWS, BLOCK_SHINGLES, BLOCK_COLUMNS = 256, 1 << 17, 2048
 SIMILARITY = 75
 #: Share of agreeing hashes, of 192, below which no pair is confirmed on its sets: 4.8 deviations under 0.75.
 ESTIMATE = 0.60
@@ -65,15 +67,26 @@ def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows that lie near each other in one order and share a long enough prefix."""
+    """Pairs (a, b) of rows that lie near each other in one order and share a long enough prefix, and the rows
+    (a, crowd) of longer runs of one prefix. A task's first and last run may go on in other tasks and are crowds."""
     kept_ids = np.empty(0, np.int64)
     kept_labels = np.empty((0, DEPTH + 1), np.uint16)
+    open_run: list[np.ndarray] = []
+    open_key: bytes | None = None
+    opened_first = True
+
+    def crowd(key: bytes, ids: list[np.ndarray]) -> pa.RecordBatch:
+        a = pa.array(np.concatenate(ids))
+        return pa.RecordBatch.from_arrays([a, pa.nulls(len(a), pa.int64()), pa.array([key] * len(a), pa.binary())], ["a", "b", "crowd"])
+
     for batch in batches:
         if not batch.num_rows:
             continue
         new = len(kept_ids)
-        ids = np.concatenate([kept_ids, batch.column(1).to_numpy(zero_copy_only=False)])
-        labels = np.concatenate([kept_labels, matrix(batch.column(0), ">u2").astype(np.uint16)])
+        fresh = batch.column(1).to_numpy(zero_copy_only=False)
+        big = matrix(batch.column(0), ">u2")
+        ids = np.concatenate([kept_ids, fresh])
+        labels = np.concatenate([kept_labels, big.astype(np.uint16)])
         left, right = [], []
         for lag in range(1, min(WINDOW, len(ids) - 1) + 1):
             # The first column is the order's number; rows before ``new`` met each other in the batch before.
@@ -87,7 +100,23 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (left, right))
         pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], axis=1), axis=0)
         if len(pairs):
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "crowd"])
+        keys = big[:, : MIN_DEPTH + 1]
+        cuts = [0, *(np.nonzero((keys[1:] != keys[:-1]).any(axis=1))[0] + 1).tolist(), len(keys)]
+        for low, high in zip(cuts, cuts[1:], strict=False):
+            if low == 0 or high == len(keys) or high - low > COVERED:
+                key = keys[low].tobytes()
+                if key == open_key:
+                    open_run.append(fresh[low:high])
+                    continue
+                if open_key is not None:
+                    if opened_first or sum(map(len, open_run)) > COVERED:
+                        yield crowd(open_key, open_run)
+                    opened_first = False
+                open_key, open_run = key, [fresh[low:high]]
+    if open_key is not None:
+        yield crowd(open_key, open_run)
 
 
 def _orders(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -98,20 +127,22 @@ def _orders(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([binary(np.hstack([trees, labels]).astype(">u2")), pa.array(ids)], ["label", "id"])
 
 
-def candidates(representatives: DataFrame, stage: Stage) -> DataFrame:
-    """(a, b, estimate) of neighbours in the forest whose hashes agree often enough; ``representatives``: (id, labels)."""
+def candidates(representatives: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
+    """(a, b, estimate) of neighbours in the forest whose hashes agree often enough, and the crowds (crowd, id);
+    ``representatives``: (id, labels)."""
     spark = representatives.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = arrow_map(representatives.select("id", "labels"), _orders, "label binary, id long")
-    pairs = (
+    met = stage(
         orders.repartitionByRange(parts, "label", "id")
         .sortWithinPartitions("label", "id")
-        .mapInArrow(_neighbours, "a long, b long")
+        .mapInArrow(_neighbours, "a long, b long, crowd binary")
         .distinct()
     )
     signed = representatives.select("id", "labels")
     both = (
-        stage(pairs)
+        met.filter("crowd is null")
+        .select("a", "b")
         .join(signed.withColumnsRenamed({"id": "a", "labels": "left"}), "a")
         .join(signed.withColumnsRenamed({"id": "b", "labels": "right"}), "b")
         .select("a", "b", "left", "right")
@@ -123,7 +154,8 @@ def candidates(representatives: DataFrame, stage: Stage) -> DataFrame:
         columns = [batch.column(0), batch.column(1), pa.array(share)]
         return pa.RecordBatch.from_arrays([c.filter(keep) for c in columns], ["a", "b", "estimate"])
 
-    return stage(arrow_map(both, estimate, "a long, b long, estimate double"))
+    crowds = met.filter("crowd is not null").select("crowd", F.col("a").alias("id"))
+    return stage(arrow_map(both, estimate, "a long, b long, estimate double")), crowds
 
 
 def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -151,14 +183,123 @@ def _confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     )
 
 
+def _compared(similarity: int):
+    """Links between the rows of two blocks of a crowd that lie in different groups, as many as connect them."""
+
+    def links(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        ids, groups, blocks = (rows.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5))
+        lists = rows.column(6)
+        sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        owner = np.repeat(np.arange(len(ids)), sizes)
+        _, column, times = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
+        # A shingle of one row only is common to no pair.
+        place = np.cumsum(times > 1) - 1
+        shared = times[column] > 1
+        owner, column = owner[shared], place[column[shared]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        common = np.zeros((len(ids), len(ids)), np.int64)
+        for low in range(0, int((times > 1).sum()), BLOCK_COLUMNS):
+            some = slice(*np.searchsorted(column, [low, low + BLOCK_COLUMNS]))
+            holds = np.zeros((len(ids), BLOCK_COLUMNS), np.float32)
+            holds[owner[some], column[some] - low] = 1
+            common += (holds @ holds.T).astype(np.int64)
+        linked = 100 * common >= similarity * (sizes[:, None] + sizes[None, :] - common)
+        if blocks.min() != blocks.max():
+            linked &= blocks[:, None] != blocks[None, :]
+        same = groups[:, None] == groups[None, :]
+        linked &= ~same
+        near = linked | same
+        a, b = [], []
+        unseen = np.ones(len(ids), bool)
+        for seed in range(len(ids)):
+            front = np.array([seed]) if unseen[seed] else np.empty(0, np.int64)
+            unseen[front] = False
+            while len(front):
+                reached = np.nonzero(near[front].any(axis=0) & unseen)[0]
+                # Rows of a group already reached need no link of their own.
+                parent = front[linked[np.ix_(front, reached)].argmax(axis=0)]
+                by_link = linked[parent, reached] & ~same[np.ix_(front, reached)].any(axis=0)
+                a.append(ids[parent[by_link]])
+                b.append(ids[reached[by_link]])
+                unseen[reached] = False
+                front = reached
+        return np.concatenate([np.empty(0, np.int64), *a]), np.concatenate([np.empty(0, np.int64), *b])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        for batch in batches:
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            if not rows.num_rows:
+                continue
+            low, high = (rows.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            crowd = np.array(rows.column(0).to_pylist(), object)
+            cut = (np.diff(low) != 0) | (np.diff(high) != 0) | (crowd[1:] != crowd[:-1])
+            cuts = [0, *(np.nonzero(cut)[0] + 1).tolist()]
+            held = rows.slice(cuts[-1])
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                yield out(rows.slice(start, end - start))
+        if held is not None and held.num_rows:
+            yield out(held)
+
+    def out(rows: pa.RecordBatch) -> pa.RecordBatch:
+        a, b = links(rows)
+        return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+
+    return run
+
+
+def _crowd_links(crowds: DataFrame, groups: DataFrame, sets: DataFrame, stage: Stage, similarity: int) -> DataFrame:
+    """Links (a, b) that connect all groups of a crowd that any link of its rows connects.
+
+    Every pair of a crowd's rows is compared on the full sets unless both are in the crowd's largest group.
+    """
+    parts = int(crowds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = stage(
+        crowds.join(groups, "id", "left")
+        .join(sets.select("id", F.size("shingles").cast("long").alias("size")), "id")
+        .select("crowd", "id", F.coalesce("component_id", "id").alias("group"), "size")
+    )
+    by_group = members.groupBy("crowd", "group").agg(F.count(F.lit(1)).alias("rows"), F.sum("size").alias("shingles"))
+    largest = F.max_by(F.struct("group", "rows", "shingles"), F.struct("rows", "group"))
+    crowded = by_group.groupBy("crowd").agg(
+        F.count(F.lit(1)).alias("groups"), F.sum("rows").alias("rows"), F.sum("shingles").alias("shingles"), largest.alias("largest")
+    )
+
+    def blocks(rows, shingles):
+        return F.ceil(F.greatest(rows / BLOCK_ROWS, shingles / BLOCK_SHINGLES)).cast("int")
+
+    crowded = stage(
+        crowded.filter("groups > 1").select(
+            "crowd",
+            F.col("largest.group").alias("first_group"),
+            blocks(F.col("largest.rows"), F.col("largest.shingles")).alias("inner"),
+            blocks(F.col("rows") - F.col("largest.rows"), F.col("shingles") - F.col("largest.shingles")).alias("outer"),
+        )
+    )
+    inside = F.col("group") == F.col("first_group")
+    spread = F.xxhash64("id", F.lit("block"))
+    block = F.when(inside, F.pmod(spread, "inner")).otherwise(F.col("inner") + F.pmod(spread, "outer")).cast("int")
+    others = F.sequence(F.when(inside, F.col("inner")).otherwise(F.lit(0)), F.col("inner") + F.col("outer") - 1)
+    dealt = (
+        members.join(crowded, "crowd")
+        .select("crowd", "id", "group", block.alias("block"), F.explode(others).alias("other"))
+        .select("crowd", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "group", "block")
+    )
+    keys = ["crowd", "low", "high"]
+    rows = dealt.join(sets, "id").select(*keys, "id", "group", "block", "shingles")
+    return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(_compared(similarity), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, stage: Stage | None = None, similarity: int = SIMILARITY) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text; other columns are ignored).
 
     Documents link when 100 * intersection >= ``similarity`` * union of their sets of five-word shingles; the group is
     named by its smallest doc_id, whose row is kept. Equal sets are one class, compared once; classes meet
     in an LSH forest and are confirmed on their full sets. A first pass confirms each class's two best candidates; the rest
-    is confirmed where the two sides are not yet connected, so every candidate is either confirmed, refuted or between
-    classes already in one group.
+    is confirmed where the two sides are not yet connected. Where more classes share a prefix than are looked at as
+    neighbours, all of them are compared in blocks, but for pairs inside the largest group. So every pair that shares a
+    prefix in any order is either confirmed, refuted or between classes already in one group.
 
     Null and empty texts have an empty set and link with nothing. Rows without doc_id link with nothing, have no
     component and are kept. Repeated rows are copies of each other; each of them is returned. Rows of one doc_id
@@ -179,8 +320,8 @@ def near_duplicates(docs: DataFrame, stage: Stage | None = None, similarity: int
         .dropDuplicates(["id"])
     )
 
-    pairs = candidates(representatives, stage)
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+    pairs, crowds = candidates(representatives, stage)
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).union(crowds.select("id")).distinct()
     wanted = stage(stands.join(wanted, "id", "left_semi"))
     texts = source.withColumnRenamed("doc_id", "id").join(wanted.select("id"), "id", "left_semi")
     sets = stage(
@@ -209,7 +350,10 @@ def near_duplicates(docs: DataFrame, stage: Stage | None = None, similarity: int
         .select("a", "b")
     )
     links = links.unionByName(stage(_confirm(left, sets, similarity)))
-    groups = components(links, stage)
+    groups = stage(components(links, stage))
+    more = stage(_crowd_links(crowds, groups, sets, stage, similarity).distinct())
+    if not more.isEmpty():
+        groups = components(links.unionByName(more), stage)
     named = stage(
         classes.join(groups, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
     )

@@ -48,6 +48,19 @@ def test_same_groups_as_brute_force(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == _brute(rows)
 
 
+def test_large_group_whose_neighbours_are_mostly_refuted(spark):
+    rng = random.Random(11)
+    base = words(rng, 400)
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for at in rng.sample(range(len(text)), 7):
+            text[at] = f"edit{i}-{at}"
+        rows.append((i, " ".join(text)))
+    found = forest_dedup.near_duplicates(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == _brute(rows)
+
+
 def test_edge_rows(spark):
     found = forest_dedup.near_duplicates(documents(spark, NASTY, clashing=True)).collect()
     assert sorted((r.doc_id or -1, r.n_shingles, r.component_id, r.kept) for r in found) == sorted(
