@@ -18,15 +18,17 @@ SIMILARITY = 0.98
 LIST, MOST_DOUBLINGS = 10, 4
 #: The first graph: orders by random hyperplanes, signs in each order's key, and rows compared in one stretch of an order.
 ORDERS, SIGNS, STRETCH = 8, 24, 96
-#: Descent ends when a round changes fewer than this share of list places, or after so many rounds.
+#: Descent at one width of the lists ends when a round changes fewer than this share of list places, or after so many rounds.
 CHANGED, MOST_ROUNDS = 0.01, 6
 #: Vectors whose links are found by brute force for the audit, the recall it asks for, and how often the graph is
 #: widened by new orders until it is reached.
 AUDITED, RECALL, MOST_WIDENINGS = 256, 0.999, 3
-#: Vectors of one block when the links inside a group are counted.
-GROUP_BLOCK = 128
+#: Vectors of one block when the links inside a group are counted, and when all vectors of a label are compared.
+GROUP_BLOCK, LABEL_BLOCK = 128, 512
 
-_EDGE = "v long, u long, cos double"
+#: Rows for the lists, and links (``link`` = 1) that connect what any computed pair connects.
+_EDGE = "v long, u long, cos double, link int"
+_NAMES = ["v", "u", "cos", "link"]
 
 
 def _valid(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -113,15 +115,40 @@ def _cosines(units: list[np.ndarray], labels: list) -> np.ndarray:
     return out
 
 
-def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for rows in _runs(batches, STRETCH):
-        if rows.num_rows > 1:
-            cosines = _cosines(_units(rows.column(2)), rows.column(1).to_pylist())
-            v, u, c = _top(rows.column(0).to_numpy(zero_copy_only=False), cosines, LIST // 2)
-            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(u), pa.array(c)], ["v", "u", "cos"])
+def _spanning(ids: np.ndarray, cosines: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs with a cosine of ``similarity`` or more, as many as connect all rows that they connect."""
+    near = cosines >= similarity
+    v, u = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    unseen = near.any(axis=1)
+    for seed in range(len(ids)):
+        front = np.array([seed] if unseen[seed] else [], np.int64)
+        unseen[front] = False
+        while len(front):
+            reached = np.nonzero(near[front].any(axis=0) & unseen)[0]
+            v.append(front[near[np.ix_(front, reached)].argmax(axis=0)])
+            u.append(reached)
+            unseen[reached] = False
+            front = reached
+    a, b = np.concatenate(v), np.concatenate(u)
+    return ids[a], ids[b], cosines[a, b]
 
 
-def _first_graph(vectors: DataFrame, seed: int) -> DataFrame:
+def _both(ids: np.ndarray, cosines: np.ndarray, width: int, similarity: float) -> list:
+    """The rows' best neighbours, then the links."""
+    return [(*_top(ids, cosines, width), 0), (*_spanning(ids, cosines, similarity), 1)]
+
+
+def _stretches(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _runs(batches, STRETCH):
+            if rows.num_rows > 1:
+                cosines = _cosines(_units(rows.column(2)), rows.column(1).to_pylist())
+                yield _edges(_both(rows.column(0).to_numpy(zero_copy_only=False), cosines, LIST // 2, similarity))
+
+    return run
+
+
+def _first_graph(vectors: DataFrame, seed: int, similarity: float) -> DataFrame:
     """Neighbours that lie near each other in orders by random hyperplanes."""
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = vectors.schema["label"].dataType.simpleString()
@@ -133,7 +160,7 @@ def _first_graph(vectors: DataFrame, seed: int) -> DataFrame:
         orders.repartitionByRange(parts, *keys)
         .sortWithinPartitions(*keys)
         .select("id", "label", "unit")
-        .mapInArrow(_stretches, _EDGE)
+        .mapInArrow(_stretches(similarity), _EDGE)
     )
 
 
@@ -148,50 +175,60 @@ def _lists(edges: DataFrame, widths: DataFrame | None) -> DataFrame:
     return ranked.filter(F.col("place") <= F.coalesce("width", F.lit(LIST))).drop("width")
 
 
-def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Among the neighbours of one vector, each one's best; rows come sorted by that vector."""
+def _around(similarity: float):
+    """Among the neighbours of one vector, each one's best, more where more were drawn; rows come sorted by that vector."""
 
-    def joined(rows: pa.RecordBatch):
-        if rows.num_rows > 1:
-            cosines = _cosines(_units(rows.column(2)), [0] * rows.num_rows)
-            yield _top(rows.column(1).to_numpy(zero_copy_only=False), cosines, LIST // 2)
+    def joined(rows: pa.RecordBatch) -> list:
+        if rows.num_rows < 2:
+            return []
+        cosines = _cosines(_units(rows.column(2)), [0] * rows.num_rows)
+        width = max(LIST // 2, rows.num_rows // 4)
+        return _both(rows.column(1).to_numpy(zero_copy_only=False), cosines, width, similarity)
 
-    held: pa.RecordBatch | None = None
-    for batch in batches:
-        rows = batch if held is None else pa.concat_batches([held, batch])
-        centres = rows.column(0).to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.nonzero(np.diff(centres))[0] + 1).tolist()]
-        held = rows.slice(cuts[-1])
-        found = [e for low, high in zip(cuts, cuts[1:], strict=False) for e in joined(rows.slice(low, high - low))]
-        if found:
-            yield _edges(found)
-    if held is not None:
-        found = list(joined(held))
-        if found:
-            yield _edges(found)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        for batch in batches:
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            centres = rows.column(0).to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.nonzero(np.diff(centres))[0] + 1).tolist()]
+            held = rows.slice(cuts[-1])
+            found = [e for low, high in zip(cuts, cuts[1:], strict=False) for e in joined(rows.slice(low, high - low))]
+            if found:
+                yield _edges(found)
+        if held is not None:
+            found = joined(held)
+            if found:
+                yield _edges(found)
+
+    return run
 
 
 def _edges(found: list) -> pa.RecordBatch:
-    v, u, c = (np.concatenate(x) for x in zip(*found, strict=True))
-    order = np.lexsort((u, v))
-    first = np.append(True, (np.diff(v[order]) != 0) | (np.diff(u[order]) != 0))
+    v, u, c = (np.concatenate(x) for x in list(zip(*found, strict=True))[:3])
+    link = np.repeat([e[3] for e in found], [len(e[0]) for e in found]).astype(np.int32)
+    order = np.lexsort((u, v, link))
+    first = np.append(True, (np.diff(v[order]) != 0) | (np.diff(u[order]) != 0) | (np.diff(link[order]) != 0))[: len(v)]
     at = order[first]
-    return pa.RecordBatch.from_arrays([pa.array(v[at]), pa.array(u[at]), pa.array(c[at])], ["v", "u", "cos"])
+    return pa.RecordBatch.from_arrays([pa.array(v[at]), pa.array(u[at]), pa.array(c[at]), pa.array(link[at])], _NAMES)
 
 
-def _descend(lists: DataFrame, vectors: DataFrame, round_: int) -> DataFrame:
+def _descend(lists: DataFrame, vectors: DataFrame, widths: DataFrame | None, round_: int, similarity: float) -> DataFrame:
     """Neighbours of neighbours: both directions of each list, where one side of a pair is fresh, compared around
-    each vector. A vector that is in many lists is joined through a bounded draw of them."""
+    each vector. A vector that is in many lists is joined through a draw of them, twice as wide as its own list."""
     both = lists.select("v", "u", "fresh").unionByName(lists.select(F.col("u").alias("v"), F.col("v").alias("u"), "fresh"))
     both = both.groupBy("v", "u").agg(F.max("fresh").alias("fresh"))
     draw = Window.partitionBy("v").orderBy(F.desc("fresh"), F.xxhash64("u", "v", F.lit(round_)))
-    drawn = both.withColumn("place", F.row_number().over(draw)).filter(F.col("place") <= 2 * LIST)
+    drawn = both.withColumn("place", F.row_number().over(draw))
+    if widths is None:
+        drawn = drawn.filter(F.col("place") <= 2 * LIST)
+    else:
+        drawn = drawn.join(widths, "v", "left").filter(F.col("place") <= 2 * F.coalesce("width", F.lit(LIST))).drop("width")
     fresh = drawn.groupBy("v").agg(F.max("fresh").alias("any")).filter("any = 1").select("v")
     wanted = drawn.join(fresh, "v", "left_semi").select("v", "u")
     units = vectors.select(F.col("id").alias("u"), "unit")
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     around = wanted.join(units, "u").select("v", "u", "unit").repartition(parts, "v").sortWithinPartitions("v", "u")
-    return around.mapInArrow(_around, _EDGE)
+    return around.mapInArrow(_around(similarity), _EDGE)
 
 
 def _audit(vectors: DataFrame, links: DataFrame, similarity: float) -> float:
@@ -271,15 +308,58 @@ def _count_inside(vectors: DataFrame, groups: DataFrame, similarity: float) -> D
     )
 
 
+def _compare_all(vectors: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """Links (v, u) that connect all that is linked: every pair of a label's vectors is compared, in blocks, unless both
+    are in the label's largest group."""
+    members = vectors.select("id", "label").join(groups, "id", "left").select("id", "label", F.coalesce("component_id", "id").alias("group"))
+    sizes = members.groupBy("label", "group").agg(F.count(F.lit(1)).alias("n"))
+    largest = F.max_by(F.struct("group", "n"), F.struct("n", "group")).alias("largest")
+    labels = sizes.groupBy("label").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("n"), largest).filter("groups > 1")
+    labels = labels.select(
+        "label",
+        F.col("largest.group").alias("first_group"),
+        F.ceil(F.col("largest.n") / LABEL_BLOCK).cast("int").alias("inner"),
+        F.ceil((F.col("n") - F.col("largest.n")) / LABEL_BLOCK).cast("int").alias("outer"),
+    )
+    inside, spread = F.col("group") == F.col("first_group"), F.xxhash64("id", F.lit("all"))
+    block = F.when(inside, F.pmod(spread, "inner")).otherwise(F.col("inner") + F.pmod(spread, "outer")).cast("int")
+    others = F.sequence(F.when(inside, F.col("inner")).otherwise(F.lit(0)), F.col("inner") + F.col("outer") - 1)
+    dealt = members.join(labels, "label").select("id", block.alias("block"), F.explode(others).alias("other"))
+    pair = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    rows = dealt.select("id", *pair).join(vectors.select("id", "label", "unit"), "id").select("label", "low", "high", "id", "unit")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        for batch in batches:
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            keys = list(zip(*(rows.column(i).to_pylist() for i in range(3)), strict=True))
+            cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1])]
+            held = rows.slice(cuts[-1])
+            for start, end in zip(cuts, cuts[1:], strict=False):
+                yield linked(rows.slice(start, end - start))
+        if held is not None and held.num_rows:
+            yield linked(held)
+
+    def linked(rows: pa.RecordBatch) -> pa.RecordBatch:
+        cosines = _cosines(_units(rows.column(4)), [0] * rows.num_rows)
+        v, u, _ = _spanning(rows.column(3).to_numpy(zero_copy_only=False), cosines, similarity)
+        return pa.RecordBatch.from_arrays([pa.array(v), pa.array(u)], ["v", "u"])
+
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["label", "low", "high"]
+    return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(run, "v long, u long")
+
+
 def near_duplicates(embeddings: DataFrame, stage: Stage | None = None, similarity: float = SIMILARITY) -> DataFrame:
     """(vec_id, n_links, component_id, kept, audit_recall) of every row of ``embeddings`` (vec_id, label, embedding).
 
     Two vectors link if their labels are equal and not null and their cosine in double precision is ``similarity`` or more.
     Equal vectors of a label are one class, compared once. Classes get neighbour lists from stretches of random
     orders; rounds of neighbours of neighbours refine them; lists full of links are doubled and the rounds go on;
-    then edges under the threshold go. An audit compares some vectors with all of their label: while it finds
-    links that the graph does not connect, new orders widen it. Inside each connected group links are
-    counted over all its pairs in blocks, so lists never bound the count.
+    then edges under the threshold go. Whatever tasks compare, links that connect the same vectors are kept beside the
+    lists. An audit compares some vectors with all of their label: while it finds links that the graph does not connect,
+    new orders widen it, and at last each label is compared in full. Inside each connected group links are counted over
+    all its pairs in blocks, so lists never bound the count.
 
     Vectors that are null, empty, zero or have null or non-finite components, those without label and those without id
     link with nothing; they are kept, and without id their component is null. Vectors of different dimensions do not
@@ -299,21 +379,31 @@ def near_duplicates(embeddings: DataFrame, stage: Stage | None = None, similarit
     vectors = stage(classes.filter("nth = 1").drop("nth"))
 
     lists = widths = None
-    groups = None
+    groups = links = None
     recall = 0.0
+
+    def kept_links(made: DataFrame) -> DataFrame:
+        new = made.filter("link = 1").select(F.greatest("v", "u").alias("a"), F.least("v", "u").alias("b"))
+        return stage((new if links is None else links.unionByName(new)).distinct())
+
     for widening in range(1 + MOST_WIDENINGS):
-        first = _first_graph(vectors, widening).withColumn("fresh", F.lit(1))
+        made = stage(_first_graph(vectors, widening, similarity))
+        links = kept_links(made)
+        first = made.filter("link = 0").drop("link").withColumn("fresh", F.lit(1))
         lists = stage(_lists(first if lists is None else lists.select("v", "u", "cos", "fresh").unionByName(first), widths))
-        doublings = 0
-        for round_ in range(MOST_ROUNDS):
+        doublings = rounds = 0
+        while True:
             old = lists.select("v", "u", "cos", F.lit(0).alias("fresh"))
-            new = _descend(lists, vectors, round_).withColumn("fresh", F.lit(1))
+            made = stage(_descend(lists, vectors, widths, rounds + MOST_ROUNDS * doublings, similarity))
+            links = kept_links(made)
+            new = made.filter("link = 0").drop("link").withColumn("fresh", F.lit(1))
             # What a list already holds is not fresh: the old row wins.
             known = old.unionByName(new).groupBy("v", "u").agg(F.max("cos").alias("cos"), F.min("fresh").alias("fresh"))
             merged = stage(_lists(known, widths))
             counts = merged.agg(F.count(F.lit(1)), F.sum("fresh")).first()
             lists = merged
-            if (counts[1] or 0) <= CHANGED * (counts[0] or 1):
+            rounds += 1
+            if (counts[1] or 0) <= CHANGED * (counts[0] or 1) or rounds == MOST_ROUNDS:
                 full = lists.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("cos").alias("least"))
                 if widths is not None:
                     full = full.join(widths, "v", "left")
@@ -326,12 +416,17 @@ def near_duplicates(embeddings: DataFrame, stage: Stage | None = None, similarit
                     widths.unionByName(grown).groupBy("v").agg(F.max("width").alias("width"))
                 )
                 lists = lists.withColumn("fresh", F.lit(1))
-                doublings += 1
+                doublings, rounds = doublings + 1, 0
         edges = lists.filter(F.col("cos") >= similarity).select(F.col("v").alias("a"), F.col("u").alias("b"))
-        groups = stage(components(edges, stage))
+        links = stage(links.unionByName(edges).distinct())
+        groups = stage(components(links, stage))
         recall = _audit(vectors, groups, similarity)
         if recall >= RECALL:
             break
+    else:
+        rest = _compare_all(vectors, groups, similarity).select(F.col("v").alias("a"), F.col("u").alias("b"))
+        groups = stage(components(stage(links.unionByName(rest)), stage))
+        recall = _audit(vectors, groups, similarity)
 
     linked = _count_inside(vectors, groups, similarity)
     named = stage(

@@ -47,6 +47,34 @@ def test_same_links_as_brute_force(spark):
     assert {r.audit_recall for r in found} == {1.0}
 
 
+def _tight_groups():
+    """Two groups of 300 with inner cosines near 0.9975, most cosines between them just above the threshold."""
+    rng = np.random.default_rng(3)
+    a, b = np.linalg.qr(rng.standard_normal((64, 2)))[0].T
+    other = 0.9845 * a + math.sqrt(1 - 0.9845**2) * b
+    x = np.concatenate([centre + rng.standard_normal((300, 64)) * 0.05 / 8 for centre in (a, other)]).astype(np.float32)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1)[:, None]
+    return x, unit
+
+
+def test_weak_links_join_tight_groups(spark):
+    x, unit = _tight_groups()
+    near = unit @ unit.T >= 0.98
+    np.fill_diagonal(near, False)
+    found = _run(spark, [(i, v.tolist(), 1) for i, v in enumerate(x)]).collect()
+    assert {r.vec_id: r.n_links for r in found} == dict(enumerate(near.sum(axis=1).tolist()))
+    assert {r.component_id for r in found} == {0}
+
+
+def test_comparing_all_finds_what_no_list_holds(spark):
+    x, unit = _tight_groups()
+    rows = [(i, 1, u.tobytes()) for i, u in enumerate(unit)]
+    vectors = spark.createDataFrame(rows, "id long, label int, unit binary")
+    apart = spark.createDataFrame([(i, 0 if i < 300 else 300) for i in range(600)], "id long, component_id long")
+    found = nn_descent._compare_all(vectors, apart, 0.98).collect()
+    assert any((r.v < 300) != (r.u < 300) for r in found)
+
+
 def test_edge_rows(spark):
     v = [1.0, 2.0, 3.0]
     rows = [
