@@ -6,7 +6,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import OPTION_GROUPS, option, values
+from crm_rows import OPTION_GROUPS, option, values
 from pyspark.sql import functions as F
 
 from muster.functions.dates import ago

@@ -6,7 +6,7 @@ from functools import reduce
 
 import pytest
 from compare import TABLES, connect, duck_rows, spark_rows
-from conftest import OPTION_GROUPS, values
+from crm_rows import OPTION_GROUPS, values
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver

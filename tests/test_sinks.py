@@ -10,7 +10,7 @@ from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
-from conftest import OPTION_GROUPS, option, values
+from crm_rows import OPTION_GROUPS, option, values
 from pyspark.sql import functions as F
 
 from muster.functions.text import csv_line
