@@ -166,6 +166,170 @@ GROUP BY d.id, i.id, n HAVING 100 * count(*) >= 75 * n
 """
 
 
+_OP11 = """
+WITH units AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+           sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d
+    FROM documents
+),
+drawn AS (
+    SELECT *, len(u)::BIGINT AS n, ('0x' || substr(d, 1, 8))::BIGINT AS h1, ('0x' || substr(d, 9, 8))::BIGINT AS h2,
+           ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4
+    FROM units
+),
+cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+           CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn
+),
+parts AS (
+    SELECT *, array_to_string(u[1:low], '') AS p, array_to_string(u[low + 1:high], '') AS m, array_to_string(u[high + 1:n], '') AS s
+    FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+#: Limits as in ``divergence.Limits``.
+_OP12 = r"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, lang, coalesce(text, '') AS text FROM documents),
+split AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
+windows AS (
+    SELECT row, unnest([w[i:i + 2] FOR i IN range(1, len(w) - 1)]) AS three, unnest(range(1, len(w) - 1)) AS i FROM split
+),
+repeated AS (
+    SELECT row, unnest([i, i + 1, i + 2]) AS place
+    FROM (SELECT row, i, count(*) OVER (PARTITION BY row, three) AS n FROM windows) WHERE n >= 2
+),
+repeats AS (SELECT row, count(DISTINCT place) AS n_repeat_words FROM repeated GROUP BY row),
+counted AS (
+    SELECT row, doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+           list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words,
+           len(regexp_extract_all(text, '\p{Lu}')) AS upper, len(regexp_extract_all(text, '\p{Nd}')) AS digit,
+           len(regexp_extract_all(text, '\p{P}')) - len(regexp_extract_all(text, '[#*%&]')) AS punct,
+           list_filter([lower(trim(x, '.,;:!?"''()[]{}#*$%&|<>-_')) FOR x IN w], lambda x: length(x) BETWEEN 1 AND 6) AS short
+    FROM split LEFT JOIN repeats USING (row)
+),
+classed AS (SELECT *, [upper, digit, n_symbols, punct, word_chars - upper - digit - n_symbols - punct] AS classes FROM counted),
+totals AS (
+    SELECT lang AS ref_lang, sum(n_words) AS all_words,
+           [sum(classes[1]) / sum(word_chars), sum(classes[2]) / sum(word_chars), sum(classes[3]) / sum(word_chars),
+            sum(classes[4]) / sum(word_chars), sum(classes[5]) / sum(word_chars)] AS class_shares
+    FROM classed WHERE lang IS NOT NULL GROUP BY lang
+),
+tops AS (
+    SELECT lang AS ref_lang, list(word ORDER BY count DESC, word) AS common, list(count ORDER BY count DESC, word) AS counts
+    FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY count DESC, word) AS rank
+        FROM (SELECT lang, word, count(*) AS count FROM (SELECT lang, unnest(short) AS word FROM classed) WHERE lang IS NOT NULL GROUP BY ALL)
+    ) WHERE rank <= 50 GROUP BY lang
+),
+reference AS (
+    SELECT ref_lang, class_shares, common, list_append(shares, 1 - list_sum(shares)) AS word_shares
+    FROM (SELECT *, [c / all_words FOR c IN counts] AS shares FROM totals JOIN tops USING (ref_lang) WHERE all_words >= 20000)
+),
+shared AS (
+    SELECT *, [c / word_chars FOR c IN classes] AS cp, list_append(wp, greatest(1 - list_sum(wp), 0)) AS p
+    FROM (
+        SELECT *, [len(list_filter(short, lambda x: x = k)) / n_words FOR k IN common] AS wp
+        FROM classed LEFT JOIN reference ON ref_lang = lang
+    )
+),
+far AS (
+    SELECT *,
+        sqrt(greatest(list_sum([
+            CASE WHEN cp[i] > 0 THEN cp[i] * log2(cp[i] / ((cp[i] + class_shares[i]) / 2)) ELSE 0 END
+            + CASE WHEN class_shares[i] > 0 THEN class_shares[i] * log2(class_shares[i] / ((cp[i] + class_shares[i]) / 2)) ELSE 0 END
+            FOR i IN range(1, 6)]) / 2, 0)) AS class_distance,
+        sqrt(greatest(list_sum([
+            CASE WHEN p[i] > 0 THEN p[i] * log2(p[i] / ((p[i] + word_shares[i]) / 2)) ELSE 0 END
+            + CASE WHEN word_shares[i] > 0 THEN word_shares[i] * log2(word_shares[i] / ((p[i] + word_shares[i]) / 2)) ELSE 0 END
+            FOR i IN range(1, len(word_shares) + 1)]) / 2, 0)) AS word_distance,
+        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+    FROM shared
+)
+SELECT doc_id, n_words, word_chars, n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_repeat_words,
+       base_failed,
+       NOT base_failed AND NOT coalesce(word_chars >= 200 AND class_distance > 0.25, FALSE)
+       AND NOT coalesce(n_words >= 80 AND word_distance ** 2 > 0.28 ** 2 + (len(word_shares) - 1) / (8 * n_words * ln(2)), FALSE) AS kept
+FROM far
+"""
+
+#: The digest of a text is the exclusive or of what each byte adds by its distance from the end, and of a term by length.
+_OP13 = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT b, list_reduce([b::UBIGINT] || range(8)::UBIGINT[],
+        lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384::UBIGINT) ELSE c // 2 END) AS digest
+    FROM range(256) t(b)
+),
+words AS (
+    SELECT kind, row, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM (
+        SELECT 'd' AS kind, row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents
+        UNION ALL SELECT 'b', row_number() OVER (), NULL, coalesce(text, '') FROM benchmark
+    )
+),
+features AS (
+    SELECT kind, row, unnest(w || [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS f FROM words
+),
+texts AS (SELECT f, hex(encode(f)) AS x, octet_length(encode(f)) AS n FROM (SELECT DISTINCT f FROM features)),
+adds(distance, b, digest) AS (
+    SELECT 0, b, digest FROM crc_table
+    UNION ALL
+    SELECT distance + 1, adds.b, xor(adds.digest // 256, crc_table.digest)
+    FROM adds JOIN crc_table ON crc_table.b = adds.digest % 256 WHERE distance < (SELECT max(n) FROM texts) + 4
+),
+bytes AS (SELECT f, n, unnest(range(n)) AS i, x FROM texts),
+added AS (
+    SELECT f, bit_xor(digest) AS digest
+    FROM (SELECT f, n - 1 - i AS distance, ('0x' || substr(x, (2 * i + 1)::INT, 2))::INT AS b FROM bytes) JOIN adds USING (distance, b)
+    GROUP BY f
+),
+step(n, digest) AS (
+    SELECT 0, 4294967295::UBIGINT
+    UNION ALL
+    SELECT n + 1, xor(step.digest // 256, crc_table.digest) FROM step JOIN crc_table ON b = step.digest % 256
+    WHERE n < (SELECT max(n) FROM texts)
+),
+buckets AS (
+    SELECT f, xor(xor(added.digest, step.digest), 4294967295::UBIGINT) % 10000 AS bucket
+    FROM added JOIN texts USING (f) JOIN step ON step.n = texts.n
+),
+counts AS (
+    SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM features JOIN buckets USING (f) GROUP BY bucket
+),
+gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain
+    FROM counts, (SELECT sum(s) AS all_s, sum(t) AS all_t FROM counts)
+),
+sums AS (
+    SELECT row, count(*) AS n_features, sum(gain)::BIGINT AS total
+    FROM features JOIN buckets USING (f) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY row
+),
+scored AS (
+    SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+           coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+           ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+    FROM words LEFT JOIN sums USING (row) WHERE kind = 'd'
+),
+keyed AS (SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0))))::BIGINT AS score FROM scored),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+           count(*) FILTER (n_words >= 20) OVER () AS eligible
+    FROM keyed
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * eligible // 100 THEN place END AS rank FROM ranked
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_nn_descent": _OP1,
@@ -173,4 +337,7 @@ def oracle_sql() -> dict[str, str]:
         "op3_minhash_forest": _OP3,
         "op5_weighted_mix": _OP5,
         "op7_benchmark_containment": _OP7,
+        "op11_secondary_sort": _OP11,
+        "op12_divergence": _OP12,
+        "op13_arrow_resampling": _OP13,
     }

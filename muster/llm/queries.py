@@ -12,7 +12,10 @@ from muster.llm import (
     blob_ledger,
     containment,
     context_mixing,
+    divergence,
+    fill_in_middle,
     forest_dedup,
+    importance,
     language,
     lookup_shards,
     mixing,
@@ -76,6 +79,19 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replaced.select("doc_id", *counts, "text")
 
 
+def op11_secondary_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
+
+
+def op13_arrow_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def queries() -> dict[str, Query]:
     listed = [
         op1_nn_descent,
@@ -88,6 +104,9 @@ def queries() -> dict[str, Query]:
         op8_cross_parsing,
         op9_byte_planes,
         op10_surrogates,
+        op11_secondary_sort,
+        op12_divergence,
+        op13_arrow_resampling,
     ]
     return {query.__name__: query for query in listed} | {"pipeline": corpus_pipeline.run}
 

@@ -1,0 +1,132 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+import time
+
+import pytest
+from pyspark.sql import functions as F
+from rows import NASTY, documents
+
+from muster.llm import divergence
+from muster.llm.divergence import Limits
+
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def _brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, repeats = {}, set()
+    for i in range(len(words) - 2):
+        seen.setdefault(tuple(words[i : i + 3]), []).append(i)
+    for places in seen.values():
+        if len(places) > 1:
+            repeats |= {i + k for i in places for k in range(3)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(repeats), n < 50 or 100 * len(repeats) > 50 * n)
+
+
+def _found(df):
+    return [tuple(r[c] for c in COUNTS) for r in df.orderBy("doc_id").collect()]
+
+
+def test_counts_equal_brute_force(spark):
+    rng = random.Random(5)
+    gaps = [" ", "  ", "\n", "\t", "\r\n", "\x0b", " \x0c", "\n\n"]
+    texts = []
+    for n in range(250):
+        size = rng.choice([1, 2, 3, 4, 20, 60, 200])
+        words = [rng.choice(["a", "b", "ünï", "#x|", "$$", "w%d" % rng.randrange(1 + n)]) for _ in range(size)]
+        texts.append(rng.choice(["", " ", "\n"]) + "".join(w + rng.choice(gaps) for w in words) + rng.choice(["", "a", "\x85 \xa0"]))
+    texts += ["x\n x\nx\r\nx\n\n \n", "same line\nsame line\nsame line", "a a a a a", "a b c a b c", "a b a b"]
+    rows = list(enumerate(texts))
+    assert _found(divergence.judge(documents(spark, rows))) == [_brute(t) for _, t in rows]
+
+
+def test_edge_rows(spark):
+    docs = documents(spark, NASTY, clashing=True).withColumns({"words": F.lit("own"), "classes": F.lit("own"), "short": F.lit(1), "ref_lang": F.lit("en")})
+    named = ("doc_id", "words", "classes", "short", "ref_lang", "row", "label", "n_chars")
+    found = divergence.judge(docs, named)
+    assert found.columns[: len(named)] == list(named)
+    rows = found.collect()
+    assert {r.words for r in rows} == {"own"}
+    assert sorted([(r.doc_id, *(r[c] for c in COUNTS)) for r in rows], key=repr) == sorted([(d, *_brute(t)) for d, t in NASTY], key=repr)
+    assert all(not r.kept for r in rows if r.doc_id in (1, 2, 3, 4, 8))  # the long text repeats one word
+    assert divergence.judge(documents(spark, [])).isEmpty()
+
+
+def test_without_language(spark):
+    text = " ".join(f"word{n}" for n in range(90))
+    docs = documents(spark, [(1, text), (2, text + " " + text)]).withColumn("lang", F.lit(None).cast("string"))
+    rows = divergence.judge(docs).orderBy("doc_id").collect()
+    assert [(r.kept, r.class_distance, r.word_distance) for r in rows] == [(True, None, None), (False, None, None)]
+
+
+@pytest.fixture
+def prose(spark):
+    rng = random.Random(11)
+    common = ["the", "of", "and", "to", "in", "is", "it", "was"]
+    rows = []
+    for n in range(300):
+        words = [rng.choice(common) if rng.random() < 0.45 else f"{rng.choice('bcdfg')}ord{chr(97 + rng.randrange(26))}ing{rng.randrange(97, 122):c}ly" for _ in range(60 + n)]
+        rows.append((n, " ".join(words)))
+    plain = [w for w in rows[299][1].split() if w not in common]
+    rows.append((1000, " ".join(plain * 2)[:4000].upper()))
+    rows.append((1001, " ".join(f"{w}x{i}" for i, w in enumerate(plain + plain + plain))))
+    rows.append((1002, " ".join(f"{w}{i}{'$' * (i % 5)}" for i, w in enumerate(rows[299][1].split()))))
+    return documents(spark, rows)
+
+
+def test_distances_equal_their_definition(spark, prose):
+    limits = Limits(common_words=8, reference_words=1000)
+    rows = divergence.judge(prose.select("doc_id", "lang", "text"), limits=limits).collect()
+    texts = {r.doc_id: r.text for r in prose.collect()}
+    ends = divergence.ENDS
+
+    def classes(text):
+        word = "".join(re.split(r"[\x20\x09-\x0D]+", text))
+        upper, digit, symbol = (sum(f(c) for c in word) for f in (str.isupper, str.isdigit, lambda c: c in "#*$%&|<>"))
+        return [upper, digit, symbol, 0, len(word) - upper - digit - symbol]
+
+    def short(text):
+        return [w for w in (w.strip(ends).lower() for w in text.split()) if 0 < len(w) <= 6]
+
+    counts = {}
+    for text in texts.values():
+        for w in short(text):
+            counts[w] = counts.get(w, 0) + 1
+    common = sorted(counts, key=lambda w: (-counts[w], w))[:8]
+    all_words = sum(len(t.split()) for t in texts.values())
+    q = [counts[w] / all_words for w in common]
+    q.append(1 - sum(q))
+    all_classes = [sum(c) for c in zip(*map(classes, texts.values()), strict=True)]
+    cq = [c / sum(all_classes) for c in all_classes]
+
+    def js(p, q):
+        total = 0.0
+        for x, y in zip(p, q, strict=True):
+            m = (x + y) / 2
+            total += (x * math.log2(x / m) if x else 0) + (y * math.log2(y / m) if y else 0)
+        return math.sqrt(max(total / 2, 0))
+
+    for r in rows:
+        words, found = texts[r.doc_id].split(), short(texts[r.doc_id])
+        p = [found.count(w) / len(words) for w in common]
+        c = classes(texts[r.doc_id])
+        assert r.word_distance == pytest.approx(js([*p, 1 - sum(p)], q), abs=1e-9)
+        assert r.class_distance == pytest.approx(js([x / sum(c) for x in c], cq), abs=1e-9)
+    kept = {r.doc_id: r.kept for r in rows}
+    assert all(kept[n] for n in range(300))
+    assert not any(kept[n] for n in (1000, 1001, 1002))
+
+
+def test_a_long_text_takes_linear_time(spark):
+    rng = random.Random(2)
+    text = " ".join(rng.choice(["a", "b", "c", "the", "w%d" % rng.randrange(90_000)]) for _ in range(400_000))
+    began = time.time()
+    row = divergence.judge(documents(spark, [(1, text)])).collect()[0]
+    assert time.time() - began < 60
+    assert tuple(row[c] for c in COUNTS) == _brute(text)

@@ -13,7 +13,7 @@ DIRECTORY = "/root/testdata/sf0.01"
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = set(queries.queries())
-    assert {name.split("_")[0] for name in names} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {name.split("_")[0] for name in names} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     assert names <= set(driver.queries())
     assert set(queries.oracle_sql()) <= names
 
@@ -26,7 +26,7 @@ def test_same_rows_as_sql(spark, name):
     assert expected and found == expected
 
 
-@pytest.mark.parametrize("name", ["op2_blob_ledger", "op5_weighted_mix", "op10_surrogates"])
+@pytest.mark.parametrize("name", ["op2_blob_ledger", "op5_weighted_mix", "op10_surrogates", "op12_divergence"])
 def test_native_operators_run_no_python(spark, name):
     df = queries.queries()[name](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
