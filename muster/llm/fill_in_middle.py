@@ -12,6 +12,7 @@ from itertools import chain, groupby
 import numpy as np
 from pyspark import RDD
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: The marks before prefix, suffix and middle, and their order in each form.
 MARKS = {"P": b"<P>", "S": b"<S>", "M": b"<M>"}
@@ -24,6 +25,8 @@ PLAIN = 90
 SPM = 20
 #: Units in a piece.
 UNITS = 4096
+#: Bytes of text that a partition of the sort holds, about.
+PARTITION_BYTES = 32 << 20
 #: Code points looked at at once.
 BLOCK = 1 << 20
 _MARK = re.compile(b"|".join(MARKS.values()))
@@ -144,10 +147,15 @@ def keyed_pieces(docs: DataFrame, units: int = UNITS) -> RDD:
     return docs.select("doc_id", "text").rdd.mapPartitionsWithIndex(emit)
 
 
+def sort_partitions(docs: DataFrame) -> int:
+    """As many partitions as the bytes of all texts ask for, so that a sort fits into a Python worker at any size."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(-(-total // PARTITION_BYTES), docs.sparkSession.sparkContext.defaultParallelism)
+
+
 def assembled(docs: DataFrame, partitions: int | None = None, units: int = UNITS) -> RDD:
     """``keyed_pieces`` with each output's pieces one after the other, in order, in one partition."""
-    pieces = keyed_pieces(docs, units)
-    return pieces.repartitionAndSortWithinPartitions(partitions or max(pieces.getNumPartitions(), 1), _row)
+    return keyed_pieces(docs, units).repartitionAndSortWithinPartitions(partitions or sort_partitions(docs), _row)
 
 
 def outputs(docs: DataFrame, partitions: int | None = None, units: int = UNITS) -> DataFrame:
