@@ -117,6 +117,18 @@ def references(measured: DataFrame, limits: Limits, stage: Stage) -> DataFrame:
     )
 
 
+def common_counts(measured: DataFrame, reference: DataFrame, limits: Limits) -> DataFrame:
+    """(number, counts): how often the text of each row holds each common word of its language, for rows that hold one.
+
+    Words meet the few common ones by a join. A row's words are in one task, so it leaves it as one row of counts.
+    """
+    common = reference.select("ref_lang", F.posexplode("common").alias("rank", "word"))
+    words = measured.select("number", F.col("lang").alias("ref_lang"), F.explode("short").alias("word"))
+    each = [F.count(F.when(F.col("rank") == rank, 1)).alias(f"n{rank}") for rank in range(limits.common_words)]
+    counted = words.join(common, ["ref_lang", "word"]).groupBy("number").agg(*each)
+    return counted.select("number", F.array(*[f"n{rank}" for rank in range(limits.common_words)]).alias("counts"))
+
+
 def distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance of two lists of shares, to the base 2; null if one is missing."""
 
@@ -151,14 +163,14 @@ def judge(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), limits: Limit
     measured = counted(docs.select(row.alias("row"), "lang", "text"))
     classes = class_counts(F.col("text"), F.col("word_chars"))
     short = short_words(F.col("words"), limits.longest_word)
-    measured = stage(measured.withColumns({"classes": classes, "short": short}).drop("text", "words"))
+    numbered = {"classes": classes, "short": short, "number": F.monotonically_increasing_id()}
+    measured = stage(measured.withColumns(numbered).drop("text", "words"))
 
     reference = stage(references(measured, limits, stage))
-    held = measured.join(reference, F.col("lang") == F.col("ref_lang"), "left")
-    # Places in the list of common words; 0 are other words.
-    held = held.withColumn("ranks", F.transform("short", lambda w: F.array_position("common", w))).drop("short", "common")
-    counts = F.transform(F.sequence(F.lit(1), F.size("word_shares") - 1), lambda k: F.size("ranks") - F.size(F.array_remove("ranks", k.cast("long"))))
-    held = held.withColumn("counts", F.when(F.size("word_shares") > 1, counts)).drop("ranks")
+    held = measured.drop("short").join(reference.drop("common"), F.col("lang") == F.col("ref_lang"), "left")
+    held = held.join(common_counts(measured, reference, limits), "number", "left")
+    none = F.array_repeat(F.lit(0).cast("long"), limits.common_words)
+    held = held.withColumn("counts", F.slice(F.coalesce("counts", none), 1, F.size("word_shares") - 1))
     common = F.transform("counts", lambda c: c / F.col("n_words"))
     held = held.withColumn("p", F.when(F.col("n_words") > 0, common)).drop("counts")
     rest = 1 - F.aggregate("p", F.lit(0.0), lambda total, share: total + share)
