@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from muster.functions.text import customer_no_cut, customer_no_full, name_by_typ
 from muster.operators import aggregates, filters, joins, lookups, sets, updates
 from muster.plans import exports, rules
 from muster.schemas import SCHEMAS
-from muster.sinks import files, follow_up, ledger, place
+from muster.sinks import append, files, follow_up, ids, ledger, place, storage
 from muster.sinks.summary import summary
 from muster.sources import tables
 from muster.sources.derived import AS_OF, CUSTOM_FIELDS, FLOOR_DAY, ROUTES, DerivedTables, webshop_activity
@@ -103,8 +105,10 @@ def routed_export(t, spark):
 @_query
 def mass_activity(t, spark):
     exported = exports.mailing_base(t).select("contact_id")
-    record, links = follow_up.mass_activity(exported, t, AS_OF, "Export", "AKTION-7767")
-    return _with_links(record, links)
+    folder = place.run_folder(spark)
+    number = ids.reserve(spark, f"{folder}/ids", "export", 1, ids.highest_id(t["activity"]))[0]
+    record, links = follow_up.mass_activity(exported, t, AS_OF, number, "Export", "AKTION-7767")
+    return _with_links(place.stage(record, f"{folder}/activity"), place.stage(links, f"{folder}/activity_contact"))
 
 
 def _with_links(records: DataFrame, links: DataFrame) -> DataFrame:
@@ -117,8 +121,8 @@ def _with_links(records: DataFrame, links: DataFrame) -> DataFrame:
 @_query
 def call_tasks(t, spark):
     """Calls with their links. Numbers differ from run to run, so each call is told by the contact it is for."""
-    numbered = follow_up.number_calls(exports.export_welcome_call(t, AS_OF), t)
-    numbered = place.stage(numbered, f"{place.run_folder(spark)}/calls")
+    folder = place.run_folder(spark)
+    numbered = follow_up.number_calls(exports.export_welcome_call(t, AS_OF), t, f"{folder}/ids", "calls", folder)
     records, links = follow_up.call_tasks(numbered, t, AS_OF)
     wanted = numbered.withColumnRenamed("contact_id", "call_for")
     return _with_links(records, links).join(wanted, "activity_id").drop("activity_id")
@@ -126,16 +130,22 @@ def call_tasks(t, spark):
 
 @_query
 def export_ledger(t, spark):
-    """The ledger rows of a run whose route 1 failed, and the orders the next run still finds pending."""
-    due = tables.pending_orders(t)
-    outcome = local_rows(
-        spark,
-        [("default", False), ("1", True), ("3", False)],
-        "route_key string, is_error boolean",
-    )
-    marked = ledger.mark_exported(exports.with_route(due, _routes(spark)), outcome, AS_OF)
-    left = ledger.not_in_ledger(due, marked).select("id", "order_exported", "order_exported_date", "status_id")
-    return marked.unionByName(left).withColumn(
+    """The ledger rows of a run that died before its route 1 was complete, and the orders the next run still finds pending."""
+    due, folder = tables.pending_orders(t), place.run_folder(spark)
+    book = f"{folder}-ledger"
+
+    def select(taken):
+        place.stage(exports.with_route(ledger.not_in_ledger(due, taken), _routes(spark)), f"{folder}/audience", by="route_key")
+        return f"{folder}/audience"
+
+    intent = ledger.begin(spark, book, "dead", AS_OF, f"{folder}/file", ["default", "1", "3"], select)
+    for route in intent.routes:
+        files.write_routed(intent.orders(spark).filter(F.col("route_key") == route), ["id"], intent.folder(route))
+        if route != "1":
+            storage.mark_complete(spark, intent.folder(route))
+    ledger.recover(spark, book, timedelta(0))
+    left = ledger.not_in_ledger(due, ledger.taken(spark, book)).select("id", "order_exported", "order_exported_date", "status_id")
+    return ledger.read_ledger(spark, book).unionByName(left).withColumn(
         "order_exported_date", F.date_format("order_exported_date", "yyyy-MM-dd HH:mm:ss")
     )
 
@@ -143,7 +153,8 @@ def export_ledger(t, spark):
 @_query
 def export_summary(t, spark):
     table = _routes(spark)
-    report = summary(exports.with_route(tables.pending_orders(t), table), table, AS_OF)
+    where = F.concat(F.lit("out/file-"), F.col("route_key"))
+    report = summary(exports.with_route(tables.pending_orders(t), table), table, AS_OF, folder=where)
     return report.withColumn("is_error", F.col("is_error").cast("int"))
 
 
@@ -467,7 +478,20 @@ def update_from_aggregate(t, spark):
 
 @_query
 def assert_unique_key(t, spark):
-    return updates.duplicate_keys(t["address"], "contact_id")
+    """The check that exports rely on, on a table that passes (its rows) and one that fails (its repeated keys)."""
+
+    def tried(name: str, rows: DataFrame, key: str) -> DataFrame:
+        try:
+            count = updates.unique_or_fail(rows, key).count()
+        except (Py4JJavaError, PySparkException) as error:
+            if f"duplicate key {key}=" not in str(error):
+                raise
+            found = updates.duplicate_keys(rows, key).select(F.col(key).cast("bigint").alias("key"), "copies")
+        else:
+            found = local_rows(spark, [(None, count)], "key bigint, copies bigint")
+        return found.withColumn("table_name", F.lit(name))
+
+    return tried("contact", t["contact"], "id").unionByName(tried("address", t["address"], "contact_id"))
 
 
 @_query
@@ -475,8 +499,11 @@ def insert_ignore(t, spark):
     rows = t["membership"].select(
         "contact_id", F.lit(2).cast("bigint").alias("group_id"), F.lit("Added").alias("status")
     )
-    added = updates.insert_new(t["group_contact"], rows, ["contact_id", "group_id"])
-    return added.withColumn("group_id", F.col("group_id").cast("int"))
+    key, target = ["contact_id", "group_id"], f"{place.run_folder(spark)}/group_contact"
+    # A repeated run and a second one add nothing.
+    for run_id in ("first", "first", "second"):
+        append.append_new(rows, target, key, run_id, t["group_contact"])
+    return append.read_parts(spark, target, rows.schema).withColumn("group_id", F.col("group_id").cast("int"))
 
 
 # Expressions.

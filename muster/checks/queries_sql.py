@@ -212,7 +212,7 @@ CHECKS: dict[str, str] = {
     "csv_lines": f"SELECT {_line(ORDER_COLUMNS)} AS value FROM shop_lines",
     "routed_export": f"SELECT {ORDER_COLUMNS}, route_key FROM shop_lines",
     "mass_activity": """
-        SELECT (SELECT max(id) + 1 FROM activity) AS activity_id, 34 AS activity_type_id,
+        SELECT (SELECT (max(id) // 1024 + 1) * 1024 FROM activity) AS activity_id, 34 AS activity_type_id,
                (SELECT id FROM campaign WHERE external_identifier = 'AKTION-7767') AS campaign_id, 2 AS status_id,
                'Export' AS subject, '2001-07-15 12:00:00' AS activity_date_time, contact_id, 3 AS record_type_id
         FROM mailing""",
@@ -228,6 +228,7 @@ CHECKS: dict[str, str] = {
         UNION ALL SELECT id, 0, NULL, 1 FROM shop_lines WHERE route_key = '1'""",
     "export_summary": """
         SELECT r.route_key, count(l.id) AS count, r.file || '_20010715120000.csv' AS filename,
+               CASE WHEN count(l.id) > 0 THEN 'out/file-' || r.route_key END AS folder,
                CAST(count(l.id) = 0 AS INTEGER) AS is_error,
                CASE WHEN count(l.id) = 0 THEN 'No data available for upload' END AS message,
                CAST(count(l.id) = 0 AS INTEGER) AS error_code, CAST(NULL AS VARCHAR) AS follow_up_error
@@ -352,7 +353,9 @@ CHECKS: dict[str, str] = {
     "update_from_aggregate": """
         SELECT c.id AS contact_id, p.petition, t.campaign_topic FROM contact c
         LEFT JOIN petition_texts p ON p.contact_id = c.id LEFT JOIN topic_texts t ON t.contact_id = c.id""",
-    "assert_unique_key": "SELECT contact_id, count(*) AS copies FROM address GROUP BY contact_id HAVING count(*) > 1",
+    "assert_unique_key": """
+        SELECT 'contact' AS table_name, CAST(NULL AS BIGINT) AS key, count(*) AS copies FROM contact
+        UNION ALL SELECT 'address', contact_id, count(*) FROM address GROUP BY contact_id HAVING count(*) > 1""",
     "insert_ignore": """
         SELECT DISTINCT m.contact_id, 2 AS group_id, 'Added' AS status FROM membership m
         WHERE NOT EXISTS (SELECT 1 FROM group_contact g WHERE g.contact_id = m.contact_id AND g.group_id = 2)""",

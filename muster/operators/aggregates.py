@@ -31,31 +31,27 @@ def concat_distinct(df: DataFrame, key: str, column: str, sep: str = ", ", out:
     return df.groupBy(key).agg(F.when(F.count(column) > 0, texts).alias(out or column))
 
 
-def concat_in_order(df: DataFrame, key: str, columns: Sequence[str], order: str, sep: str = ", ") -> DataFrame:
-    """Per key, for each column, the distinct texts in the order of their first ``order`` value.
+def concat_by_range(
+    df: DataFrame, key: str, texts: Sequence[str], order: str, width: int, sep: str = ", "
+) -> DataFrame:
+    """Per key and kind of text the texts in the order of ``order``, put together in two steps.
 
-    Texts with the same first value are ordered by themselves, which makes the result repeatable. All rows of a
-    key come together, so they should already be reduced to one per text (see ``concat_distinct_by``).
+    ``df`` has one row (key, kind, order, text) per key and different text; ``kind`` is the place of the text's column in
+    ``texts``. A first grouping puts together what lies in one range of ``width`` order values, a second one the ranges: a key with
+    very many texts is many lists in many tasks, and the last task sees one finished text a range. Texts with the same order
+    value are ordered by themselves, which makes the result repeatable. NULLs are left out; a key with nothing else gets NULL.
     """
+    entry = F.struct(F.col(order).alias("at"), F.col("text").alias("text"))
+    listed = F.sort_array(F.collect_list(F.when(F.col("text").isNotNull(), entry))).getField("text")
+    ranged = df.withColumn("_range", F.floor(F.col(order) / width))
+    parts = ranged.groupBy(key, "kind", "_range").agg(F.when(F.count("text") > 0, F.array_join(listed, sep)).alias("part"))
 
-    def joined(column: str) -> Column:
-        entries = F.collect_list(F.struct(F.col(order).alias("at"), F.col(column).alias("text")))
-        # Of equal texts the first one stays; NULLs are left out by the join.
-        texts = F.array_distinct(F.sort_array(entries).getField("text"))
-        return F.when(F.count(column) > 0, F.array_join(texts, sep)).alias(column)
-
-    return df.groupBy(key).agg(*[joined(column) for column in columns])
-
+    def whole(kind: int, column: str) -> Column:
+        mine = F.when((F.col("kind") == kind) & F.col("part").isNotNull(), F.struct("_range", "part"))
+        ordered = F.sort_array(F.collect_list(mine)).getField("part")
+        return F.when(F.count(mine) > 0, F.array_join(ordered, sep)).alias(column)
 
-def concat_distinct_by(
-    df: DataFrame, key: str, columns: Sequence[str], order: str, sep: str = ", "
-) -> DataFrame:
-    """The same for any rows: a first grouping leaves one row per key and combination of texts.
-
-    It starts before the shuffle, and the lists then grow with the number of different texts only.
-    """
-    first = df.groupBy(key, *columns).agg(F.min(order).alias(order))
-    return concat_in_order(first, key, columns, order, sep)
+    return parts.groupBy(key).agg(*[whole(kind, column) for kind, column in enumerate(texts)])
 
 
 def count_by(df: DataFrame, key: str) -> DataFrame:

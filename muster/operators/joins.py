@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from muster.operators.aggregates import concat_in_order
+from muster.operators.aggregates import concat_by_range
 from muster.operators.filters import after
 from muster.operators.lookups import Tables, has_option, join_dim, option_label
 from muster.operators.updates import unique_or_fail
@@ -64,14 +65,40 @@ def with_titles(df: DataFrame, t: Tables) -> DataFrame:
     return df.join(surveys, "survey_id").join(topics, "campaign_id").drop("survey_id", "campaign_id")
 
 
+#: Activities, by number, whose texts a contact's first list holds.
+TEXT_RANGE = 1 << 20
+
+
+def _numbered_titles(t: Tables) -> DataFrame:
+    """(survey_id, numbers, petition, campaign_topic): the titles of a survey, each with the number that all equal titles share."""
+
+    def first(title: str, number: str) -> Column:
+        return F.min(number).over(Window.partitionBy(title))
+
+    surveys = t["survey"].select(F.col("id").alias("survey_id"), F.col("title").alias("petition"), "campaign_id")
+    topics = t["campaign"].select(F.col("id").alias("campaign_id"), F.col("title").alias("campaign_topic"))
+    topics = topics.withColumn("topic_number", first("campaign_topic", "campaign_id"))
+    named = surveys.join(topics, "campaign_id").withColumn("petition_number", first("petition", "survey_id"))
+    return named.withColumn("numbers", F.array("petition_number", "topic_number"))
+
+
 def petition_texts(t: Tables, ids: DataFrame | None = None) -> DataFrame:
     """Per contact (of ``ids``) its petitions and their campaigns as texts, each in the order of the first activity.
 
-    Grouped by survey before the titles come in: what is shuffled are three numbers per row, and a contact with very
-    many links has shrunk to its different surveys on the map side.
+    Links are first grouped by contact and number of the title, on the map side first: what is shuffled are numbers, and a contact
+    with very many links shrinks to its different titles. Titles replace their numbers after that, in the text that
+    ``concat_by_range`` puts together in two steps.
     """
-    first = petitions(t, ids).groupBy("contact_id", "survey_id").agg(F.min("activity_id").alias("activity_id"))
-    return concat_in_order(with_titles(first, t), "contact_id", ["petition", "campaign_topic"], "activity_id")
+    titles = _numbered_titles(t)
+    numbers = petitions(t, ids).join(titles.select("survey_id", "numbers"), "survey_id")
+    numbers = numbers.select("contact_id", "activity_id", F.posexplode("numbers").alias("kind", "number"))
+    first = numbers.groupBy("contact_id", "kind", "number").agg(F.min("activity_id").alias("activity_id"))
+    texts = [
+        titles.select(F.lit(kind).alias("kind"), F.col(f"{name}_number").alias("number"), F.col(column).alias("text")).distinct()
+        for kind, (name, column) in enumerate([("petition", "petition"), ("topic", "campaign_topic")])
+    ]
+    titled = first.join(reduce(DataFrame.unionByName, texts), ["kind", "number"])
+    return concat_by_range(titled, "contact_id", ["petition", "campaign_topic"], "activity_id", TEXT_RANGE)
 
 
 def with_recurring(df: DataFrame, t: Tables, as_of: datetime | None = None) -> DataFrame:

@@ -47,13 +47,6 @@ def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
 
 
-def assert_unique(df: DataFrame, key: str, shown: int = 5) -> None:
-    """Run the key check as a job of its own and name a few of the offending keys."""
-    sample = [row[key] for row in duplicate_keys(df, key).limit(shown).collect()]
-    if sample:
-        raise ValueError(f"duplicate {key}: {', '.join(map(str, sample))}")
-
-
 def insert_new(target: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """The rows that are to be added: first of each key, and only keys the target does not hold."""
     return rows.dropDuplicates(list(key)).join(target.select(*key), list(key), "left_anti")

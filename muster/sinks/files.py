@@ -57,6 +57,24 @@ def write_csv_lines(df: DataFrame, keys: Sequence[str], path: str) -> bool:
     return True
 
 
+def write_exact(df: DataFrame, keys: Sequence[str], path: str, order: Sequence[str]) -> bool:
+    """Byte-exact form in one folder: its parts, one after the other by name, are the file; False without rows.
+
+    Lines are sorted by ``order``, then by themselves, over as many tasks as there are partitions; the header sorts before
+    all, so it is the first line of the first part. The bytes are those of a single writer, however many parts there are (up to
+    100,000, whose names sort as their numbers do).
+    """
+    if df.isEmpty():
+        return False
+    places = [F.col(column).alias(f"_order{at}") for at, column in enumerate(order)]
+    lines = df.select(F.lit(1).alias("_kind"), *places, csv_line([F.col(key) for key in keys], SEPARATOR).alias("value"))
+    header = F.concat_ws(SEPARATOR, *[csv_field(F.lit(key)) for key in keys]).alias("value")
+    empty = [F.lit(None).cast(lines.schema[f"_order{at}"].dataType).alias(f"_order{at}") for at in range(len(places))]
+    whole = df.sparkSession.range(1).select(F.lit(0).alias("_kind"), *empty, header).unionByName(lines)
+    whole.orderBy(*whole.columns).select("value").write.text(path)
+    return True
+
+
 def write_routed(df: DataFrame, keys: Sequence[str], path: str, max_rows_per_file: int = 0) -> bool:
     """One folder ``route_key=<route>`` per route; False, and no file, when there are no rows.
 

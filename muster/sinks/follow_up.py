@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,12 +13,7 @@ from muster.functions.dates import moment
 from muster.operators.filters import ROLE_ASSIGNEE, ROLE_SOURCE, ROLE_TARGET
 from muster.operators.lookups import Tables, lookup_id, option_code
 from muster.operators.sets import existing
-
-
-def next_id(*tables: DataFrame, column: str = "id") -> Column:
-    """The first id that none of the tables holds, as a scalar."""
-    ids = reduce(DataFrame.unionByName, [table.select(column) for table in tables])
-    return ids.agg((F.coalesce(F.max(column), F.lit(0)) + 1).alias("next")).scalar()
+from muster.sinks import ids
 
 
 def _record(
@@ -38,26 +32,20 @@ def _record(
 
 
 def mass_activity(
-    exported: DataFrame,
-    t: Tables,
-    as_of: datetime,
-    subject: str = "",
-    campaign: str | None = None,
-    earlier: DataFrame | None = None,
+    exported: DataFrame, t: Tables, as_of: datetime, number: int, subject: str = "", campaign: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """One completed action, and one target link per exported contact that exists in the contact table.
 
     Both fit the tables ``activity`` and ``activity_contact``, so that the next run's rules see them once they are
-    appended. ``campaign`` is an external identifier. The activity's id is the next free one of the activity
-    table and of ``earlier`` records. Without an exported contact there is no activity either.
+    appended. ``campaign`` is an external identifier. ``number`` is the activity's id, which the run has reserved. Without an
+    exported contact there is no activity either.
     """
-    ids = exported.select("contact_id").distinct()
-    number = next_id(t["activity"], *([] if earlier is None else [earlier]))
+    people = exported.select("contact_id").distinct()
     of = F.lit(None) if campaign is None else lookup_id(t["campaign"], F.col("external_identifier") == campaign)
-    columns = _record(t, number, subject, "Action", "Completed", of, as_of)
-    some = ids.groupBy().agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)
-    links = existing(ids, t["contact"]).select(
-        number.alias("activity_id"), "contact_id", F.lit(ROLE_TARGET).alias("record_type_id")
+    columns = _record(t, F.lit(number), subject, "Action", "Completed", of, as_of)
+    some = people.groupBy().agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 0)
+    links = existing(people, t["contact"]).select(
+        F.lit(number).cast("bigint").alias("activity_id"), "contact_id", F.lit(ROLE_TARGET).alias("record_type_id")
     )
     return some.select(*columns), links
 
@@ -74,14 +62,15 @@ class CallPlan:
     source: int = 16
 
 
-def number_calls(exported: DataFrame, t: Tables, earlier: DataFrame | None = None) -> DataFrame:
-    """(contact_id, activity_id) of every exported contact, with ids that no activity has yet.
+def number_calls(exported: DataFrame, t: Tables, book: str, run_id: str, path: str, *earlier: DataFrame) -> DataFrame:
+    """(contact_id, activity_id) of every exported contact, with ids that this run has reserved; staged below ``path``.
 
-    Numbered task by task, without bringing all calls into one order. The numbers hold only once the rows are
-    written: stage them before calls and links are made.
+    The ids lie above those of the activity table and of ``earlier`` records.
     """
-    first = next_id(t["activity"], *([] if earlier is None else [earlier]))
-    return exported.select("contact_id").distinct().withColumn("activity_id", first + F.monotonically_increasing_id())
+    people = ids.numbered(exported.select("contact_id").distinct(), path)
+    spark, count = exported.sparkSession, people.count()
+    firsts = ids.reserve(spark, book, run_id, count, ids.highest_id(t["activity"], *earlier)) if count else [0]
+    return people.select("contact_id", ids.id_of(F.col("number"), firsts).alias("activity_id"))
 
 
 def call_tasks(numbered: DataFrame, t: Tables, as_of: datetime, plan: CallPlan = CallPlan()) -> tuple[DataFrame, DataFrame]:

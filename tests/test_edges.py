@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -172,21 +173,52 @@ def test_hierarchy_with_a_cycle_counts_once(crm, spark):
 # Texts.
 
 
-def test_concatenation_by_first_activity(spark):
+@pytest.mark.parametrize("width", [1, 3, 1000])
+def test_concatenation_by_first_activity(spark, width):
     rows = [
-        (1, "b", "T2", 5), (1, "a", "T1", 7), (1, "b", "T1", 9), (1, None, "T3", 1), (1, "c", None, 5),
-        (2, None, None, 3), (3, "z", "Z", 2), (3, "z", "Z", 2),
-    ]
-    df = local_rows(spark, rows, "contact_id bigint, petition string, topic string, activity_id bigint")
-    texts = aggregates.concat_distinct_by(df, "contact_id", ["petition", "topic"], "activity_id")
+        (1, 0, "b", 5), (1, 0, "a", 7), (1, 0, None, 1), (1, 0, "c", 5), (1, 1, "T2", 5), (1, 1, "T1", 7), (1, 1, "T3", 1),
+        (2, 0, None, 3), (2, 1, None, 3), (3, 0, "z", 2), (3, 1, "Z", 2), (4, 0, "", -4), (4, 1, "x, y", 0),
+    ]
+    df = local_rows(spark, rows, "contact_id bigint, kind int, text string, activity_id bigint")
+    texts = aggregates.concat_by_range(df, "contact_id", ["petition", "topic"], "activity_id", width)
     # Equal first activities ('b' and 'c' at 5) are ordered by text.
     assert {r.contact_id: (r.petition, r.topic) for r in texts.collect()} == {
         1: ("b, c, a", "T3, T2, T1"),
         2: (None, None),
         3: ("z", "Z"),
+        4: ("", "x, y"),
     }
 
 
+def test_petition_texts_of_one_contact_with_a_third_of_all_links(crm, spark):
+    """Equal titles of several surveys and campaigns count once; the frequent contact is many lists."""
+    surveys = [{"id": n, "title": f"Title {n % 400:03d}" if n % 9 else None, "campaign_id": n % 7, "activity_type_id": 32} for n in range(500)]
+    campaigns = [{"id": n, "title": f"Topic {n // 2}"} for n in range(7)]
+    links = []
+    for n in range(3000):
+        contact = 1 if n % 3 == 0 else 2 + n % 200
+        links.append((10 * n + 3, contact, (n * 37) % 500))
+    t = crm(
+        survey=surveys,
+        campaign=campaigns,
+        option_group=OPTION_GROUPS,
+        option_value=[option("activity_type", "32", "Petition")],
+        activity=[{"id": a, "activity_type_id": 32, "source_record_id": s} for a, _, s in links],
+        activity_contact=[{"activity_id": a, "contact_id": c, "record_type_id": 3} for a, c, _ in links],
+    )
+    found = {r.contact_id: (r.petition, r.campaign_topic) for r in joins.petition_texts(t).collect()}
+    expected = {}
+    for activity, contact, survey in sorted(links):
+        seen = expected.setdefault(contact, ([], []))
+        for texts, text in zip(seen, (surveys[survey]["title"], campaigns[survey % 7]["title"]), strict=True):
+            if text is not None and text not in texts:
+                texts.append(text)
+    assert found == {c: tuple(", ".join(texts) if texts else None for texts in seen) for c, seen in expected.items()}
+    assert len(found[1][0].split(", ")) > 300
+    parts = joins.petition_texts(t)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[contact_id#\d+L, kind#\d+, _range#\d+L\]", parts)
+
+
 def test_sorted_concatenation(spark):
     df = local_rows(spark, [(1, "b"), (1, "a"), (1, "b"), (1, None), (2, None)], "k int, x string")
     assert {r.k: r.x for r in aggregates.concat_distinct(df, "k", "x").collect()} == {1: "a, b", 2: None}
@@ -268,8 +300,8 @@ def test_mailing_fails_on_second_primary_address(crm):
     doubled = _mailing_tables(crm, address=[_home(1), _home(1, id=11)])
     with pytest.raises(Exception, match="duplicate key contact_id=1"):
         exports.export_mailing(doubled).collect()
-    with pytest.raises(ValueError, match="duplicate contact_id: 1"):
-        updates.assert_unique(exports.export_mailing(doubled, checked=False), "contact_id")
+    found = updates.duplicate_keys(exports.export_mailing(doubled, checked=False), "contact_id").collect()
+    assert [tuple(r) for r in found] == [(1, 2)]
 
 
 def test_mailing_fails_on_second_statistics_row(crm):

@@ -124,16 +124,14 @@ def test_mass_activity(crm, spark):
         option_value=[option("activity_type", "34", "Action"), option("activity_status", "2", "Completed")],
     )
     exported = local_rows(spark, [(1,), (1,), (2,), (9,)], "contact_id bigint")
-    record, links = follow_up.mass_activity(exported, t, AS_OF, "s", "X")
+    record, links = follow_up.mass_activity(exported, t, AS_OF, 42, "s", "X")
     assert [tuple(r) for r in record.collect()] == [(42, 34, 7, 2, AS_OF, None, "s")]
     assert record.drop("subject").schema.simpleString() == t["activity"].schema.simpleString()
     assert links.schema.simpleString() == t["activity_contact"].schema.simpleString()
     assert sorted(tuple(r) for r in links.collect()) == [(42, 1, 3), (42, 2, 3)]
     nobody = exported.filter("contact_id < 0")
-    record, links = follow_up.mass_activity(nobody, t, AS_OF, "s")
+    record, links = follow_up.mass_activity(nobody, t, AS_OF, 42, "s")
     assert record.isEmpty() and links.isEmpty()
-    earlier = local_rows(spark, [(77,)], "id bigint")
-    assert follow_up.mass_activity(exported, t, AS_OF, "s", earlier=earlier)[0].first().id == 78
 
 
 def test_call_tasks(crm, spark, folder):
@@ -143,7 +141,7 @@ def test_call_tasks(crm, spark, folder):
         option_value=[option("activity_type", "35", "Outgoing Call"), option("activity_status", "1", "Scheduled")],
     )
     exported = local_rows(spark, [(5,), (6,), (6,)], "contact_id bigint")
-    numbered = place.stage(follow_up.number_calls(exported, t), folder)
+    numbered = follow_up.number_calls(exported, t, f"{folder}/ids", "r", folder)
     calls, links = follow_up.call_tasks(numbered, t, AS_OF)
     numbers = {r.contact_id: r.activity_id for r in numbered.collect()}
     assert len(set(numbers.values())) == 2 and min(numbers.values()) > 100
@@ -167,12 +165,12 @@ def test_summary_of_empty_and_failed_routes(spark):
     status = local_rows(
         spark, [("1", "disk full", 7), ("default", None, 0)], "route_key string, message string, error_code int"
     )
-    table = routes(spark, SETTING)
-    found = {r.route_key: tuple(r)[1:] for r in summary(rows, table, AS_OF, status).collect()}
+    table, where = routes(spark, SETTING), F.concat(F.lit("x/"), F.col("route_key"))
+    found = {r.route_key: tuple(r)[1:] for r in summary(rows, table, AS_OF, status, folder=where).collect()}
     assert found == {
-        "1": (2, "one_20010715120000.csv", True, "disk full", 7, None),
-        "default": (1, "d_20010715120000.csv", False, None, 0, None),
-        "3": (0, "three_20010715120000.csv", True, "No data available for upload", 1, None),
+        "1": (2, "one_20010715120000.csv", None, True, "disk full", 7, None),
+        "default": (1, "d_20010715120000.csv", "x/default", False, None, 0, None),
+        "3": (0, "three_20010715120000.csv", None, True, "No data available for upload", 1, None),
     }
     assert values(summary(rows, table, AS_OF, report_empty=False), "route_key") == ["1", "default"]
 
@@ -204,9 +202,9 @@ def test_order_run_and_next_run(crm, spark, folder):
     head = _text(f"{folder}/run1/file-1/route_key=1").splitlines()[0]
     assert head == ";".join(ORDER_KEYS)
     assert values(spark.read.parquet(book), "id") == [1, 2, 3, 4]
-    record = spark.read.parquet(f"{folder}/run1/activity").first()
-    assert (record.id, record.subject, record.campaign_id) == (11, "sent", 35)
-    assert values(spark.read.parquet(f"{folder}/run1/activity_contact"), "contact_id") == [1, 2]
+    record = spark.read.parquet(f"{folder}/follow_up/activity").first()
+    assert (record.id, record.subject, record.campaign_id) == (1024, "sent", 35)
+    assert values(runs.earlier_records(spark, folder, "activity_contact"), "contact_id") == [1, 2]
     second = runs.run_orders(t, table, folder, "run2", AS_OF, book)
     assert [(r.route_key, r["count"], r.is_error, r.message) for r in second.collect()] == [
         ("default", 0, True, "No valid activities found for export")
@@ -233,15 +231,15 @@ def test_next_run_sees_what_the_last_one_did(spark, folder):
     plan = follow_up.CallPlan(campaign_id=11)
     post = runs.run_welcome_post(derived, table, folder, "post1", AS_OF, create_activity=True).first()
     mail = runs.run_welcome_email(derived, table, folder, "mail1", AS_OF, create_activity=True, floor="1995-01-01").first()
-    calls = runs.run_calls(derived, folder, "call1", AS_OF, plan)
-    assert post["count"] > 0 and mail["count"] > 0 and calls.count() > 0
+    calls = runs.run_calls(derived, folder, "call1", AS_OF, plan).first()
+    assert post["count"] > 0 and mail["count"] > 0 and calls["count"] > 0 and not calls.follow_up_error
     records = {name: runs.earlier_records(spark, folder, name) for name in ("activity", "activity_contact")}
     numbers = values(records["activity"], "id")
-    assert len(numbers) == len(set(numbers)) == 2 + calls.count()
+    assert len(numbers) == len(set(numbers)) == 2 + calls["count"]
     t = LazyTables(lambda name: derived[name].unionByName(records[name]) if name in records else derived[name])
     again = runs.run_welcome_post(t, table, folder, "post2", AS_OF).first()
     assert again.message == "No data available for upload"
-    assert runs.run_calls(t, folder, "call2", AS_OF, plan).isEmpty()
+    assert runs.run_calls(t, folder, "call2", AS_OF, plan).first()["count"] == 0
 
 
 def test_order_run_with_a_failing_route(crm, spark, folder, monkeypatch):
@@ -273,17 +271,18 @@ def test_file_run(crm, spark, folder):
     )
     assert (report.first()["count"], report.first().is_error) == (1, False)
     assert _text(f"{folder}/r1/file") == "Email;contact_id\na b;1\n"
-    assert spark.read.parquet(f"{folder}/r1/activity_contact").count() == 1
+    assert runs.earlier_records(spark, folder, "activity_contact").count() == 1
+    assert report.first().folder == f"{folder}/r1/file"
     nothing = rows.filter("contact_id = 2")
     report = runs.run_file_export(
         t, nothing, ["Email", "contact_id"], routes(spark, SETTING), folder, "r2", AS_OF, create_activity=True
     )
-    assert tuple(report.first())[1:] == (0, "d_20010715120000.csv", True, "No data available for upload", 1, None)
+    assert tuple(report.first())[1:] == (0, "d_20010715120000.csv", None, True, "No data available for upload", 1, None)
     keys = ["Email", "contact_id"]
     report = runs.run_file_export(t, rows, keys, routes(spark, SETTING), folder, "r3", AS_OF, exact=True)
     assert not report.first().is_error
     assert _text(f"{folder}/r3/file/header") + _text(f"{folder}/r3/file/lines") == 'Email;contact_id\n"a b";1\n'
-    assert not glob.glob(f"{folder}/r2/file") and not glob.glob(f"{folder}/r2/activity*")
+    assert not glob.glob(f"{folder}/r2/file") and not glob.glob(f"{folder}/follow_up/*/run_id=r2")
 
 
 def test_file_run_with_a_failing_write(crm, spark, folder):
@@ -295,7 +294,7 @@ def test_file_run_with_a_failing_write(crm, spark, folder):
     ).first()
     assert (report["count"], report.is_error, report.error_code) == (1, True, 2)
     assert "file" in report.message.lower()
-    assert not glob.glob(f"{folder}/r1/activity*")
+    assert not glob.glob(f"{folder}/follow_up")
 
 
 @pytest.mark.parametrize(
@@ -313,15 +312,17 @@ def test_whole_runs(spark, folder, run, keys, count):
     staged = spark.read.parquet(f"{folder}/r/audience")
     back = files.read_csv(spark, f"{folder}/r/file", staged.select(*keys).schema)
     assert back.exceptAll(staged.select(*keys)).isEmpty() and back.count() == count
-    links = spark.read.parquet(f"{folder}/r/activity_contact")
+    links = runs.earlier_records(spark, folder, "activity_contact")
     assert values(links, "contact_id") == values(staged, "contact_id")
 
 
 def test_call_run(spark, folder):
     t = DerivedTables(spark, "/root/testdata/sf0.01")
-    calls = runs.run_calls(t, folder, "r", AS_OF)
-    assert calls.count() == exports.export_welcome_call(t, AS_OF).count() > 3
-    links = spark.read.parquet(f"{folder}/r/activity_contact")
+    report = runs.run_calls(t, folder, "r", AS_OF).first()
+    calls = runs.earlier_records(spark, folder)
+    assert calls.count() == exports.export_welcome_call(t, AS_OF).count() == report["count"] > 3
+    assert (report.is_error, report.follow_up_error) == (False, None)
+    links = runs.earlier_records(spark, folder, "activity_contact")
     assert links.count() == 5 * calls.count()
     assert links.join(calls.select(F.col("id").alias("activity_id")), "activity_id", "left_anti").isEmpty()
 
@@ -368,5 +369,10 @@ def test_run_folder_is_the_shared_one(spark):
 def test_run_folder_without_a_shared_one():
     warehouse = SimpleNamespace(conf={"spark.sql.warehouse.dir": "s3a://warehouse/"})
     assert place.run_folder(warehouse).startswith("s3a://warehouse/muster-")
+    here = {"spark.sql.warehouse.dir": "file:/home/driver/spark-warehouse"}
+    assert place.run_folder(SimpleNamespace(conf=here | {"spark.master": "local[4]"})).startswith("file:/home")
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            place.run_folder(SimpleNamespace(conf=here | {"spark.master": master}))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         place.run_folder(SimpleNamespace(conf={}))
