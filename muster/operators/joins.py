@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -93,11 +92,11 @@ def petition_texts(t: Tables, ids: DataFrame | None = None) -> DataFrame:
     numbers = petitions(t, ids).join(titles.select("survey_id", "numbers"), "survey_id")
     numbers = numbers.select("contact_id", "activity_id", F.posexplode("numbers").alias("kind", "number"))
     first = numbers.groupBy("contact_id", "kind", "number").agg(F.min("activity_id").alias("activity_id"))
-    texts = [
-        titles.select(F.lit(kind).alias("kind"), F.col(f"{name}_number").alias("number"), F.col(column).alias("text")).distinct()
-        for kind, (name, column) in enumerate([("petition", "petition"), ("topic", "campaign_topic")])
+    named = [
+        F.struct(F.lit(kind).alias("kind"), F.col(number).alias("number"), F.col(title).alias("text"))
+        for kind, (number, title) in enumerate([("petition_number", "petition"), ("topic_number", "campaign_topic")])
     ]
-    titled = first.join(reduce(DataFrame.unionByName, texts), ["kind", "number"])
+    titled = first.join(titles.select(F.inline(F.array(*named))).distinct(), ["kind", "number"])
     return concat_by_range(titled, "contact_id", ["petition", "campaign_topic"], "activity_id", TEXT_RANGE)
 
 
