@@ -43,6 +43,7 @@ def _tokenizer(path: str) -> Tokenizer:
 
 #: A word of ASCII and Latin-1 letters, with or without ASCII marks behind it: the tokenizer cuts it just there. Lower-cased,
 #: such letters are what its model takes, byte by byte in its own spelling, and none of them is composed any further.
+_ASCII_MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
@@ -52,39 +53,45 @@ class _Words(dict):
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = _tokenizer(path)
-        self.model = self.tokenizer.model
-        self.parts: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
+        self.parts: dict[bytes | str, bytes] = {}
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelled = {code: spell(chr(code))[0][0] for code in range(0xC0, 0x100)}
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= _REMEMBERED:
             self.clear()
-        text = word.decode()
-        plain = _PLAIN.fullmatch(text)
-        if plain:
-            letters, marks = plain[1].lower(), plain[2]
-            ids = self._letters(letters) + (self._whole(marks) if marks else b"")
+            if len(self.parts) >= _REMEMBERED:
+                self.parts.clear()
+        letters = word.rstrip(_ASCII_MARKS)
+        if letters.isalpha():  # ASCII letters only: of other letters no byte is one
+            lower = letters.lower()
+            ids = self.parts.get(lower)
+            if ids is None:
+                ids = self.parts[lower] = array("I", [token.id for token in self.tokenize(lower.decode())]).tobytes()
+            if len(letters) < len(word):
+                ids += self._whole(word[len(letters) :].decode())
         else:
-            ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            ids = self._other(word.decode())
         self[word] = ids
         return ids
 
-    def _letters(self, letters: str) -> bytes:
-        """The model's ids of lower-case letters, which the tokenizer would leave as one part."""
+    def _other(self, text: str) -> bytes:
+        plain = _PLAIN.fullmatch(text)
+        if not plain:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        # The model's ids of lower-case letters in its own spelling, which the tokenizer would leave as one part.
+        letters, marks = plain[1].lower(), plain[2]
         ids = self.parts.get(letters)
         if ids is None:
-            if len(self.parts) >= 2 * _REMEMBERED:
-                self.parts.clear()
-            ids = array("I", [t.id for t in self.model.tokenize(letters.translate(self.spelled))]).tobytes()
+            ids = array("I", [token.id for token in self.tokenize(letters.translate(self.spelled))]).tobytes()
             self.parts[letters] = ids
-        return ids
+        return ids + self._whole(marks) if marks else ids
 
     def _whole(self, marks: str) -> bytes:
         ids = self.parts.get(marks)
         if ids is None:
-            ids = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
-            self.parts[marks] = ids
+            ids = self.parts[marks] = array("I", self.tokenizer.encode(marks, add_special_tokens=False).ids).tobytes()
         return ids
 
 
@@ -190,22 +197,28 @@ _ARROW = [
 ]
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Block by block: its pieces (place, doc_id, piece, length, last), their shard and start within it, and its ids."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            block = batch.slice(at, 1)
+            shard, first, n_ids = (block.column(name)[0].as_py() for name in ("shard", "first", "n_ids"))
+            ids = from_planes(block.column("planes")[0].as_py(), n_ids)
+            pieces = pa.RecordBatch.from_struct_array(block.column("pieces").flatten())
+            ends = np.cumsum(pieces.column("length").to_numpy(), dtype=np.int64)
+            yield pieces, np.full(len(ends), shard, np.int32), first + ends - pieces.column("length").to_numpy(), ids
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(shard, place, doc_id, piece, last, start, ids) of the document pieces in the blocks; ``start`` within the shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ids = from_planes(row["planes"], row["n_ids"])
-                at, out = 0, []
-                for p in row["pieces"]:
-                    end = at + p["length"]
-                    out.append((row["shard"], p["place"], p["doc_id"], p["piece"], p["last"], row["first"] + at, ids[at:end].tobytes()))
-                    at = end
-                names = ["shard", "place", "doc_id", "piece", "last", "start", "ids"]
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.binary()]
-                columns = [pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names)
+        for pieces, shards, starts, ids in _pieces(batches):
+            ends = 4 * np.cumsum(pieces.column("length").to_numpy(), dtype=np.int64)
+            offsets = pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32))
+            raw = pa.Array.from_buffers(pa.binary(), len(ends), [None, offsets, pa.py_buffer(ids.tobytes())])
+            columns = [pa.array(shards), *(pieces.column(c) for c in ("place", "doc_id", "piece", "last")), pa.array(starts), raw]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "place", "doc_id", "piece", "last", "start", "ids"])
 
     schema = "shard int, place long, doc_id long, piece int, last boolean, start long, ids binary"
     return spark.read.schema(BLOCKS).parquet(path).mapInArrow(run, schema)
@@ -216,10 +229,17 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
 
     ``start`` counts the ids of all documents before it, ``ids_crc32`` is over its ids as little-endian 32-bit numbers.
     """
-    pieces = read(spark, path)
-    parts = pieces.select(
-        "shard", "place", "doc_id", "piece", "start", F.crc32("ids").alias("crc"), (F.octet_length("ids") / 4).cast("long").alias("n")
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pieces, shards, starts, ids in _pieces(batches):
+            raw, sizes = memoryview(ids.tobytes()), pieces.column("length").to_numpy()
+            ends = (4 * np.cumsum(sizes, dtype=np.int64)).tolist()
+            crcs = [zlib.crc32(raw[low:high]) for low, high in zip([0, *ends], ends, strict=False)]
+            columns = [pa.array(shards), *(pieces.column(c) for c in ("place", "doc_id", "piece")), pa.array(starts), pa.array(crcs, pa.int64()), pa.array(sizes.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "place", "doc_id", "piece", "start", "crc", "n"])
+
+    schema = "shard int, place long, doc_id long, piece int, start long, crc long, n long"
+    parts = spark.read.schema(BLOCKS).parquet(path).mapInArrow(run, schema)
     found = F.sort_array(F.collect_list(F.struct("piece", "crc", "n")))
     whole = parts.groupBy("shard", "place", "doc_id").agg(
         F.min("start").alias("start"), F.sum("n").alias("n_tokens"), found.alias("found")

@@ -30,7 +30,8 @@ def test_ids_equal_those_of_whole_texts():
 
 def test_ids_survive_forgetting(monkeypatch):
     monkeypatch.setattr(tp, "_REMEMBERED", 5)
-    assert [np.frombuffer(b, "<u4").tolist() for b in tp.encode(TEXTS * 2)] == [_ids(t) for t in TEXTS * 2]
+    for texts in (TEXTS * 2, TEXTS[:3], TEXTS[2:], TEXTS):
+        assert [np.frombuffer(b, "<u4").tolist() for b in tp.encode(texts)] == [_ids(t) for t in texts]
 
 
 def test_ids_of_every_latin_letter_and_mark():
