@@ -9,6 +9,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from muster.llm.common import Stage
 
@@ -24,7 +25,8 @@ class Rule:
     group: int = 0
 
 
-#: The three base patterns and their lengths.
+#: The three base patterns and their lengths. A match of the last two takes its whole run of characters, so runs that are
+#: too short are left out by the pattern itself; a match of the first that is too short still takes its text.
 BASE = (
     Rule(
         "assign",
@@ -33,8 +35,8 @@ BASE = (
         12,
         2,
     ),
-    Rule("access", 1, r"AKIA[A-Z0-9]+", 18),
-    Rule("hex", 1, r"[0-9a-f]+", 16),
+    Rule("access", 1, r"AKIA[A-Z0-9]{14,}", 18),
+    Rule("hex", 1, r"[0-9a-f]{16,}", 16),
 )
 #: Further kinds, after the base ones: the head of a private key, and a password inside an address.
 FURTHER = (
@@ -47,11 +49,13 @@ LEDGER = "blob binary, kind string, version int, spans array<struct<start:int,ra
 _NO_SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
-def spans(text: Column, rule: Rule, rank: int) -> Column:
-    """Spans of a rule's matches in code points, ends exclusive.
+_MATCHES = "array<struct<gap:int,length:int,part:int>>"
 
-    Splitting at the pattern gives the texts between the matches, so a match begins where the lengths of all that lies before
-    it add up to. Texts without any match are told by one search.
+
+def matches(text: Column, rule: Rule) -> Column:
+    """A rule's matches in order: code points between it and the one before, its own, and those of the group that counts.
+
+    Splitting at the pattern gives the texts between the matches. Texts without any match are told by one search.
     """
     pattern = F.lit(rule.pattern)
     between = F.split(text, rule.pattern, -1)
@@ -62,16 +66,27 @@ def spans(text: Column, rule: Rule, rank: int) -> Column:
         F.transform(whole, F.length).alias("length"),
         F.transform(part, F.length).alias("part"),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_NO_SPANS).alias("out"))
+    return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(_MATCHES))
 
-    def add(state: Column, match: Column) -> Column:
-        low = state["at"] + match["gap"]
-        high = low + match["length"]
-        span = F.struct(low.alias("start"), F.lit(rank).alias("rank"), high.alias("end"), F.lit(rule.kind).alias("kind"))
-        out = F.when(match["part"] >= rule.least, F.concat(state["out"], F.array(span))).otherwise(state["out"])
-        return F.struct(high.alias("at"), out.alias("out"))
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(found, start, add)["out"]).otherwise(F.array().cast(_NO_SPANS))
+def placed(scanned: DataFrame) -> DataFrame:
+    """``scanned`` (blob, kind, version, rank, least, matches) with the spans of the matches that count.
+
+    A match begins where the lengths of all that lies before it add up to: a running sum over a text's matches, as long as they
+    are many.
+    """
+    key = ["blob", "kind", "version"]
+    none = scanned.filter(F.size("matches") == 0).select(*key, F.array().cast(_NO_SPANS).alias("spans"))
+    each = scanned.select(*key, "rank", "least", F.posexplode("matches").alias("place", "match")).select(
+        *key, "rank", "least", "place", "match.*"
+    )
+    so_far = Window.partitionBy(*key).orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    end = F.sum(F.col("gap") + F.col("length")).over(so_far).cast("int")
+    span = F.struct((F.col("end") - F.col("length")).alias("start"), "rank", "end", "kind")
+    found = each.withColumn("end", end).groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.when(F.col("part") >= F.col("least"), span))).cast(_NO_SPANS).alias("spans")
+    )
+    return none.unionByName(found)
 
 
 def address(text: Column) -> Column:
@@ -86,8 +101,9 @@ def scan(versions: DataFrame, paths: list[str], ledger: str, rules: tuple[Rule,
     row for the blob, the rule's kind and its version; one row with that blob is read for it, whatever number of rows
     hold it. Findings are then joined to all paths.
 
-    Null texts are empty texts. Repeated rows are returned as often as they come. Spans are sorted by start, then by the
-    rule's place in ``rules``.
+    Null texts are empty texts. Null ids are paths like any other. Repeated rows are returned as often as they come, an empty table
+    gives no row, and a path column may have any name but ``text``. Spans are sorted by start, then by the rule's place in ``rules``. A
+    text's work grows with its length, however many matches it has.
     """
     spark = versions.sparkSession
     stage = stage or Stage(spark)
@@ -107,17 +123,14 @@ def scan(versions: DataFrame, paths: list[str], ledger: str, rules: tuple[Rule,
         F.struct(
             F.lit(r.kind).alias("kind"),
             F.lit(r.version).alias("version"),
-            F.when(F.array_contains(F.transform(F.col("due"), lambda d: d["kind"]), r.kind), spans(F.col("text"), r, rank)).alias("spans"),
+            F.lit(rank).alias("rank"),
+            F.lit(r.least).alias("least"),
+            F.when(F.array_contains(F.transform(F.col("due"), lambda d: d["kind"]), r.kind), matches(F.col("text"), r)).alias("matches"),
         )
         for rank, r in enumerate(rules)
     ]
-    scanned = (
-        texts.select("blob", F.explode(F.array(*rows)).alias("row"))
-        .select("blob", "row.*")
-        .filter("spans is not null")
-        .dropDuplicates(["blob", "kind", "version"])
-    )
-    scanned.write.mode("append").parquet(ledger)
+    scanned = texts.select("blob", F.explode(F.array(*rows)).alias("row")).select("blob", "row.*").filter("matches is not null")
+    placed(stage(scanned.dropDuplicates(["blob", "kind", "version"]))).write.mode("append").parquet(ledger)
 
     wanted = reduce(or_, [(F.col("kind") == r.kind) & (F.col("version") == r.version) for r in rules])
     found = (
@@ -130,10 +143,8 @@ def scan(versions: DataFrame, paths: list[str], ledger: str, rules: tuple[Rule,
         .agg(F.flatten(F.collect_list("spans")).alias("spans"))
     )
     found = stage(found.select("blob", F.array_sort(_ranked(F.col("spans"), rules)).alias("spans")))
-    rows = versions.select(*[F.col(f"`{c}`") for c in paths], address(F.col("text")).alias("blob"))
-    return rows.join(found, "blob", "left").select(
-        *[F.col(f"`{c}`") for c in paths], F.coalesce("spans", F.array().cast(_NO_SPANS)).alias("spans")
-    )
+    rows = versions.select(F.struct(*[F.col(f"`{c}`") for c in paths]).alias("row"), address(F.col("text")).alias("blob"))
+    return rows.join(found, "blob", "left").select("row.*", F.coalesce("spans", F.array().cast(_NO_SPANS)).alias("spans"))
 
 
 def _ranked(found: Column, rules: tuple[Rule, ...]) -> Column:

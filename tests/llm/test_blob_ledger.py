@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 from dataclasses import replace
 
 from rows import NASTY, documents
@@ -61,6 +62,23 @@ def test_edge_rows(spark):
     assert _scan(spark, []).isEmpty()
 
 
+def test_a_text_with_very_many_matches(spark):
+    """200,000 matches in one text: one running sum, not one list that grows by copying."""
+    text = "0123456789abcdef token=short password=abcdefghijkl\n" * 100_000
+    began = time.time()
+    (row,) = blob_ledger.report(_scan(spark, [(1, text)])).collect()
+    assert time.time() - began < 60
+    assert (row.n_assign, row.n_access, row.n_hex, row.base_sha256) == _expected(text)
+
+
+def test_any_path_names(spark):
+    docs = documents(spark, [(1, TEXTS[0]), (2, "clean")]).withColumnsRenamed({"lang": "blob", "source": "spans"})
+    stage = Stage(spark)
+    found = blob_ledger.scan(docs, ["doc_id", "blob", "n_chars"], f"{stage.folder}/ledger", stage=stage)
+    assert found.columns == ["doc_id", "blob", "n_chars", "spans"]
+    assert {(r.doc_id, r.blob, len(r.spans) > 0) for r in found.collect()} == {(1, "en", True), (2, "en", False)}
+
+
 def _pairs(spark, ledger):
     return {(r.blob.hex()[:8], r.kind, r.version) for r in spark.read.parquet(ledger).collect()}
 
