@@ -20,9 +20,10 @@ LIST, MOST_DOUBLINGS = 10, 4
 ORDERS, SIGNS, STRETCH = 8, 24, 96
 #: Descent at one width of the lists ends when a round changes fewer than this share of list places, or after so many rounds.
 CHANGED, MOST_ROUNDS = 0.01, 6
-#: Vectors whose links are found by brute force for the audit, the recall it asks for, and how often the graph is
-#: widened by new orders until it is reached.
-AUDITED, RECALL, MOST_WIDENINGS = 256, 0.999, 3
+#: The recall that the audit asks for, and how often the graph is widened by new orders until it is reached.
+RECALL, MOST_WIDENINGS = 0.999, 3
+#: Seeds of the audit's orders begin here.
+AUDIT_SEED = 500
 #: Vectors of one block when the links inside a group are counted, and when all vectors of a label are compared.
 GROUP_BLOCK, LABEL_BLOCK = 128, 512
 
@@ -101,16 +102,18 @@ def _top(ids: np.ndarray, cosines: np.ndarray, width: int) -> tuple[np.ndarray,
     return v[keep], ids[best].reshape(-1)[keep], found.reshape(-1)[keep]
 
 
-def _cosines(units: list[np.ndarray], labels: list) -> np.ndarray:
+def _cosines(units: list[np.ndarray], labels: pa.Array | None = None) -> np.ndarray:
     """Cosines of all rows; -2 with itself, other labels and other dimensions."""
     sizes = np.array([len(u) for u in units])
-    kinds = np.array([hash(label) for label in labels])
     out = np.full((len(units), len(units)), -2.0)
     for size in set(sizes.tolist()):
         rows = np.nonzero(sizes == size)[0]
         some = np.stack([units[i] for i in rows])
         out[np.ix_(rows, rows)] = some @ some.T
-    out[kinds[:, None] != kinds[None, :]] = -2
+    if labels is not None:
+        # Places in the list of different labels: equal where, and only where, the labels are.
+        kinds = labels.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        out[kinds[:, None] != kinds[None, :]] = -2
     np.fill_diagonal(out, -2)
     return out
 
@@ -142,7 +145,7 @@ def _stretches(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches, STRETCH):
             if rows.num_rows > 1:
-                cosines = _cosines(_units(rows.column(2)), rows.column(1).to_pylist())
+                cosines = _cosines(_units(rows.column(2)), rows.column(1))
                 yield _edges(_both(rows.column(0).to_numpy(zero_copy_only=False), cosines, LIST // 2, similarity))
 
     return run
@@ -176,14 +179,13 @@ def _lists(edges: DataFrame, widths: DataFrame | None) -> DataFrame:
 
 
 def _around(similarity: float):
-    """Among the neighbours of one vector, each one's best, more where more were drawn; rows come sorted by that vector."""
+    """Among the neighbours of one vector, each one's best few and the links that connect them; rows come sorted by that vector."""
 
     def joined(rows: pa.RecordBatch) -> list:
         if rows.num_rows < 2:
             return []
-        cosines = _cosines(_units(rows.column(2)), [0] * rows.num_rows)
-        width = max(LIST // 2, rows.num_rows // 4)
-        return _both(rows.column(1).to_numpy(zero_copy_only=False), cosines, width, similarity)
+        cosines = _cosines(_units(rows.column(2)))
+        return _both(rows.column(1).to_numpy(zero_copy_only=False), cosines, LIST // 2, similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None
@@ -231,50 +233,31 @@ def _descend(lists: DataFrame, vectors: DataFrame, widths: DataFrame | None, rou
     return around.mapInArrow(_around(similarity), _EDGE)
 
 
-def _audit(vectors: DataFrame, links: DataFrame, similarity: float) -> float:
-    """The share of the links of some vectors, found by brute force, whose ends the graph connects."""
-    chosen = vectors.orderBy(F.xxhash64("id", F.lit("audit")), "id").limit(AUDITED).select("id", "label", "unit").collect()
-    if not chosen:
-        return 1.0
-    spark = vectors.sparkSession
-    sent = spark.sparkContext.broadcast([(row.id, row.label, bytes(row.unit)) for row in chosen])
+def _audit(fresh: DataFrame, groups: DataFrame) -> tuple[float, int]:
+    """Of the links that fresh orders find by themselves, the share whose ends the graph connects, and their number.
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found_v, found_u = [], []
-        ids, labels, units = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        groups: dict = {}
-        for i, (label, unit) in enumerate(zip(labels, units, strict=True)):
-            groups.setdefault((label, len(unit)), []).append(i)
-        for query, label, unit in sent.value:
-            rows = groups.get((label, len(unit)))
-            if rows:
-                some = np.frombuffer(b"".join(units[i] for i in rows), np.float64).reshape(len(rows), -1)
-                near = np.nonzero(some @ np.frombuffer(unit, np.float64) >= similarity)[0]
-                found_u += [ids[rows[i]] for i in near if ids[rows[i]] != query]
-                found_v += [query] * (len(found_u) - len(found_v))
-        return pa.RecordBatch.from_arrays([pa.array(found_v, pa.int64()), pa.array(found_u, pa.int64())], ["v", "u"])
-
-    truth = arrow_map(vectors.select("id", "label", "unit"), run, "v long, u long")
-    group_v = links.select(F.col("id").alias("v"), F.col("component_id").alias("group_v"))
-    group_u = links.select(F.col("id").alias("u"), F.col("component_id").alias("group_u"))
-    met = F.coalesce((F.col("group_v") == F.col("group_u")).cast("int"), F.lit(0))
-    row = truth.join(group_v, "v", "left").join(group_u, "u", "left").agg(F.count(F.lit(1)), F.sum(met)).first()
-    return row[1] / row[0] if row[0] else 1.0
+    Orders are independent: what the graph misses, they meet with the same chance as what it holds. Without any link there
+    is nothing to judge by; the share is 1 and its evidence 0.
+    """
+    a = groups.select(F.col("id").alias("a"), F.col("component_id").alias("group_a"))
+    b = groups.select(F.col("id").alias("b"), F.col("component_id").alias("group_b"))
+    met = F.coalesce((F.col("group_a") == F.col("group_b")).cast("int"), F.lit(0))
+    row = fresh.join(a, "a", "left").join(b, "b", "left").agg(F.count(F.lit(1)), F.sum(met)).first()
+    return (row[1] / row[0] if row[0] else 1.0), row[0]
 
 
 def _count_inside(vectors: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
     """(id, linked): copies behind all classes that an id links with, counted over pairs of blocks of its group."""
-    members = vectors.select("id", "copies", "unit").join(groups, "id")
     sizes = groups.groupBy("component_id").agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("blocks"))
     placed = groups.join(sizes, "component_id").withColumn(
         "block", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int")
     )
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
-    dealt = members.select("id", "copies", "unit").join(
+    dealt = vectors.select("id", "label", "copies", "unit").join(
         placed.select("id", "component_id", "block", F.explode(others).alias("other")), "id"
     )
     low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    dealt = dealt.select("component_id", low, high, "block", "id", "copies", "unit")
+    dealt = dealt.select("component_id", low, high, "block", "id", "copies", "unit", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.RecordBatch | None = None
@@ -292,7 +275,7 @@ def _count_inside(vectors: DataFrame, groups: DataFrame, similarity: float) -> D
         blocks = rows.column(3).to_numpy(zero_copy_only=False)
         one_block = rows.column(1)[0].as_py() == rows.column(2)[0].as_py()
         copies = rows.column(5).to_numpy(zero_copy_only=False)
-        linked = _cosines(_units(rows.column(6)), [0] * rows.num_rows) >= similarity
+        linked = _cosines(_units(rows.column(6)), rows.column(7)) >= similarity
         if not one_block:
             linked &= blocks[:, None] != blocks[None, :]
         return pa.RecordBatch.from_arrays([rows.column(4), pa.array((linked * copies[None, :]).sum(axis=1).astype(np.int64))], ["id", "linked"])
@@ -341,7 +324,7 @@ def _compare_all(vectors: DataFrame, groups: DataFrame, similarity: float) -> Da
             yield linked(held)
 
     def linked(rows: pa.RecordBatch) -> pa.RecordBatch:
-        cosines = _cosines(_units(rows.column(4)), [0] * rows.num_rows)
+        cosines = _cosines(_units(rows.column(4)))
         v, u, _ = _spanning(rows.column(3).to_numpy(zero_copy_only=False), cosines, similarity)
         return pa.RecordBatch.from_arrays([pa.array(v), pa.array(u)], ["v", "u"])
 
@@ -351,19 +334,21 @@ def _compare_all(vectors: DataFrame, groups: DataFrame, similarity: float) -> Da
 
 
 def near_duplicates(embeddings: DataFrame, stage: Stage | None = None, similarity: float = SIMILARITY) -> DataFrame:
-    """(vec_id, n_links, component_id, kept, audit_recall) of every row of ``embeddings`` (vec_id, label, embedding).
+    """(vec_id, n_links, component_id, kept, audit_recall, audit_links) of every row of ``embeddings`` (vec_id, label, embedding).
 
     Two vectors link if their labels are equal and not null and their cosine in double precision is ``similarity`` or more.
     Equal vectors of a label are one class, compared once. Classes get neighbour lists from stretches of random
     orders; rounds of neighbours of neighbours refine them; lists full of links are doubled and the rounds go on;
     then edges under the threshold go. Whatever tasks compare, links that connect the same vectors are kept beside the
-    lists. An audit compares some vectors with all of their label: while it finds links that the graph does not connect,
-    new orders widen it, and at last each label is compared in full. Inside each connected group links are counted over
-    all its pairs in blocks, so lists never bound the count.
+    lists. An audit finds links in orders that the graph has not seen: while it does not connect them, these and new orders widen
+    it, and at last each label is compared in full. ``audit_recall`` is the share that was connected before the audit's own links
+    came in, ``audit_links`` the number of links it is judged by. Inside each connected group links are counted over all its
+    pairs in blocks, so lists never bound the count.
 
     Vectors that are null, empty, zero or have null or non-finite components, those without label and those without id
     link with nothing; they are kept, and without id their component is null. Vectors of different dimensions do not
-    link. Repeated rows are linked copies.
+    link. Repeated rows are linked copies. Where one id comes with several vectors, each row counts its own links and all share
+    one component. Other columns are not read; an empty table gives no row. A vector is held whole, a few hundred at a time.
     """
     spark = embeddings.sparkSession
     stage = stage or Stage(spark)
@@ -371,20 +356,21 @@ def near_duplicates(embeddings: DataFrame, stage: Stage | None = None, similarit
     kind = source.schema["label"].dataType.simpleString()
     valid = source.filter("vec_id is not null and label is not null and embedding is not null")
     units = stage(arrow_map(valid, _valid, f"vec_id long, label {kind}, unit binary"))
-    classes = stage(
-        units.groupBy("label", "unit").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
-    )
-    # One id with several vectors names one class only: that with the smallest label and vector.
-    classes = classes.withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("label", "unit")))
-    vectors = stage(classes.filter("nth = 1").drop("nth"))
+    classes = units.groupBy("label", "unit").agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    # Classes have numbers of their own: an id may come with several vectors.
+    vectors = stage(classes.withColumn("id", F.monotonically_increasing_id()))
+    held = stage(units.join(vectors.select("label", "unit", "id"), ["label", "unit"]).select("vec_id", "id").distinct())
+    of_one_id = held.groupBy("vec_id").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    same_id = stage(held.join(of_one_id, "vec_id").filter("id <> b").select(F.col("id").alias("a"), "b"))
 
     lists = widths = None
-    groups = links = None
-    recall = 0.0
+    links, recall, evidence = same_id, 0.0, 0
+
+    def links_of(made: DataFrame) -> DataFrame:
+        return made.filter("link = 1").select(F.greatest("v", "u").alias("a"), F.least("v", "u").alias("b")).distinct()
 
     def kept_links(made: DataFrame) -> DataFrame:
-        new = made.filter("link = 1").select(F.greatest("v", "u").alias("a"), F.least("v", "u").alias("b"))
-        return stage((new if links is None else links.unionByName(new)).distinct())
+        return stage(links.unionByName(links_of(made)).distinct())
 
     for widening in range(1 + MOST_WIDENINGS):
         made = stage(_first_graph(vectors, widening, similarity))
@@ -420,26 +406,34 @@ def near_duplicates(embeddings: DataFrame, stage: Stage | None = None, similarit
         edges = lists.filter(F.col("cos") >= similarity).select(F.col("v").alias("a"), F.col("u").alias("b"))
         links = stage(links.unionByName(edges).distinct())
         groups = stage(components(links, stage))
-        recall = _audit(vectors, groups, similarity)
+        fresh = stage(links_of(_first_graph(vectors, AUDIT_SEED + widening, similarity)))
+        recall, evidence = _audit(fresh, groups)
+        if recall < 1:
+            links = stage(links.unionByName(fresh).distinct())
+            groups = stage(components(links, stage))
         if recall >= RECALL:
             break
     else:
         rest = _compare_all(vectors, groups, similarity).select(F.col("v").alias("a"), F.col("u").alias("b"))
         groups = stage(components(stage(links.unionByName(rest)), stage))
-        recall = _audit(vectors, groups, similarity)
+        recall = 1.0
 
     linked = _count_inside(vectors, groups, similarity)
-    named = stage(
-        vectors.select("id", "label", "unit", "copies")
+    members = stage(
+        vectors.select("id", "label", "unit", "copies", "first_id")
         .join(groups, "id", "left")
         .join(linked, "id", "left")
         .select(
             "label",
             "unit",
-            F.coalesce("component_id", "id").alias("component_id"),
+            "first_id",
+            F.coalesce("component_id", "id").alias("group"),
             (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
+    # A group is named by its smallest id; minima are written before they are joined, so a large group can be split.
+    smallest = stage(members.groupBy("group").agg(F.min("first_id").alias("component_id")))
+    named = stage(members.join(smallest, "group").select("label", "unit", "component_id", "n_links"))
     found = units.join(named, ["label", "unit"], "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
@@ -455,6 +449,7 @@ def near_duplicates(embeddings: DataFrame, stage: Stage | None = None, similarit
         "component_id",
         F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"),
         F.lit(float(recall)).alias("audit_recall"),
+        F.lit(int(evidence)).cast("long").alias("audit_links"),
     )
 
 

@@ -33,7 +33,7 @@ SHARDS = [f"shard-{number:03d}" for number in range(128)]
 
 
 def op1_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return nn_descent.near_duplicates(table(spark, sf_dir, "embeddings")).drop("audit_links")
 
 
 def op2_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,6 +75,52 @@ def test_comparing_all_finds_what_no_list_holds(spark):
     assert any((r.v < 300) != (r.u < 300) for r in found)
 
 
+def test_labels_are_told_apart(spark):
+    """Labels whose hashes are equal in Python, in one partition."""
+    kinds = [-1, -2, 0, 2**61 - 1, 1, 2**61]
+    rows = [(10 * n + k, [1.0, 2.0 + k / 100, 3.0], kind) for n, kind in enumerate(kinds) for k in range(2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long").coalesce(1)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        found = nn_descent.near_duplicates(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert {(r.vec_id, r.n_links, r.component_id) for r in found} == {(10 * n + k, 1, 10 * n) for n in range(6) for k in range(2)}
+
+
+def test_one_id_with_several_vectors(spark):
+    """Copies of each of its vectors are found; links are counted by row, labels stay apart."""
+    a, b, c = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(5, a, 1), (5, b, 1), (5, c, 2), (6, a, 1), (7, b, 1), (3, c, 2), (8, c, 1), (9, [0.0, 1.0, 0.01], 1), (2, a, 3)]
+    found = sorted((r.vec_id, r.n_links, r.component_id) for r in _run(spark, rows).collect())
+    assert found == sorted([(5, 1, 3), (5, 2, 3), (5, 1, 3), (6, 1, 3), (7, 2, 3), (3, 1, 3), (8, 0, 8), (9, 2, 3), (2, 0, 2)])
+
+
+def test_lone_pairs_among_many(spark):
+    """Two hundred pairs just above the threshold among 20,000 unrelated vectors, by an audit with evidence."""
+    rng = np.random.default_rng(17)
+    x = rng.standard_normal((20_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    aside = rng.standard_normal((200, 64))
+    aside -= (aside * x[:200]).sum(axis=1)[:, None] * x[:200]
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    x[200:400] = 0.982 * x[:200] + math.sqrt(1 - 0.982**2) * aside
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    rows = nn_descent.near_duplicates(df).collect()
+    assert {r.vec_id: r.component_id for r in rows if r.vec_id != r.component_id} == {i + 200: i for i in range(200)}
+    assert {r.n_links for r in rows if r.vec_id < 400} == {1} and {r.n_links for r in rows if r.vec_id >= 400} == {0}
+    assert rows[0].audit_links >= 190 and rows[0].audit_recall >= nn_descent.RECALL
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1)], SCHEMA)
+    from pyspark.sql import functions as F
+
+    odd = df.withColumns({name: F.lit("own") for name in ("id", "unit", "copies", "component_id", "n_links", "first_id", "v", "u", "kept")})
+    assert sorted(tuple(r)[:4] for r in nn_descent.near_duplicates(odd).collect()) == [(1, 1, 1, True), (2, 1, 1, False)]
+
+
 def test_edge_rows(spark):
     v = [1.0, 2.0, 3.0]
     rows = [
