@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import re
+import time
+from collections import Counter
 
 from pyspark.sql import functions as F
 from rows import NASTY, documents
@@ -80,6 +82,93 @@ def test_clashes_are_resolved(spark):
     assert found.join(entities.select(F.col("entity").alias("surrogate")), "surrogate").isEmpty()
 
 
+def _assigned(spark, pairs):
+    entities = spark.createDataFrame(pairs, "kind string, entity string")
+    found = [(r.kind, r.entity, r.surrogate) for r in surrogates.assign(entities, Stage(spark)).collect()]
+    assert sorted(f[:2] for f in found) == sorted(pairs)
+    assert len({(kind, new) for kind, _, new in found}) == len(found)
+    assert all(old != new for _, old, new in found)
+    return {(kind, old): new for kind, old, new in found}
+
+
+def test_full_formats_are_permuted(spark):
+    """All addresses of a small network, all one-letter boxes of a domain, all one-letter domains, many names."""
+    network = [("ip", f"192.168.{a}.{b}") for a in range(10) for b in range(10)]
+    more = [("ip", f"10.{a}.{b}.1") for a in range(10) for b in range(10)] + [("ip", f"192.{a}.77.{b}") for a in (167, 168, 169) for b in (1, 2)]
+    odd = [("ip", "01.002.300.999"), ("ip", "11.0.0.0"), ("ip", "9.0.0.0"), ("ip", "191.1.1.1"), ("ip", "193.1.1.1"), ("ip", "224.1.1.1")]
+    boxes = [("email", f"{c}@x.org") for c in "abcdefghijklmnopqrstuvwxyz"]
+    domains = [("domain", f"{c}.org") for c in "abcdefghijklmnopqrstuvwxyz0123456789"]
+    numbers = [("phone", f"2{n:09d}") for n in range(40)] + [("card", f"4{n:012d}") for n in range(40)]
+    names = [("family", f"name{n}") for n in range(6000)] + [("given_f", f"name{n}") for n in range(2000)]
+    found = _assigned(spark, network + more + odd + boxes + domains + numbers + names)
+    for _, old in network:
+        assert re.fullmatch(r"192\.168\.\d\.\d", found["ip", old])
+    for kind, old in more + odd:
+        new = found[kind, old]
+        assert [len(x) for x in new.split(".")] == [len(x) for x in old.split(".")]
+        assert new.startswith("10.") == old.startswith("10.") and new.startswith("192.168.") == old.startswith("192.168.")
+    assert {found["email", f"{c}@x.org"] for c in "abc"} <= {e for _, e in boxes}
+    for c in "abcdefghijklmnopqrstuvwxyz0123456789":
+        assert found["domain", f"{c}.org"][0].isalpha() == c.isalpha()
+
+
+def test_addresses_of_marks_are_left_alone(spark):
+    rows = [(1, "see ---@-.- there"), (2, "a@-.org and -@b.org and ..@..com"), (3, "x.-y@-a-.com")]
+    found = {r.doc_id: r for r in _run(spark, rows).collect()}
+    assert found[1].text == rows[0][1] and not any(found[1].found.values())
+    assert re.fullmatch(r"[b-z]@-\.org and -@b\.org and \.\.@\.\.com", found[2].text)
+    assert re.fullmatch(r"[a-wyz]\.-[a-xz]@-[b-z]-\.com", found[3].text)
+
+
+def test_small_networks_in_texts(spark):
+    rows = [(n, f"host 192.168.{n // 10}.{n % 10} up") for n in range(100)]
+    new = {r.doc_id: r.text for r in _run(spark, rows).collect()}
+    assert len(set(new.values())) == 100 and set(new.values()) == {text for _, text in rows}
+    assert all(new[n] != text for n, text in rows)
+
+
+def test_short_domains_stay_apart(spark):
+    rows = [(n, f"to me@{chr(97 + n)}.io") for n in range(26)]
+    new = {r.text.split("@")[1] for r in _run(spark, rows).collect()}
+    assert len(new) == 26
+
+
+def test_finds_equal_an_independent_detector(spark):
+    """Every address, number and titled name that plain Python finds in the documents is replaced, and nothing else is changed."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    kinds = {
+        "email": r"(?<![\w.%+-])[\w.%+-]*[A-Za-z0-9][\w.%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+        "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])",
+        "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
+        "card": r"(?<![0-9])(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9])|(?<![0-9A-Za-z])[0-9]{13,19}(?![0-9A-Za-z])",
+    }
+    before = {r.doc_id: r.text or "" for r in docs.collect()}
+    found = {r.doc_id: r for r in surrogates.replace(docs).collect()}
+    seen = Counter()
+    for doc_id, text in before.items():
+        new = found[doc_id].text or ""
+        for kind, pattern in kinds.items():
+            values = re.findall(pattern, text)
+            assert found[doc_id].found[kind] == len(values), (doc_id, kind, values)
+            assert not [v for v in values if re.search(rf"(?<![\w.]){re.escape(v)}(?![\w])", new)], (doc_id, kind)
+            seen[kind] += len(values)
+        if not any(found[doc_id].found.values()):
+            assert new == text
+        else:
+            shape = lambda t: re.sub("[A-Za-z]", "a", re.sub("[0-9]", "0", t))
+            if not found[doc_id].found["name"]:
+                assert shape(new) == shape(text)
+    assert min(seen[kind] for kind in kinds) > 0
+
+
+def test_many_matches_in_one_text(spark):
+    text = " ".join(f"user{n}@example{n % 50}.org" for n in range(16_000))
+    began = time.time()
+    (row,) = _run(spark, [(1, text)]).collect()
+    assert time.time() - began < 60
+    assert row.found["email"] == len(set(row.text.split())) == 16_000
+
+
 def test_key_decides(spark):
     docs = documents(spark, [(1, TEXT)])
     assert surrogates.replace(docs, key="one").first().text != surrogates.replace(docs, key="two").first().text
