@@ -162,7 +162,7 @@ def _sets(batch: pa.RecordBatch) -> pa.RecordBatch:
     sets = [shingle_set(text) for text in batch.column(1).to_pylist()]
     offsets = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
     array = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets).view(np.int64)))
-    return pa.RecordBatch.from_arrays([batch.column(0), _keys(sets), array], ["id", "set_key", "shingles"])
+    return pa.RecordBatch.from_arrays([batch.column(0), _keys(sets), array], ["first_id", "set_key", "shingles"])
 
 
 def _keys(sets: list[np.ndarray]) -> pa.Array:
@@ -183,11 +183,35 @@ def _confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     )
 
 
+def _prefixes(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """A row's prefix of ``MIN_DEPTH`` hashes in every order, as one number each."""
+    labels = matrix(batch.column(1), ">u2").reshape(-1, TREES, DEPTH)[:, :, :MIN_DEPTH].astype(np.int64)
+    numbers = np.zeros(labels.shape[:2], np.int64)
+    for depth in range(MIN_DEPTH):
+        numbers = numbers << 16 | labels[:, :, depth]
+    return pa.RecordBatch.from_arrays([batch.column(0), binary(numbers)], ["id", "prefixes"])
+
+
+def _met_before(prefixes: np.ndarray, order: int) -> np.ndarray:
+    """Pairs of rows that share a prefix in an order before this one: they are compared there."""
+    met = np.zeros((len(prefixes), len(prefixes)), bool)
+    for earlier in range(order):
+        met |= prefixes[:, None, earlier] == prefixes[None, :, earlier]
+    return met
+
+
 def _compared(similarity: int):
-    """Links between the rows of two blocks of a crowd that lie in different groups, as many as connect them."""
+    """Links between the rows of two blocks of a crowd that lie in different groups, as many as connect them. A pair is
+    compared in the first order in which it meets."""
 
     def links(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         ids, groups, blocks = (rows.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5))
+        same = groups[:, None] == groups[None, :]
+        due = ~same & ~_met_before(matrix(rows.column(7), "<i8"), int.from_bytes(rows.column(0)[0].as_py()[:2], "big"))
+        if blocks.min() != blocks.max():
+            due &= blocks[:, None] != blocks[None, :]
+        if not due.any():
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         lists = rows.column(6)
         sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
         owner = np.repeat(np.arange(len(ids)), sizes)
@@ -204,11 +228,7 @@ def _compared(similarity: int):
             holds = np.zeros((len(ids), BLOCK_COLUMNS), np.float32)
             holds[owner[some], column[some] - low] = 1
             common += (holds @ holds.T).astype(np.int64)
-        linked = 100 * common >= similarity * (sizes[:, None] + sizes[None, :] - common)
-        if blocks.min() != blocks.max():
-            linked &= blocks[:, None] != blocks[None, :]
-        same = groups[:, None] == groups[None, :]
-        linked &= ~same
+        linked = due & (100 * common >= similarity * (sizes[:, None] + sizes[None, :] - common))
         near = linked | same
         a, b = [], []
         unseen = np.ones(len(ids), bool)
@@ -249,10 +269,10 @@ def _compared(similarity: int):
     return run
 
 
-def _crowd_links(crowds: DataFrame, groups: DataFrame, sets: DataFrame, stage: Stage, similarity: int) -> DataFrame:
+def _crowd_links(crowds: DataFrame, groups: DataFrame, sets: DataFrame, labels: DataFrame, stage: Stage, similarity: int) -> DataFrame:
     """Links (a, b) that connect all groups of a crowd that any link of its rows connects.
 
-    Every pair of a crowd's rows is compared on the full sets unless both are in the crowd's largest group.
+    Every pair of a crowd's rows is compared on the full sets unless both are in one group or met in an earlier order.
     """
     parts = int(crowds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     members = stage(
@@ -287,7 +307,8 @@ def _crowd_links(crowds: DataFrame, groups: DataFrame, sets: DataFrame, stage: S
         .select("crowd", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "group", "block")
     )
     keys = ["crowd", "low", "high"]
-    rows = dealt.join(sets, "id").select(*keys, "id", "group", "block", "shingles")
+    numbers = arrow_map(labels.join(members.select("id").distinct(), "id", "left_semi"), _prefixes, "id long, prefixes binary")
+    rows = dealt.join(sets.join(numbers, "id"), "id").select(*keys, "id", "group", "block", "shingles", "prefixes")
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(_compared(similarity), "a long, b long")
 
 
@@ -298,12 +319,13 @@ def near_duplicates(docs: DataFrame, stage: Stage | None = None, similarity: int
     named by its smallest doc_id, whose row is kept. Equal sets are one class, compared once; classes meet
     in an LSH forest and are confirmed on their full sets. A first pass confirms each class's two best candidates; the rest
     is confirmed where the two sides are not yet connected. Where more classes share a prefix than are looked at as
-    neighbours, all of them are compared in blocks, but for pairs inside the largest group. So every pair that shares a
-    prefix in any order is either confirmed, refuted or between classes already in one group.
+    neighbours, all of them are compared in blocks, each pair in the first order in which it meets and only if it is not yet in
+    one group. So every pair that shares a prefix in any order is either confirmed, refuted or between classes already in one
+    group.
 
     Null and empty texts have an empty set and link with nothing. Rows without doc_id link with nothing, have no
     component and are kept. Repeated rows are copies of each other; each of them is returned. Rows of one doc_id
-    with different texts share the id's group.
+    with different texts share the id's group, and so do the copies of each of these texts. An empty table gives no row.
     """
     stage = stage or Stage(docs.sparkSession)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
@@ -311,22 +333,26 @@ def near_duplicates(docs: DataFrame, stage: Stage | None = None, similarity: int
         arrow_map(source, _features, "doc_id long, n_shingles long, set_key binary, labels binary")
     )
     known = features.filter("doc_id is not null and set_key is not null")
-    classes = stage(known.groupBy("set_key").agg(F.min("doc_id").alias("id")))
-    # An id with several texts may name several classes; the one with the smallest key stands in the forest.
-    stands = stage(classes.groupBy("id").agg(F.min("set_key").alias("set_key")))
+    classes = known.groupBy("set_key").agg(F.min("doc_id").alias("first_id"))
+    # Classes have numbers of their own: an id may come with several texts.
+    classes = stage(classes.withColumn("id", F.monotonically_increasing_id()))
     representatives = stage(
-        known.select(F.col("doc_id").alias("id"), "set_key", "labels")
-        .join(stands, ["id", "set_key"], "left_semi")
+        known.join(classes.withColumnRenamed("first_id", "doc_id"), ["set_key", "doc_id"])
+        .select("id", "labels")
         .dropDuplicates(["id"])
     )
+    key = F.xxhash64("set_key")
+    several = known.groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high")).filter("low <> high")
+    held = known.join(several, "doc_id", "left_semi").select("doc_id", "set_key").distinct().join(classes, "set_key")
+    one_id = stage(held.select("id", F.min("id").over(Window.partitionBy("doc_id")).alias("b")).filter("id <> b").withColumnRenamed("id", "a"))
 
     pairs, crowds = candidates(representatives, stage)
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).union(crowds.select("id")).distinct()
-    wanted = stage(stands.join(wanted, "id", "left_semi"))
-    texts = source.withColumnRenamed("doc_id", "id").join(wanted.select("id"), "id", "left_semi")
+    wanted = stage(classes.join(wanted, "id", "left_semi"))
+    texts = source.join(wanted.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = stage(
-        arrow_map(texts.select("id", "text"), _sets, "id long, set_key binary, shingles array<long>")
-        .join(wanted, ["id", "set_key"], "left_semi")
+        arrow_map(texts.select("doc_id", "text"), _sets, "first_id long, set_key binary, shingles array<long>")
+        .join(wanted, ["first_id", "set_key"])
         .select("id", "shingles")
         .dropDuplicates(["id"])
     )
@@ -335,28 +361,28 @@ def near_duplicates(docs: DataFrame, stage: Stage | None = None, similarity: int
         pairs.select(F.col("b").alias("id"), "a", "b", "estimate")
     )
     best = Window.partitionBy("id").orderBy(F.desc("estimate"), "a", "b")
-    first = (
+    first = stage(
         ends.withColumn("place", F.row_number().over(best)).filter("place <= 2").select("a", "b").distinct()
     )
-    links = stage(_confirm(first, sets, similarity))
+    links = stage(_confirm(first, sets, similarity).unionByName(one_id))
     groups = stage(components(links, stage))
     a = groups.select(F.col("id").alias("a"), F.col("component_id").alias("group_a"))
     b = groups.select(F.col("id").alias("b"), F.col("component_id").alias("group_b"))
     left = (
-        pairs.join(stage(first), ["a", "b"], "left_anti")
+        pairs.join(first, ["a", "b"], "left_anti")
         .join(a, "a", "left")
         .join(b, "b", "left")
         .filter(~F.coalesce(F.col("group_a") == F.col("group_b"), F.lit(False)))
         .select("a", "b")
     )
-    links = links.unionByName(stage(_confirm(left, sets, similarity)))
-    groups = stage(components(links, stage))
-    more = stage(_crowd_links(crowds, groups, sets, stage, similarity).distinct())
+    crowded = _crowd_links(crowds, groups, sets, representatives, stage, similarity)
+    more = stage(_confirm(left, sets, similarity).unionByName(crowded).distinct())
     if not more.isEmpty():
         groups = components(links.unionByName(more), stage)
-    named = stage(
-        classes.join(groups, "id", "left").select("set_key", F.coalesce("component_id", "id").alias("component_id"))
-    )
+    members = stage(classes.join(groups, "id", "left").withColumn("group", F.coalesce("component_id", "id")).drop("component_id"))
+    # A group is named by its smallest id; minima are written before they are joined, so a large group can be split.
+    smallest = stage(members.groupBy("group").agg(F.min("first_id").alias("component_id")))
+    named = stage(members.join(smallest, "group").select("set_key", "component_id"))
     return (
         features.select("doc_id", "n_shingles", "set_key")
         .join(named, "set_key", "left")

@@ -363,7 +363,7 @@ def near_duplicates(embeddings: DataFrame, stage: Stage | None = None, similarit
     of_one_id = held.groupBy("vec_id").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     same_id = stage(held.join(of_one_id, "vec_id").filter("id <> b").select(F.col("id").alias("a"), "b"))
 
-    lists = widths = None
+    widths = None
     links, recall, evidence = same_id, 0.0, 0
 
     def links_of(made: DataFrame) -> DataFrame:
@@ -372,40 +372,40 @@ def near_duplicates(embeddings: DataFrame, stage: Stage | None = None, similarit
     def kept_links(made: DataFrame) -> DataFrame:
         return stage(links.unionByName(links_of(made)).distinct())
 
-    for widening in range(1 + MOST_WIDENINGS):
-        made = stage(_first_graph(vectors, widening, similarity))
+    made = stage(_first_graph(vectors, 0, similarity))
+    links = kept_links(made)
+    first = made.filter("link = 0").drop("link").withColumn("fresh", F.lit(1))
+    lists = stage(_lists(first, widths))
+    doublings = rounds = 0
+    while True:
+        old = lists.select("v", "u", "cos", F.lit(0).alias("fresh"))
+        made = stage(_descend(lists, vectors, widths, rounds + MOST_ROUNDS * doublings, similarity))
         links = kept_links(made)
-        first = made.filter("link = 0").drop("link").withColumn("fresh", F.lit(1))
-        lists = stage(_lists(first if lists is None else lists.select("v", "u", "cos", "fresh").unionByName(first), widths))
-        doublings = rounds = 0
-        while True:
-            old = lists.select("v", "u", "cos", F.lit(0).alias("fresh"))
-            made = stage(_descend(lists, vectors, widths, rounds + MOST_ROUNDS * doublings, similarity))
-            links = kept_links(made)
-            new = made.filter("link = 0").drop("link").withColumn("fresh", F.lit(1))
-            # What a list already holds is not fresh: the old row wins.
-            known = old.unionByName(new).groupBy("v", "u").agg(F.max("cos").alias("cos"), F.min("fresh").alias("fresh"))
-            merged = stage(_lists(known, widths))
-            counts = merged.agg(F.count(F.lit(1)), F.sum("fresh")).first()
-            lists = merged
-            rounds += 1
-            if (counts[1] or 0) <= CHANGED * (counts[0] or 1) or rounds == MOST_ROUNDS:
-                full = lists.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("cos").alias("least"))
-                if widths is not None:
-                    full = full.join(widths, "v", "left")
-                width = F.coalesce("width", F.lit(LIST)) if widths is not None else F.lit(LIST)
-                saturated = full.filter((F.col("n") >= width) & (F.col("least") >= similarity))
-                grown = stage(saturated.select("v", (2 * width).cast("int").alias("width")))
-                if doublings == MOST_DOUBLINGS or grown.isEmpty():
-                    break
-                widths = grown if widths is None else stage(
-                    widths.unionByName(grown).groupBy("v").agg(F.max("width").alias("width"))
-                )
-                lists = lists.withColumn("fresh", F.lit(1))
-                doublings, rounds = doublings + 1, 0
-        edges = lists.filter(F.col("cos") >= similarity).select(F.col("v").alias("a"), F.col("u").alias("b"))
-        links = stage(links.unionByName(edges).distinct())
-        groups = stage(components(links, stage))
+        new = made.filter("link = 0").drop("link").withColumn("fresh", F.lit(1))
+        # What a list already holds is not fresh: the old row wins.
+        known = old.unionByName(new).groupBy("v", "u").agg(F.max("cos").alias("cos"), F.min("fresh").alias("fresh"))
+        merged = stage(_lists(known, widths))
+        counts = merged.agg(F.count(F.lit(1)), F.sum("fresh")).first()
+        lists = merged
+        rounds += 1
+        if (counts[1] or 0) <= CHANGED * (counts[0] or 1) or rounds == MOST_ROUNDS:
+            full = lists.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.min("cos").alias("least"))
+            if widths is not None:
+                full = full.join(widths, "v", "left")
+            width = F.coalesce("width", F.lit(LIST)) if widths is not None else F.lit(LIST)
+            saturated = full.filter((F.col("n") >= width) & (F.col("least") >= similarity))
+            grown = stage(saturated.select("v", (2 * width).cast("int").alias("width")))
+            if doublings == MOST_DOUBLINGS or grown.isEmpty():
+                break
+            widths = grown if widths is None else stage(
+                widths.unionByName(grown).groupBy("v").agg(F.max("width").alias("width"))
+            )
+            lists = lists.withColumn("fresh", F.lit(1))
+            doublings, rounds = doublings + 1, 0
+    edges = lists.filter(F.col("cos") >= similarity).select(F.col("v").alias("a"), F.col("u").alias("b"))
+    links = stage(links.unionByName(edges).distinct())
+    groups = stage(components(links, stage))
+    for widening in range(1 + MOST_WIDENINGS):
         fresh = stage(links_of(_first_graph(vectors, AUDIT_SEED + widening, similarity)))
         recall, evidence = _audit(fresh, groups)
         if recall < 1:

@@ -5,12 +5,17 @@ import random
 import pytest
 from rows import groups
 
+from muster.llm import graph
 from muster.llm.common import Stage
 from muster.llm.graph import components
 
 
+@pytest.mark.parametrize(("portion", "held"), [(200_000, 500_000), (40, 500_000), (40, 16)])
 @pytest.mark.parametrize("kind", ["path", "star", "random", "none"])
-def test_components(spark, kind):
+def test_components(spark, kind, portion, held, monkeypatch):
+    """In one portion, in several, and in tasks that give what they hold before their end."""
+    monkeypatch.setattr(graph, "_PORTION", portion)
+    monkeypatch.setattr(graph, "_HELD", held)
     rng = random.Random(3)
     links = {
         "path": [(i, i + 1) for i in range(300)],
@@ -18,7 +23,7 @@ def test_components(spark, kind):
         "random": [(rng.randrange(400), rng.randrange(400)) for _ in range(300)],
         "none": [(5, 5)],
     }[kind]
-    edges = spark.createDataFrame([*links, *links[:5]], "a long, b long")
+    edges = spark.createDataFrame([*links, *links[:5]], "a long, b long").repartition(9)
     found = {r.id: r.component_id for r in components(edges, Stage(spark)).collect()}
     ids = {i for link in links if link[0] != link[1] for i in link}
     assert found == {i: g for i, g in groups(ids, [x for x in links if x[0] != x[1]]).items()}

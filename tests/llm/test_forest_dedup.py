@@ -61,6 +61,30 @@ def test_large_group_whose_neighbours_are_mostly_refuted(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == _brute(rows)
 
 
+def test_many_near_copies_against_all_pairs(spark):
+    """Eight thousand near copies of one text, half of their links missing: groups equal those of all pairs compared."""
+    rng = np.random.default_rng(23)
+    n, size = 8000, 120
+    edits = rng.random((n, size)) < rng.choice([0.005, 0.02, 0.04], (n, 1))
+    # Every edit is a word of its own, so shingles are common where neither text is edited.
+    texts = [" ".join(f"e{i}-{k}" if e else f"w{k}" for k, e in enumerate(row)) for i, row in enumerate(edits)]
+    whole = np.stack([~edits[:, k : size - 4 + k] for k in range(5)]).all(axis=0).astype(np.float32)
+    common = whole @ whole.T
+    sizes = size - 4
+    linked = 100 * common >= 75 * (2 * sizes - common)
+    parent = np.arange(n)
+    changed_ = True
+    while changed_:  # the smallest id that each id reaches
+        lower = np.array([parent[row].min(initial=n) for row in linked])
+        lower = np.minimum(lower, parent)
+        changed_ = bool((lower != parent).any())
+        parent = lower
+    found = forest_dedup.near_duplicates(documents(spark, list(enumerate(texts)))).collect()
+    got = {r.doc_id: r.component_id for r in found}
+    assert sum(got[i] != parent[i] for i in range(n)) == 0
+    assert len(set(got.values())) > 100
+
+
 def test_edge_rows(spark):
     found = forest_dedup.near_duplicates(documents(spark, NASTY, clashing=True)).collect()
     assert sorted((r.doc_id or -1, r.n_shingles, r.component_id, r.kept) for r in found) == sorted(
@@ -75,8 +99,10 @@ def test_edge_rows(spark):
 def test_one_id_with_different_texts(spark):
     rng = random.Random(1)
     one, other = " ".join(words(rng, 40)), " ".join(words(rng, 40))
-    found = forest_dedup.near_duplicates(documents(spark, [(1, one), (1, other), (2, one), (3, other)])).collect()
-    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1), (3, 1)}
+    near = " ".join([*other.split()[:-1], "end"])
+    rows = [(1, one), (1, other), (2, one), (3, other), (4, near), (0, " ".join(words(rng, 40)))]
+    found = forest_dedup.near_duplicates(documents(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1), (3, 1), (4, 1), (0, 0)}
 
 
 def test_no_rows(spark):
