@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 
 import numpy as np
@@ -19,6 +18,8 @@ BLOCK = 256
 UNKNOWN = "und"
 #: Blocks parsed side by side.
 _LANES = 4096
+#: Places tried at once for a row of transitions.
+_TRIED = 64
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -45,7 +46,7 @@ def sample(docs: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS
 
 
 class Automata:
-    """A suffix automaton of each language's text as one dense table: next state by state and character."""
+    """A suffix automaton of each language's text; its size follows the text's, whatever the number of characters."""
 
     def __init__(self, fitted: tuple[tuple[str, str], ...]):
         self.langs = [lang for lang, _ in fitted]
@@ -72,21 +73,67 @@ class Automata:
         for low in range(0, len(owner), _LANES):
             steps = np.ascontiguousarray(flat[low : low + _LANES].T)
             for k, table in enumerate(self.tables):
-                found = _parse(table, steps, self.size)
+                found = _parse(table, steps)
                 np.add.at(counts[:, k], owner[low : low + _LANES], found)
         return counts
 
 
-def _parse(table: np.ndarray, steps: np.ndarray, size: int) -> np.ndarray:
+class Transitions:
+    """Next states in one array: a state's row is shifted to where its few entries fall into free places, and each place names the
+    state that it belongs to."""
+
+    def __init__(self, follow: list[dict[int, int]], size: int):
+        rows = [np.fromiter(steps, np.int64, len(steps)) for steps in follow]
+        counts = np.array([len(row) for row in rows])
+        total = int(counts.sum())
+        used = np.zeros(2 * total + 4 * size, bool)
+        self.base = np.zeros(len(follow), np.int32)
+        place = size
+        for state in np.argsort(-counts, kind="stable")[: int((counts > 1).sum())].tolist():
+            # On from where the row before was placed; what is left free is for the states with one entry.
+            codes, low = rows[state], place - int(rows[state].min())
+            while True:
+                if low + _TRIED + size >= len(used):
+                    used = np.append(used, np.zeros(len(used), bool))
+                fits = np.flatnonzero(~used[np.arange(low, low + _TRIED)[:, None] + codes].any(axis=1))
+                if len(fits):
+                    break
+                low += _TRIED
+            self.base[state] = low + fits[0]
+            used[self.base[state] + codes] = True
+            place = int(self.base[state] + codes.min()) + 1
+        # States with one entry take what is free.
+        single = np.flatnonzero(counts == 1)
+        codes = np.array([rows[state][0] for state in single.tolist()], np.int64)
+        free = np.flatnonzero(~used[size:])[: len(single)] + size
+        if len(free) < len(single):
+            free = np.append(free, len(used) + np.arange(len(single) - len(free)))
+        self.base[single] = free - codes
+        length = int(max(self.base.max(initial=0), 0)) + size + 1
+        self.owner, self.next = np.full(length, -1, np.int32), np.zeros(length, np.int32)
+        for state, steps in enumerate(follow):
+            for code, target in steps.items():
+                at = self.base[state] + code
+                self.owner[at], self.next[at] = state, target
+        self.start = np.zeros(size, np.int32)
+        self.start[rows[0]] = [follow[0][code] for code in rows[0].tolist()]
+
+    def __call__(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The state after ``code``, 0 where there is none."""
+        at = self.base[state] + code
+        return np.where(self.owner[at] == state, self.next[at], 0)
+
+
+def _parse(table: Transitions, steps: np.ndarray) -> np.ndarray:
     """Phrases of each column of ``steps``: longest matches, one after another."""
     lanes = steps.shape[1]
     state, count = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
     for code in steps:
-        follow = table[state * size + code]
+        follow = table(state, code)
         # A phrase begins where nothing is matched yet or the match can't go on.
         begins = (state == 0) | (follow == 0)
         count += begins & (code > 0)
-        state = np.where(follow == 0, table[code], follow)
+        state = np.where(follow == 0, table.start[code], follow)
     return count
 
 
@@ -99,8 +146,8 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def _automaton(codes: np.ndarray, size: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes``, 0 where there is none; state 0 is the start."""
+def _automaton(codes: np.ndarray, size: int) -> Transitions:
+    """Transitions of the suffix automaton of ``codes``; state 0 is the start."""
     follow: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for code in codes.tolist():
@@ -126,16 +173,7 @@ def _automaton(codes: np.ndarray, size: int) -> np.ndarray:
                     at = link[at]
                 link[met] = link[new] = copy
         last = new
-    table = np.zeros(len(follow) * size, np.int32)
-    for state, steps in enumerate(follow):
-        for code, target in steps.items():
-            table[state * size + code] = target
-    return table
-
-
-@functools.lru_cache(maxsize=1)
-def _automata(fitted: tuple[tuple[str, str], ...]) -> Automata:
-    return Automata(fitted)
+    return Transitions(follow, size)
 
 
 def predict(docs: DataFrame, fitted: list[tuple[str, str]], columns: list[str] | None = None) -> DataFrame:
@@ -147,7 +185,8 @@ def predict(docs: DataFrame, fitted: list[tuple[str, str]], columns: list[str] |
     'und' and 0, as do all texts when nothing was learned. Other columns pass through, whatever their names and values are,
     but for columns named as the two new ones, which are replaced.
     """
-    model = docs.sparkSession.sparkContext.broadcast(tuple(fitted))
+    # Built once: a few bytes for each of the sampled characters.
+    model = docs.sparkSession.sparkContext.broadcast(Automata(tuple(fitted)))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         langs, scores = classify(batch.column(1).to_pylist(), model.value)
@@ -161,12 +200,11 @@ def predict(docs: DataFrame, fitted: list[tuple[str, str]], columns: list[str] |
     return found.select("carried.*", "lang_pred", "score")
 
 
-def classify(texts: list[str | None], fitted: tuple[tuple[str, str], ...]) -> tuple[list[str], list[float]]:
+def classify(texts: list[str | None], model: Automata) -> tuple[list[str], list[float]]:
     langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     known = [i for i, text in enumerate(texts) if text and any(map(str.isalpha, text))]
-    if not fitted or not known:
+    if not model.langs or not known:
         return langs, scores
-    model = _automata(fitted)
     low = 0
     while low < len(known):
         high, size = low, 0

@@ -35,6 +35,39 @@ def test_phrases_equal_a_search():
             assert found[row, k] == _brute_phrases(text, language._plain(corpus)), (text, corpus)
 
 
+def _dense(codes):
+    """Transitions by search: from each match the next characters that continue it."""
+    return {tuple(codes[i:j]) for i in range(len(codes)) for j in range(i + 1, min(i + 9, len(codes)) + 1)}
+
+
+def test_transitions_equal_substrings():
+    """A walk through the automaton goes on exactly while what was read occurs in the text."""
+    rng = np.random.default_rng(8)
+    for size, signs in ((300, 3), (500, 40), (400, 300), (0, 3)):
+        codes = rng.integers(2, 2 + signs, size)
+        table, occurs = language._automaton(codes, signs + 3), _dense(codes.tolist())
+        for _ in range(300):
+            at = int(rng.integers(0, max(size, 1)))
+            walk = codes[at : at + 8].tolist() if rng.random() < 0.6 else []
+            walk = (walk + rng.integers(0, signs + 3, 8).tolist())[:8]
+            state = np.zeros(1, np.int32)
+            for end in range(1, 9):
+                state = table(state, np.array([walk[end - 1]], np.int32))
+                assert (state[0] != 0) == (tuple(walk[:end]) in occurs)
+                if state[0] == 0:
+                    break
+
+
+def test_large_alphabets_take_little_memory():
+    """48,000 characters over 3,000 signs."""
+    rng = np.random.default_rng(2)
+    text = "".join(map(chr, rng.zipf(1.3, 48_000) % 3000 + 0x4E00))
+    model = language.Automata((("zh", text),))
+    table = model.tables[0]
+    assert table.owner.nbytes + table.next.nbytes + table.base.nbytes + table.start.nbytes < 20 << 20
+    assert model.phrases([text[5000:5200]])[0, 0] <= 2
+
+
 def test_held_out_accuracy(spark):
     from muster.llm.queries import op8_cross_parsing
 

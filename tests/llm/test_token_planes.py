@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 
@@ -12,8 +13,13 @@ from muster.llm import token_planes as tp
 from muster.llm.common import Stage
 
 
+@functools.cache
+def _tokenizer():
+    return Tokenizer.from_file(tp.TOKENIZER)
+
+
 def _ids(text):
-    ids = Tokenizer.from_file(tp.TOKENIZER).encode(text or "", add_special_tokens=False).ids
+    ids = _tokenizer().encode(text or "", add_special_tokens=False).ids
     return [*ids, tp.END]
 
 
