@@ -60,7 +60,33 @@ def test_no_rows(spark):
     assert _run(spark, documents(spark, NASTY), []) == []
 
 
-def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(containment, "BLOCK_ITEMS", 2)
-    docs = [(n, f"p{n} q{n} r{n} s{n} t{n} u{n}") for n in range(9)]
-    assert _run(spark, documents(spark, docs), docs) == [(n, n, 2, 2) for n in range(9)]
+def test_one_scan_for_any_number_of_items(spark):
+    """Hundreds of items of all sizes: the documents are read once, no row of the benchmark reaches the driver."""
+    rng = random.Random(6)
+    items = [(n, " ".join(words(rng, rng.randrange(3, 120), 900))) for n in range(600)]
+    docs = [(n, " ".join([*words(rng, 50, 900), items[3 * n][1], items[n][1], *words(rng, 900, 900)])) for n in range(120)]
+    found = containment.contaminated(documents(spark, docs), _items(spark, items))
+    assert sorted(tuple(r) for r in found.collect()) == _brute(docs, items)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan  # texts were read before, into a staged table
+
+
+def test_ids_with_several_texts(spark):
+    docs = [(1, "a b c d e f g h"), (1, "x y z x y z x y"), (None, "a b c d e f g h")]
+    items = [(7, "a b c d e f"), (7, "x y z x y z x y w v"), (8, "x y z x y z")]
+    found = containment.contaminated(documents(spark, docs * 2), _items(spark, items)).collect()
+    assert {tuple(r) for r in found} == {(1, 7, 2, 2), (1, 8, 2, 2), (None, 7, 2, 2)} and len(found) == 3
+
+
+def test_full_marks_lose_nothing(spark, monkeypatch):
+    """With marks that are nearly all set every value is looked up by the join."""
+    pages = containment.Marks.__init__
+
+    def full(self, given):
+        pages(self, {number: b"\xff" * len(raw) for number, raw in given.items()})
+
+    monkeypatch.setattr(containment.Marks, "__init__", full)
+    rng = random.Random(3)
+    items = [(n, " ".join(words(rng, rng.randrange(4, 60)))) for n in range(20)]
+    docs = [(n, " ".join([*words(rng, 30), items[n % 20][1], *words(rng, 100)])) for n in range(40)]
+    assert _run(spark, documents(spark, docs), items) == _brute(docs, items)
