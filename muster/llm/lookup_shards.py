@@ -47,10 +47,13 @@ def lookup(spark: SparkSession, shards: list[str], slots: int = SLOTS) -> DataFr
     return spark.createDataFrame(rows, "slot int, shard string")
 
 
+def _text_of(*key: Column) -> Column:
+    return F.concat_ws("\x1f", *[F.coalesce(part.cast("string"), F.lit("\x00")) for part in key])
+
+
 def slot_of(*key: Column, slots: int = SLOTS) -> Column:
     """The slot of a key; null parts of a key are a value like any other."""
-    text = F.concat_ws("\x1f", *[F.coalesce(part.cast("string"), F.lit("\x00")) for part in key])
-    return F.pmod(F.xxhash64(text), F.lit(slots)).cast("int")
+    return F.pmod(F.xxhash64(_text_of(*key)), F.lit(slots)).cast("int")
 
 
 def place(docs: DataFrame, shards: list[str], key: list[str], slots: int = SLOTS) -> DataFrame:
@@ -68,16 +71,23 @@ def place_evenly(
     docs: DataFrame, shards: list[str], key: list[str], within: list[str], slots: int = SLOTS, stage: Stage | None = None
 ) -> DataFrame:
     """As ``place``, with frequent keys split: a key with more rows than an even shard has is dealt out in parts of
-    an eighth of a shard, by a hash of ``within``. ``parts`` tells into how many."""
+    an eighth of a shard, by a hash of ``within``. ``parts`` tells into how many.
+
+    Rows with equal ``key`` and ``within`` stay together, so repeated rows do. Null keys are one key and are split like any other.
+    An empty table gives no row. ``docs`` may have any columns; those named as the three new ones are replaced.
+    """
     stage = stage or Stage(docs.sparkSession)
-    named = F.struct(*[F.col(f"`{c}`") for c in key])
-    counted = docs.groupBy(F.xxhash64(named).alias("split_key")).agg(F.count(F.lit(1)).alias("n"))
-    total = stage(counted)
+    names = [f"`{c}`" for c in docs.columns if c not in ("slot", "shard", "parts")]
+    text = _text_of(*[docs[f"`{c}`"] for c in key])
+    salt = F.xxhash64(F.struct(*[docs[f"`{c}`"] for c in within]))
+    rows = docs.select(F.struct(*[docs[c] for c in names]).alias("row"), text.alias("key_text"), salt.alias("salt"))
+    rows = rows.withColumn("key_hash", F.xxhash64("key_text"))
+    total = stage(rows.groupBy("key_hash").agg(F.count(F.lit(1)).alias("n")))
     share = total.agg(F.greatest(F.lit(1.0), F.sum("n") / len(shards)).alias("share")).first()[0]
-    heavy = stage(total.filter(F.col("n") > share).select("split_key", F.ceil(8 * F.col("n") / share).cast("int").alias("parts")))
     # A key that fills a shard is one of at most as many keys as there are shards.
-    rows = docs.withColumn("split_key", F.xxhash64(named)).join(F.broadcast(heavy), "split_key", "left").drop("split_key")
-    rows = rows.withColumn("parts", F.coalesce("parts", F.lit(1)))
-    salt = F.pmod(F.xxhash64(F.struct(*[F.col(f"`{c}`") for c in within])), F.col("parts"))
-    salted = rows.withColumn("split_part", F.when(F.col("parts") > 1, salt).otherwise(0))
-    return place(salted, shards, [*key, "split_part"], slots).drop("split_part")
+    heavy = stage(total.filter(F.col("n") > share).select("key_hash", F.ceil(8 * F.col("n") / share).cast("int").alias("parts")))
+    rows = rows.join(F.broadcast(heavy), "key_hash", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    part = F.when(F.col("parts") > 1, F.pmod("salt", F.col("parts"))).otherwise(0)
+    rows = rows.withColumn("slot", slot_of(F.col("key_text"), part, slots=slots))
+    table = lookup(docs.sparkSession, shards, slots)
+    return rows.join(F.broadcast(table), "slot").select("row.*", "slot", "shard", "parts")

@@ -56,7 +56,11 @@ def op5_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lookup_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookup_shards.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS, ["doc_id"])
+    """Every document's shard by its id, and by its source, where frequent sources are split."""
+    placed = lookup_shards.place(table(spark, sf_dir, "documents").select("doc_id", "source"), SHARDS, ["doc_id"])
+    placed = placed.withColumnsRenamed({"slot": "id_slot", "shard": "id_shard"})
+    evenly = lookup_shards.place_evenly(placed, SHARDS, ["source"], ["doc_id"])
+    return evenly.select("doc_id", F.col("id_slot").alias("slot"), F.col("id_shard").alias("shard"), F.col("shard").alias("source_shard"), F.col("parts").alias("source_parts"))
 
 
 def op7_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import struct
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from rows import NASTY, documents
 
@@ -13,8 +15,6 @@ SHARDS = [f"s{n}" for n in range(10)]
 
 def _brute_fill(shards, slots):
     """Each shard's whole preference list, then turns."""
-    import xxhash
-
     preference = {}
     for name in shards:
         at = xxhash.xxh3_64_intdigest(name, seed=1) % slots
@@ -70,3 +70,38 @@ def test_frequent_keys_are_split(spark):
     assert plain > 2000 and even.groupBy("shard").count().agg(F.max("count")).first()[0] < 1500
     assert {r.parts for r in even.select("parts").distinct().collect()} == {1, 27}
     assert ls.place_evenly(rows.limit(0), SHARDS, ["k"], ["id"]).isEmpty()
+
+
+def test_even_places_equal_brute_force(spark):
+    """Slots by the same hashes in plain Python, with null keys, null ids, repeated rows and columns of clashing names."""
+    rows = [*[(n, "hot") for n in range(300)], *[(n, f"s{n % 40}") for n in range(300, 400)], (None, "hot"), (7, None), (7, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string")
+    odd = docs.withColumns({name: F.lit("own") for name in ("key_hash", "key_text", "salt", "row", "split_key", "split_part", "slot", "shard", "parts", "n")})
+    found = ls.place_evenly(odd, SHARDS, ["source"], ["doc_id"])
+    assert set(found.columns) == set(odd.columns)
+    counts, owner = Counter(source for _, source in rows), ls.fill(SHARDS)
+    share = len(rows) / len(SHARDS)
+
+    def digest(data: bytes) -> int:
+        return xxhash.xxh64_intdigest(data, seed=42)
+
+    got = Counter()
+    for r in found.collect():
+        parts = -(-8 * counts[r.source] // share) if counts[r.source] > share else 1
+        salt = digest(struct.pack("<q", r.doc_id)) if r.doc_id is not None else 42
+        signed = salt - (1 << 64) if salt >= 1 << 63 else salt
+        part = signed % int(parts) if parts > 1 else 0
+        text = f"{chr(0) if r.source is None else r.source}\x1f{part}"
+        slot = digest(text.encode())
+        slot = (slot - (1 << 64) if slot >= 1 << 63 else slot) % ls.SLOTS
+        assert (r.parts, r.slot, r.shard, r.salt) == (parts, slot, SHARDS[owner[slot]], "own")
+        got[r.doc_id, r.source] += 1
+    assert got == Counter(rows)
+
+
+def test_the_query_places_every_document(spark):
+    from muster.llm.queries import op6_lookup_shards
+
+    found = op6_lookup_shards(spark, "/root/testdata/sf0.01")
+    assert found.count() == 1000 and found.filter("shard is null or source_shard is null").isEmpty()
+    assert found.agg(F.max("source_parts")).first()[0] > 1
