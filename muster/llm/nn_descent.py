@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from muster.llm.common import Stage, arrow_map, binary, matrix
+from muster.llm.common import Stage, arrow_map, binary
 from muster.llm.graph import components
 
 SIMILARITY = 0.98
