@@ -8,6 +8,11 @@ AS_OF = "TIMESTAMP '2001-07-15 12:00:00'"
 
 # A line's own number: an order may hold one line number several times, but not at one price.
 _LINE_ID = "(l_orderkey * 8 + l_linenumber) * 16777216 + CAST(round(l_extendedprice * 100) AS BIGINT)"
+# One that also tells lines of one number and price apart by part and supplier.
+_LINE_DIGEST = (
+    "CAST('0x' || left(md5(concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,"
+    " CAST(round(l_extendedprice * 100) AS BIGINT))), 15) AS BIGINT)"
+)
 
 TABLES: dict[str, str] = {
     "contact": """
@@ -187,3 +192,8 @@ def with_tables(body: str, extra: dict[str, str] | None = None) -> str:
     visit(body)
     clauses = ",\n".join(f"{name} AS ({known[name].strip()})" for name in ordered)
     return f"WITH {clauses}\n{body.strip()}" if clauses else body.strip()
+
+
+def with_digests(sql: str) -> str:
+    """``sql`` with lines numbered by their digest."""
+    return sql.replace(_LINE_ID, _LINE_DIGEST)
