@@ -31,9 +31,9 @@ _XOR = _rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32)
 _MUL = _rng.integers(0, 1 << 32, TREES * DEPTH, dtype=np.uint32) | np.uint32(1)
 
 
-def minhashes(sets: list[np.ndarray]) -> np.ndarray:
-    """The low 16 bits of each set's smallest hash under every function; sets must not be empty."""
-    out = np.zeros((len(sets), TREES * DEPTH), np.uint16)
+def minhashes(sets: list[np.ndarray], functions: list[int] | range = range(TREES * DEPTH)) -> np.ndarray:
+    """The low 16 bits of each set's smallest hash under every one of the functions; sets must not be empty."""
+    out = np.zeros((len(sets), len(functions)), np.uint16)
     at = 0
     while at < len(sets):
         end, size = at, 0
@@ -42,12 +42,23 @@ def minhashes(sets: list[np.ndarray]) -> np.ndarray:
             end += 1
         values = (np.concatenate(sets[at:end]) >> np.uint64(32)).astype(np.uint32)
         starts = np.cumsum([0, *map(len, sets[at : end - 1])])
-        for k in range(TREES * DEPTH):
-            out[at:end, k] = np.minimum.reduceat((values ^ _XOR[k]) * _MUL[k], starts).astype(np.uint16)
+        for column, k in enumerate(functions):
+            out[at:end, column] = np.minimum.reduceat((values ^ _XOR[k]) * _MUL[k], starts).astype(np.uint16)
         at = end
     return out
 
 
+def _planes(labels: np.ndarray) -> pa.Array:
+    """Each row's high bytes, then its low ones."""
+    return binary(np.hstack([labels >> 8, labels & 255]).astype(np.uint8))
+
+
+def _labels(column: pa.Array) -> np.ndarray:
+    """The inverse of ``_planes``."""
+    planes = matrix(column, "u1").astype(np.uint16)
+    return planes[:, : TREES * DEPTH] << 8 | planes[:, TREES * DEPTH :]
+
+
 def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = batch.column(1).to_pylist()
     sets = [shingle_set(text) for text in texts]
@@ -60,7 +71,7 @@ def _features(batch: pa.RecordBatch) -> pa.RecordBatch:
             batch.column(0),
             pa.array([len(s) for s in sets], pa.int64()),
             _keys(sets),
-            binary(labels.astype(">u2")),
+            _planes(labels),
         ],
         ["doc_id", "n_shingles", "set_key", "labels"],
     )
@@ -121,7 +132,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _orders(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Every document once per order, with the order's number and label."""
-    labels = matrix(batch.column(1), ">u2").reshape(-1, DEPTH)
+    labels = _labels(batch.column(1)).reshape(-1, DEPTH)
     trees = np.tile(np.arange(TREES, dtype=">u2"), batch.num_rows)[:, None]
     ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), TREES)
     return pa.RecordBatch.from_arrays([binary(np.hstack([trees, labels]).astype(">u2")), pa.array(ids)], ["label", "id"])
@@ -129,7 +140,7 @@ def _orders(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 def candidates(representatives: DataFrame, stage: Stage) -> tuple[DataFrame, DataFrame]:
     """(a, b, estimate) of neighbours in the forest whose hashes agree often enough, and the crowds (crowd, id);
-    ``representatives``: (id, labels)."""
+    ``representatives``: (id, labels). Only the low bytes of the hashes travel with the pairs: what agrees agrees in them."""
     spark = representatives.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = arrow_map(representatives.select("id", "labels"), _orders, "label binary, id long")
@@ -139,7 +150,7 @@ def candidates(representatives: DataFrame, stage: Stage) -> tuple[DataFrame, Dat
         .mapInArrow(_neighbours, "a long, b long, crowd binary")
         .distinct()
     )
-    signed = representatives.select("id", "labels")
+    signed = representatives.select("id", F.substring("labels", TREES * DEPTH + 1, TREES * DEPTH).alias("labels"))
     both = (
         met.filter("crowd is null")
         .select("a", "b")
@@ -149,7 +160,7 @@ def candidates(representatives: DataFrame, stage: Stage) -> tuple[DataFrame, Dat
     )
 
     def estimate(batch: pa.RecordBatch) -> pa.RecordBatch:
-        share = (matrix(batch.column(2), ">u2") == matrix(batch.column(3), ">u2")).mean(axis=1)
+        share = (matrix(batch.column(2), "u1") == matrix(batch.column(3), "u1")).mean(axis=1)
         keep = pa.array(share >= ESTIMATE)
         columns = [batch.column(0), batch.column(1), pa.array(share)]
         return pa.RecordBatch.from_arrays([c.filter(keep) for c in columns], ["a", "b", "estimate"])
@@ -183,18 +194,20 @@ def _confirm(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     )
 
 
-def _prefixes(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """A row's prefix of ``MIN_DEPTH`` hashes in every order, as one number each."""
-    labels = matrix(batch.column(1), ">u2").reshape(-1, TREES, DEPTH)[:, :, :MIN_DEPTH].astype(np.int64)
-    numbers = np.zeros(labels.shape[:2], np.int64)
+def _prefixes(sets: list[np.ndarray], orders: int) -> np.ndarray:
+    """Each set's prefix of ``MIN_DEPTH`` hashes in every one of the first orders, as one number each."""
+    functions = [order * DEPTH + depth for order in range(orders) for depth in range(MIN_DEPTH)]
+    hashes = minhashes(sets, functions).reshape(len(sets), orders, MIN_DEPTH).astype(np.int64)
+    numbers = np.zeros((len(sets), orders), np.int64)
     for depth in range(MIN_DEPTH):
-        numbers = numbers << 16 | labels[:, :, depth]
-    return pa.RecordBatch.from_arrays([batch.column(0), binary(numbers)], ["id", "prefixes"])
+        numbers = numbers << 16 | hashes[:, :, depth]
+    return numbers
 
 
-def _met_before(prefixes: np.ndarray, order: int) -> np.ndarray:
-    """Pairs of rows that share a prefix in an order before this one: they are compared there."""
-    met = np.zeros((len(prefixes), len(prefixes)), bool)
+def _met_before(sets: list[np.ndarray], order: int) -> np.ndarray:
+    """Pairs of sets that share a prefix in an order before this one: they are compared there."""
+    prefixes = _prefixes(sets, order)
+    met = np.zeros((len(sets), len(sets)), bool)
     for earlier in range(order):
         met |= prefixes[:, None, earlier] == prefixes[None, :, earlier]
     return met
@@ -207,13 +220,16 @@ def _compared(similarity: int):
     def links(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         ids, groups, blocks = (rows.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5))
         same = groups[:, None] == groups[None, :]
-        due = ~same & ~_met_before(matrix(rows.column(7), "<i8"), int.from_bytes(rows.column(0)[0].as_py()[:2], "big"))
+        due = ~same
         if blocks.min() != blocks.max():
             due &= blocks[:, None] != blocks[None, :]
-        if not due.any():
-            return np.empty(0, np.int64), np.empty(0, np.int64)
         lists = rows.column(6)
         sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        if due.any():
+            shingles = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            due &= ~_met_before(np.split(shingles, np.cumsum(sizes)[:-1]), int.from_bytes(rows.column(0)[0].as_py()[:2], "big"))
+        if not due.any():
+            return np.empty(0, np.int64), np.empty(0, np.int64)
         owner = np.repeat(np.arange(len(ids)), sizes)
         _, column, times = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
         # A shingle of one row only is common to no pair.
@@ -269,10 +285,11 @@ def _compared(similarity: int):
     return run
 
 
-def _crowd_links(crowds: DataFrame, groups: DataFrame, sets: DataFrame, labels: DataFrame, stage: Stage, similarity: int) -> DataFrame:
+def _crowd_links(crowds: DataFrame, groups: DataFrame, sets: DataFrame, stage: Stage, similarity: int) -> DataFrame:
     """Links (a, b) that connect all groups of a crowd that any link of its rows connects.
 
-    Every pair of a crowd's rows is compared on the full sets unless both are in one group or met in an earlier order.
+    Every pair of a crowd's rows is compared on the full sets unless both are in one group or met in an earlier order. A crowd
+    that fits a block is one, so that each of its rows travels once; of larger ones, the largest group's rows meet only others.
     """
     parts = int(crowds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     members = stage(
@@ -289,17 +306,20 @@ def _crowd_links(crowds: DataFrame, groups: DataFrame, sets: DataFrame, labels:
     def blocks(rows, shingles):
         return F.ceil(F.greatest(rows / BLOCK_ROWS, shingles / BLOCK_SHINGLES)).cast("int")
 
+    fits = (F.col("rows") <= BLOCK_ROWS) & (F.col("shingles") <= BLOCK_SHINGLES)
     crowded = stage(
         crowded.filter("groups > 1").select(
             "crowd",
             F.col("largest.group").alias("first_group"),
-            blocks(F.col("largest.rows"), F.col("largest.shingles")).alias("inner"),
-            blocks(F.col("rows") - F.col("largest.rows"), F.col("shingles") - F.col("largest.shingles")).alias("outer"),
+            F.when(fits, 0).otherwise(blocks(F.col("largest.rows"), F.col("largest.shingles"))).alias("inner"),
+            F.when(fits, 1)
+            .otherwise(blocks(F.col("rows") - F.col("largest.rows"), F.col("shingles") - F.col("largest.shingles")))
+            .alias("outer"),
         )
     )
-    inside = F.col("group") == F.col("first_group")
+    inside = (F.col("inner") > 0) & (F.col("group") == F.col("first_group"))
     spread = F.xxhash64("id", F.lit("block"))
-    block = F.when(inside, F.pmod(spread, "inner")).otherwise(F.col("inner") + F.pmod(spread, "outer")).cast("int")
+    block = F.when(inside, F.pmod(spread, F.greatest("inner", F.lit(1)))).otherwise(F.col("inner") + F.pmod(spread, "outer")).cast("int")
     others = F.sequence(F.when(inside, F.col("inner")).otherwise(F.lit(0)), F.col("inner") + F.col("outer") - 1)
     dealt = (
         members.join(crowded, "crowd")
@@ -307,8 +327,9 @@ def _crowd_links(crowds: DataFrame, groups: DataFrame, sets: DataFrame, labels:
         .select("crowd", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "id", "group", "block")
     )
     keys = ["crowd", "low", "high"]
-    numbers = arrow_map(labels.join(members.select("id").distinct(), "id", "left_semi"), _prefixes, "id long, prefixes binary")
-    rows = dealt.join(sets.join(numbers, "id"), "id").select(*keys, "id", "group", "block", "shingles", "prefixes")
+    # Renamed as in ``_confirm``, whose shuffle of the sets serves here too.
+    rows = dealt.withColumnRenamed("id", "member").join(sets.withColumnsRenamed({"id": "member", "shingles": "held"}), "member")
+    rows = rows.select(*keys, "member", "group", "block", "held")
     return rows.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(_compared(similarity), "a long, b long")
 
 
@@ -336,10 +357,11 @@ def near_duplicates(docs: DataFrame, stage: Stage | None = None, similarity: int
     classes = known.groupBy("set_key").agg(F.min("doc_id").alias("first_id"))
     # Classes have numbers of their own: an id may come with several texts.
     classes = stage(classes.withColumn("id", F.monotonically_increasing_id()))
+    # Rows of one class and id are told apart where the join has brought them together, without another shuffle.
     representatives = stage(
         known.join(classes.withColumnRenamed("first_id", "doc_id"), ["set_key", "doc_id"])
+        .dropDuplicates(["set_key", "doc_id"])
         .select("id", "labels")
-        .dropDuplicates(["id"])
     )
     key = F.xxhash64("set_key")
     several = known.groupBy("doc_id").agg(F.min(key).alias("low"), F.max(key).alias("high")).filter("low <> high")
@@ -353,8 +375,8 @@ def near_duplicates(docs: DataFrame, stage: Stage | None = None, similarity: int
     sets = stage(
         arrow_map(texts.select("doc_id", "text"), _sets, "first_id long, set_key binary, shingles array<long>")
         .join(wanted, ["first_id", "set_key"])
+        .dropDuplicates(["first_id", "set_key"])
         .select("id", "shingles")
-        .dropDuplicates(["id"])
     )
 
     ends = pairs.select(F.col("a").alias("id"), "a", "b", "estimate").unionByName(
@@ -375,7 +397,7 @@ def near_duplicates(docs: DataFrame, stage: Stage | None = None, similarity: int
         .filter(~F.coalesce(F.col("group_a") == F.col("group_b"), F.lit(False)))
         .select("a", "b")
     )
-    crowded = _crowd_links(crowds, groups, sets, representatives, stage, similarity)
+    crowded = _crowd_links(crowds, groups, sets, stage, similarity)
     more = stage(_confirm(left, sets, similarity).unionByName(crowded).distinct())
     if not more.isEmpty():
         groups = components(links.unionByName(more), stage)

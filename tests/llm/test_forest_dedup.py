@@ -3,9 +3,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 from rows import NASTY, changed, documents, groups, shingles, words
 
 from muster.llm import forest_dedup
+from muster.llm.common import Stage
 
 
 def _brute(rows):
@@ -115,3 +117,19 @@ def test_minhashes_estimate_similarity():
     one, other = np.unique(base[:500]), np.unique(base[100:])
     share = (forest_dedup.minhashes([one])[0] == forest_dedup.minhashes([other])[0]).mean()
     assert abs(share - 400 / 600) < 0.12
+
+
+def test_rows_of_a_small_crowd_travel_once(spark, monkeypatch):
+    def travelled(similarity):
+        def run(batches):
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(5).cast(pa.int64())], ["a", "b"])
+
+        return run
+
+    monkeypatch.setattr(forest_dedup, "_compared", travelled)
+    crowds = spark.createDataFrame([(bytearray(b"c"), i) for i in range(6)], "crowd binary, id long")
+    groups = spark.createDataFrame([(i, 0) for i in range(3)], "id long, component_id long")
+    sets = spark.createDataFrame([(i, [1, 2, 3 + i]) for i in range(6)], "id long, shingles array<long>")
+    rows = forest_dedup._crowd_links(crowds, groups, sets, Stage(spark), 75).collect()
+    assert sorted(r.a for r in rows) == list(range(6))
